@@ -400,7 +400,7 @@ def all_sql() -> dict[str, str]:
         "merge_union_all": _with("merged_orders", "SELECT * FROM merged_orders"),
         "merge_keep_first": _with("merged_customers", "SELECT * FROM merged_customers"),
         "merge_keep_first_composite": _with("unique_details", "SELECT * FROM unique_details"),
-        "drop_null_key_rows": _with(
+        "drop_null_keys": _with(
             "sheet_employees", "SELECT * FROM sheet_employees WHERE EmployeeID IS NOT NULL"
         ),
         "coerce_numeric": """

@@ -13,14 +13,7 @@ from pyspark.sql import functions as F
 
 from starloom import schemas as S
 from starloom.functions import clean
-from starloom.operators.join import lookup
-from starloom.operators.merge import (
-    drop_null_keys,
-    keep_first,
-    merge_sources,
-    namespace_ids,
-    union_sources,
-)
+from starloom.operators import merge
 from starloom.plans import quality, reports, star_schema
 from starloom.plans.reports import Selection
 from starloom.plans.star_schema import Star
@@ -52,8 +45,8 @@ def _merged(
 ) -> DataFrame:
     return star_schema.merge_table(
         table,
-        D.extract(spark, sf_dir, dated),
-        D.database(spark, sf_dir, dated),
+        D.extract(spark, sf_dir, dated, [table.name]),
+        D.database(spark, sf_dir, dated, [table.name]),
         dedupe=dedupe,
         id_offset=D.ID_OFFSET,
         strict_dates=dated,
@@ -66,14 +59,6 @@ def _star(spark: SparkSession, sf_dir: str) -> Star:
     )
 
 
-def _star_database_first(spark: SparkSession, sf_dir: str) -> Star:
-    return star_schema.build_star_database_first(
-        D.extract(spark, sf_dir, dated=True),
-        D.database(spark, sf_dir, dated=True),
-        id_offset=D.ID_OFFSET,
-    )
-
-
 def _stored(spark: SparkSession, sf_dir: str) -> Star:
     return _STARS.get(spark, D.paths(sf_dir), lambda: _star(spark, sf_dir))
 
@@ -102,7 +87,7 @@ def merge_single_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def order_id_namespace(spark: SparkSession, sf_dir: str) -> DataFrame:
     sheet = files.normalise_headers(D.extract_orders(spark, sf_dir))
-    return namespace_ids(sheet, "OrderID", D.ID_OFFSET).select("OrderID", "OrderDate")
+    return merge.namespace_ids(sheet, "OrderID", D.ID_OFFSET).select("OrderID", "OrderDate")
 
 
 @_query
@@ -121,9 +106,9 @@ def merge_keep_first_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query
-def drop_null_key_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sheet = clean.conform(D.extract(spark, sf_dir)["Employees"], S.EMPLOYEES)
-    return drop_null_keys(sheet, ["EmployeeID"])
+def drop_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sheet = clean.conform(D.extract(spark, sf_dir, names=["Employees"])["Employees"], S.EMPLOYEES)
+    return merge.drop_null_keys(sheet, ["EmployeeID"])
 
 
 # Cleaning -------------------------------------------------------------------------------------
@@ -198,7 +183,7 @@ def nullable_int_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def line_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    details = D.database(spark, sf_dir)["Order Details"]
+    details = D.database(spark, sf_dir, names=["Order Details"])["Order Details"]
     return star_schema.with_line_total(details).select(
         "OrderID", "ProductID", F.round("LineTotal", 4).alias("LineTotal")
     )
@@ -209,59 +194,64 @@ def line_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def dim_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _star(spark, sf_dir).dim_time
+    return star_schema.dim_time(_merged(spark, sf_dir, S.ORDERS, dedupe=False))
 
 
 @_query
 def dim_time_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _star_database_first(spark, sf_dir).dim_time
+    return star_schema.dim_time_sorted(_merged(spark, sf_dir, S.ORDERS, dated=True))
 
 
 @_query
 def dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _star(spark, sf_dir).dim_customer
+    return star_schema.dim_customer(_merged(spark, sf_dir, S.CUSTOMERS), unique=True)
 
 
 @_query
 def dim_customer_s(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _star_database_first(spark, sf_dir).dim_customer
+    customers = _merged(spark, sf_dir, S.CUSTOMERS)
+    return star_schema.dim_customer(customers, contacts=True, unique=True)
 
 
 @_query
 def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _star(spark, sf_dir).dim_product
+    return star_schema.dim_product(
+        _merged(spark, sf_dir, S.PRODUCTS), _merged(spark, sf_dir, S.CATEGORIES), unique=True
+    )
 
 
 @_query
 def dim_product_s(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _star_database_first(spark, sf_dir).dim_product
+    return star_schema.dim_product_stock(
+        _merged(spark, sf_dir, S.PRODUCTS), _merged(spark, sf_dir, S.CATEGORIES), unique=True
+    )
 
 
 @_query
 def dim_employee(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _star(spark, sf_dir).dim_employee
+    return star_schema.dim_employee(_merged(spark, sf_dir, S.EMPLOYEES), unique=True)
 
 
 @_query
 def dim_shipper(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _star(spark, sf_dir).dim_shipper
+    return star_schema.dim_shipper(_merged(spark, sf_dir, S.SHIPPERS), unique=True)
 
 
 @_query
 def dim_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _star(spark, sf_dir).dim_categories
+    return star_schema.dim_categories(_merged(spark, sf_dir, S.CATEGORIES), unique=True)
 
 
 @_query
 def dim_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keep-first within one table, on a key that repeats: one supplier per nation."""
     suppliers = D.table(spark, sf_dir, "supplier").select("s_nationkey", "s_name", "s_suppkey")
-    return keep_first(suppliers, ["s_nationkey"])
+    return merge.keep_first(suppliers, ["s_nationkey"])
 
 
 @_query
 def order_detail_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    details = D.database(spark, sf_dir)["Order Details"]
+    details = D.database(spark, sf_dir, names=["Order Details"])["Order Details"]
     summary = star_schema.order_detail_summary(details)
     return _rounded(_rounded(summary, "TotalLineTotal"), "AverageDiscount", digits=6)
 
@@ -272,12 +262,17 @@ def _fact_output(fact: DataFrame) -> DataFrame:
 
 @_query
 def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _fact_output(_star(spark, sf_dir).fact_sales)
+    orders = _merged(spark, sf_dir, S.ORDERS, dedupe=False)
+    details = _merged(spark, sf_dir, S.ORDER_DETAILS, dedupe=False)
+    return _fact_output(star_schema.fact_sales(orders, details))
 
 
 @_query
 def fact_sales_s(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _fact_output(_star_database_first(spark, sf_dir).fact_sales)
+    orders = _merged(spark, sf_dir, S.ORDERS, dated=True)
+    details = _merged(spark, sf_dir, S.ORDER_DETAILS)
+    fact = star_schema.fact_sales(orders, details, default_dates=False, orders_unique=True)
+    return _fact_output(fact)
 
 
 @_query
@@ -295,7 +290,7 @@ def star_join_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dim_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The employee dimension through CSV, its key written as a float."""
     path = new_folder(spark, "csv")
-    employees = _star(spark, sf_dir).dim_employee
+    employees = dim_employee(spark, sf_dir)
     files.write_csv(employees.withColumn("EmployeeKey", F.col("EmployeeKey").cast("double")), path)
     return files.read_csv_table(spark, path, S.DIM_EMPLOYEE)
 
@@ -444,7 +439,7 @@ def dq_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def dq_null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sheets = D.extract(spark, sf_dir)
+    sheets = D.extract(spark, sf_dir, names=["Orders", "Products", "Employees"])
     keys = {"rejected_employee_keys": (sheets["Employees"], "EmployeeID")}
     return quality.null_counts(sheets["Orders"], sheets["Products"], keys)
 

@@ -26,3 +26,9 @@ def lookup(
         same = same & (F.xxhash64(F.col(key)) == F.xxhash64(F.col("_lookup_key")))
     joined = left.join(right, same, how)
     return joined if how == "left_semi" else joined.drop("_lookup_key")
+
+
+def has_hot_key(df: DataFrame, key: str, rows: int = 1_000_000) -> bool:
+    """Whether one key holds more than ``rows`` rows. Reads the key column only."""
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).count()
+    return not counts.where(F.col("count") > rows).isEmpty()

@@ -7,15 +7,16 @@ carries more columns in some dimensions.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom import schemas as S
 from starloom.functions import clean
-from starloom.operators.join import lookup
+from starloom.operators.join import has_hot_key, lookup
 from starloom.operators.merge import (
     drop_null_keys,
     keep_first,
@@ -111,6 +112,12 @@ def day_calendar(calendar: DataFrame) -> DataFrame:
     return _calendar(calendar.select(clean.midnight(F.col("date")).alias("date")).distinct())
 
 
+def _one_per_key(df: DataFrame, key: str, unique: bool) -> DataFrame:
+    """Rows with a key, first one per key. ``unique`` says a merge already saw to the latter."""
+    keyed = drop_null_keys(df, [key])
+    return keyed if unique else keep_first(keyed, [key])
+
+
 _CUSTOMER_NAMES = {
     "CustomerID": "CustomerKey",
     "CompanyName": "CustomerName",
@@ -119,16 +126,18 @@ _CUSTOMER_NAMES = {
 }
 
 
-def dim_customer(customers: DataFrame, contacts: bool = False) -> DataFrame:
+def dim_customer(
+    customers: DataFrame, contacts: bool = False, unique: bool = False
+) -> DataFrame:
     """Customers by key; the database-first variant adds the contact columns."""
     columns = ["CustomerKey", "CustomerName", "CustomerCity", "CustomerCountry", "Phone"]
     if contacts:
         columns[2:2] = ["ContactName", "ContactTitle"]
     renamed = customers.withColumnsRenamed(_CUSTOMER_NAMES).select(*columns)
-    return keep_first(drop_null_keys(renamed, ["CustomerKey"]), ["CustomerKey"])
+    return _one_per_key(renamed, "CustomerKey", unique)
 
 
-def dim_employee(employees: DataFrame) -> DataFrame:
+def dim_employee(employees: DataFrame, unique: bool = False) -> DataFrame:
     named = employees.withColumnRenamed("EmployeeID", "EmployeeKey").select(
         "EmployeeKey",
         clean.full_name(F.col("FirstName"), F.col("LastName")).alias("EmployeeFullName"),
@@ -138,41 +147,47 @@ def dim_employee(employees: DataFrame) -> DataFrame:
         "City",
         "Country",
     )
-    return keep_first(drop_null_keys(named, ["EmployeeKey"]), ["EmployeeKey"])
+    return _one_per_key(named, "EmployeeKey", unique)
 
 
-def dim_shipper(shippers: DataFrame) -> DataFrame:
+def dim_shipper(shippers: DataFrame, unique: bool = False) -> DataFrame:
     renamed = shippers.withColumnsRenamed(
         {"ShipperID": "ShipperKey", "CompanyName": "ShipperName"}
     ).select("ShipperKey", "ShipperName", "Phone")
-    return keep_first(drop_null_keys(renamed, ["ShipperKey"]), ["ShipperKey"])
+    return _one_per_key(renamed, "ShipperKey", unique)
 
 
-def dim_categories(categories: DataFrame) -> DataFrame:
+def dim_categories(categories: DataFrame, unique: bool = False) -> DataFrame:
     columns = categories.select("CategoryID", "CategoryName")
-    return keep_first(drop_null_keys(columns, ["CategoryID"]), ["CategoryID"])
+    return _one_per_key(columns, "CategoryID", unique)
 
 
-def _with_category(products: DataFrame, categories: DataFrame) -> DataFrame:
-    names = dim_categories(categories)
-    return lookup(drop_null_keys(products, ["ProductID"]), names, "CategoryID", right_grouped=True)
+def _with_category(products: DataFrame, categories: DataFrame, unique: bool) -> DataFrame:
+    """Products, one per key, with their category name; categories are unique by key.
+
+    Deduplicated before the join, while the merge's partitioning by product still holds.
+    """
+    names = dim_categories(categories, unique)
+    products = _one_per_key(products, "ProductID", unique)
+    return lookup(products, names, "CategoryID", right_grouped=True)
 
 
-def dim_product(products: DataFrame, categories: DataFrame) -> DataFrame:
+def dim_product(products: DataFrame, categories: DataFrame, unique: bool = False) -> DataFrame:
     """Products with their category name; an unknown category and a missing flag get defaults."""
-    named = _with_category(products, categories).select(
+    return _with_category(products, categories, unique).select(
         F.col("ProductID").alias("ProductKey"),
         "ProductName",
         "UnitPrice",
         F.coalesce("CategoryName", F.lit(S.DEFAULT_CATEGORY)).alias("CategoryName"),
         F.coalesce("Discontinued", F.lit(False)).alias("Discontinued"),
     )
-    return keep_first(named, ["ProductKey"])
 
 
-def dim_product_stock(products: DataFrame, categories: DataFrame) -> DataFrame:
+def dim_product_stock(
+    products: DataFrame, categories: DataFrame, unique: bool = False
+) -> DataFrame:
     """Database-first products: stock columns added, no defaults."""
-    named = _with_category(products, categories).select(
+    return _with_category(products, categories, unique).select(
         F.col("ProductID").alias("ProductKey"),
         "ProductName",
         "QuantityPerUnit",
@@ -183,7 +198,6 @@ def dim_product_stock(products: DataFrame, categories: DataFrame) -> DataFrame:
         "Discontinued",
         "CategoryName",
     )
-    return keep_first(named, ["ProductKey"])
 
 
 # Fact -----------------------------------------------------------------------------------------
@@ -222,14 +236,14 @@ def fact_sales(
 ) -> DataFrame:
     """One row per order, orders without lines included with zero measures.
 
-    ``orders_unique`` says that no order number repeats; the join then reuses the partitioning
-    of the grouped lines. Otherwise a number may be hot and the join is made splittable.
+    The join reuses the partitioning of the grouped lines. Orders that repeat (unless
+    ``orders_unique`` rules it out) are counted first: should one be hot, the lines' sums are
+    shuffled once more to let the join split its rows over many tasks.
     Without ``default_dates`` an order without a date fails the query. ``keep`` names further
     order columns to carry along.
     """
-    joined = lookup(
-        orders, order_detail_summary(details), "OrderID", right_grouped=not orders_unique
-    )
+    hot = not orders_unique and has_hot_key(orders, "OrderID")
+    joined = lookup(orders, order_detail_summary(details), "OrderID", right_grouped=hot)
     date = F.col("OrderDate")
     if default_dates:
         date = clean.or_default_date(date)
@@ -255,20 +269,25 @@ def fact_sales(
 # Whole builds ---------------------------------------------------------------------------------
 
 
+def _merged(extract: Sources, sql: Sources, id_offset: int) -> Callable[..., DataFrame]:
+    return partial(merge_table, extract=extract, sql=sql, id_offset=id_offset)
+
+
 def build_star(
     extract: Sources, sql: Sources, id_offset: int = S.DEFAULT_ID_OFFSET
 ) -> Star:
     """Extract-first variant: every order and line of both sources is kept."""
-    orders = merge_table(S.ORDERS, extract, sql, dedupe=False, id_offset=id_offset)
-    details = merge_table(S.ORDER_DETAILS, extract, sql, dedupe=False, id_offset=id_offset)
-    categories = merge_table(S.CATEGORIES, extract, sql)
+    merged = _merged(extract, sql, id_offset)
+    orders = merged(S.ORDERS, dedupe=False)
+    details = merged(S.ORDER_DETAILS, dedupe=False)
+    categories = merged(S.CATEGORIES)
     return Star(
         dim_time=dim_time(orders),
-        dim_customer=dim_customer(merge_table(S.CUSTOMERS, extract, sql)),
-        dim_product=dim_product(merge_table(S.PRODUCTS, extract, sql), categories),
-        dim_employee=dim_employee(merge_table(S.EMPLOYEES, extract, sql)),
-        dim_shipper=dim_shipper(merge_table(S.SHIPPERS, extract, sql)),
-        dim_categories=dim_categories(categories),
+        dim_customer=dim_customer(merged(S.CUSTOMERS), unique=True),
+        dim_product=dim_product(merged(S.PRODUCTS), categories, unique=True),
+        dim_employee=dim_employee(merged(S.EMPLOYEES), unique=True),
+        dim_shipper=dim_shipper(merged(S.SHIPPERS), unique=True),
+        dim_categories=dim_categories(categories, unique=True),
         fact_sales=fact_sales(orders, details),
     )
 
@@ -277,15 +296,15 @@ def build_star_database_first(
     extract: Sources, sql: Sources, id_offset: int = S.DEFAULT_ID_OFFSET
 ) -> Star:
     """Database-first variant: repeated orders and lines removed, dates mandatory."""
-    orders = merge_table(S.ORDERS, extract, sql, id_offset=id_offset, strict_dates=True)
-    details = merge_table(S.ORDER_DETAILS, extract, sql, id_offset=id_offset)
-    categories = merge_table(S.CATEGORIES, extract, sql)
-    products = merge_table(S.PRODUCTS, extract, sql)
+    merged = _merged(extract, sql, id_offset)
+    orders = merged(S.ORDERS, strict_dates=True)
+    details = merged(S.ORDER_DETAILS)
+    categories = merged(S.CATEGORIES)
     return Star(
         dim_time=dim_time_sorted(orders),
-        dim_customer=dim_customer(merge_table(S.CUSTOMERS, extract, sql), contacts=True),
-        dim_product=dim_product_stock(products, categories),
-        dim_employee=dim_employee(merge_table(S.EMPLOYEES, extract, sql)),
-        dim_shipper=dim_shipper(merge_table(S.SHIPPERS, extract, sql)),
+        dim_customer=dim_customer(merged(S.CUSTOMERS), contacts=True, unique=True),
+        dim_product=dim_product_stock(merged(S.PRODUCTS), categories, unique=True),
+        dim_employee=dim_employee(merged(S.EMPLOYEES), unique=True),
+        dim_shipper=dim_shipper(merged(S.SHIPPERS), unique=True),
         fact_sales=fact_sales(orders, details, default_dates=False, orders_unique=True),
     )

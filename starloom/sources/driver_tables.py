@@ -7,9 +7,12 @@ words where numbers or dates belong. Order numbers of the two overlap.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.schemas import SOURCE_TABLES
 from starloom.sources.files import normalise_headers
 
 # Above any order number the tables hold, whatever their size.
@@ -164,17 +167,23 @@ def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def database(spark: SparkSession, sf_dir: str, dated: bool = False) -> dict[str, DataFrame]:
-    """All source tables, typed; ``dated`` gives every order a date."""
-    return {
-        "Orders": _orders(spark, sf_dir, dated),
-        "Order Details": _order_details(spark, sf_dir),
-        "Customers": _customers(spark, sf_dir),
-        "Products": _products(spark, sf_dir),
-        "Employees": _employees(spark, sf_dir),
-        "Shippers": _shippers(spark, sf_dir),
-        "Categories": _categories(spark, sf_dir),
+ALL = tuple(t.name for t in SOURCE_TABLES)
+
+
+def database(
+    spark: SparkSession, sf_dir: str, dated: bool = False, names: Sequence[str] = ALL
+) -> dict[str, DataFrame]:
+    """The named source tables, typed; ``dated`` gives every order a date."""
+    tables = {
+        "Orders": lambda: _orders(spark, sf_dir, dated),
+        "Order Details": lambda: _order_details(spark, sf_dir),
+        "Customers": lambda: _customers(spark, sf_dir),
+        "Products": lambda: _products(spark, sf_dir),
+        "Employees": lambda: _employees(spark, sf_dir),
+        "Shippers": lambda: _shippers(spark, sf_dir),
+        "Categories": lambda: _categories(spark, sf_dir),
     }
+    return {name: tables[name]() for name in names}
 
 
 # Extract --------------------------------------------------------------------------------------
@@ -271,14 +280,15 @@ def extract_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def extract(spark: SparkSession, sf_dir: str, dated: bool = False) -> dict[str, DataFrame | None]:
+def extract(
+    spark: SparkSession, sf_dir: str, dated: bool = False, names: Sequence[str] = ALL
+) -> dict[str, DataFrame]:
     """The department's spreadsheets; it keeps none for shippers and categories."""
     sheets = {
-        "Orders": extract_orders(spark, sf_dir, dated),
-        "Order Details": extract_order_details(spark, sf_dir),
-        "Customers": extract_customers(spark, sf_dir),
-        "Products": extract_products(spark, sf_dir),
-        "Employees": extract_employees(spark, sf_dir),
+        "Orders": lambda: extract_orders(spark, sf_dir, dated),
+        "Order Details": lambda: extract_order_details(spark, sf_dir),
+        "Customers": lambda: extract_customers(spark, sf_dir),
+        "Products": lambda: extract_products(spark, sf_dir),
+        "Employees": lambda: extract_employees(spark, sf_dir),
     }
-    found = {name: normalise_headers(df) for name, df in sheets.items()}
-    return found | {"Shippers": None, "Categories": None}
+    return {name: normalise_headers(sheets[name]()) for name in names if name in sheets}
