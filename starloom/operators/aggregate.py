@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Money is added as decimals: the total does not depend on the order of the rows.
-_MONEY = "decimal(30,6)"
-
 
 def exact_sum(col: str) -> Column:
-    """Sum of a money column as a decimal; 0 over no rows."""
-    return F.coalesce(F.sum(F.col(col).cast(_MONEY)), F.lit(0).cast(_MONEY))
+    """Sum of a money column to the millionth, as a decimal; 0 over no rows.
+
+    A sum of doubles depends on the order of the rows. Here whole units and millionths are
+    added up as integers, which is as fast as adding doubles, unlike a cast of every value to
+    decimal. Integers too large to add fail the query.
+    """
+    value = F.col(col)
+    units = F.floor(value)
+    millionths = F.rint((value - units) * 1_000_000).cast("bigint")
+    total = F.sum(units).cast("decimal(20,0)") + F.sum(millionths).cast(
+        "decimal(20,0)"
+    ) * F.lit("0.000001").cast("decimal(6,6)")
+    return F.coalesce(total, F.lit(0).cast("decimal(1,0)")).cast("decimal(30,6)")
 
 
 def sum_by(df: DataFrame, key: str, measure: str, alias: str) -> DataFrame:
