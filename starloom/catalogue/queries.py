@@ -58,14 +58,14 @@ def _merged(
     )
 
 
-def _star(spark: SparkSession, sf_dir: str) -> Star:
+def build_star(spark: SparkSession, sf_dir: str) -> Star:
     return star_schema.build_star(
         D.extract(spark, sf_dir), D.database(spark, sf_dir), id_offset=D.ID_OFFSET
     )
 
 
 def _stored(spark: SparkSession, sf_dir: str) -> Star:
-    return _STARS.get(spark, D.paths(sf_dir), lambda: _star(spark, sf_dir))
+    return _STARS.get(spark, D.paths(sf_dir), lambda: build_star(spark, sf_dir))
 
 
 # Sources and merging --------------------------------------------------------------------------
@@ -426,16 +426,16 @@ def detail_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Quality --------------------------------------------------------------------------------------
 
 
+def _stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame | None]:
+    path = _STARS.path(spark, D.paths(sf_dir), lambda: build_star(spark, sf_dir))
+    return files.stored_tables(spark, path)
+
+
 @_query
 def dq_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.contract(spark, _stored_tables(spark, sf_dir))
 
 
-def _stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    tables = _stored(spark, sf_dir).tables()
-    return tables | {"fact_sales": tables["fact_sales"].drop(files.FACT_PARTITION)}
-
-
 @_query
 def dq_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.row_counts(_stored_tables(spark, sf_dir))

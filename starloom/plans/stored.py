@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -12,6 +13,11 @@ from starloom.plans.star_schema import Star
 from starloom.sources.files import fingerprint, read_star, write_star
 
 
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"starloom-{application}-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors reach: ``spark.checkpoint.dir``. Only a local session may lack it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -19,9 +25,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="starloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder(spark.sparkContext.applicationId)
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
@@ -37,9 +41,10 @@ class StoredStars:
     def __init__(self) -> None:
         self._paths: dict[tuple, str] = {}
 
-    def get(
+    def path(
         self, spark: SparkSession, source_paths: dict[str, str], build: Callable[[], Star]
-    ) -> Star:
+    ) -> str:
+        """Folder of the star built from these sources in their present state."""
         # One row per source table.
         state = tuple(fingerprint(spark, source_paths).orderBy("table_name").collect())
         state = (tuple(sorted(source_paths.items())), state)
@@ -47,4 +52,9 @@ class StoredStars:
             path = new_folder(spark, "star")
             write_star(build(), path)
             self._paths[state] = path
-        return read_star(spark, self._paths[state])
+        return self._paths[state]
+
+    def get(
+        self, spark: SparkSession, source_paths: dict[str, str], build: Callable[[], Star]
+    ) -> Star:
+        return read_star(spark, self.path(spark, source_paths, build))

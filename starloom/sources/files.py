@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,26 +20,35 @@ def normalise_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.replace(" ", "") for c in df.columns])
 
 
+def _if_present(load: Callable[[], DataFrame]) -> DataFrame | None:
+    try:
+        return load()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def read_extract(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame | None:
     """A file extract with normalised headers, or None where there is none.
 
     CSV columns stay text, with the usual tokens for missing values as nulls; the contract of
     the table they are merged into decides on types.
     """
-    try:
-        if fmt != "csv":
-            return normalise_headers(spark.read.format(fmt).load(path))
-        df = normalise_headers(_csv_reader(spark).csv(path))
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    reader = _csv_reader(spark) if fmt == "csv" else spark.read.format(fmt)
+    df = _if_present(lambda: reader.load(path))
+    if df is None:
+        return None
+    df = normalise_headers(df)
+    if fmt != "csv":
+        return df
     return df.select([clean.null_tokens_to_null(F.col(c)).alias(c) for c in df.columns])
 
 
-def _csv_reader(spark: SparkSession):
-    # Quotes inside a quoted field are doubled, as spreadsheets and pandas write them.
-    return spark.read.option("header", True).option("escape", '"').option("multiLine", False)
+def _csv_reader(spark: SparkSession) -> DataFrameReader:
+    # Quotes inside a quoted field are doubled, as spreadsheets and pandas write them. Fields
+    # hold no line breaks, so that a large file is read by many tasks.
+    return spark.read.format("csv").option("header", True).option("escape", '"')
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -47,7 +58,7 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def read_csv_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A stored CSV table in its contract types; an integer key may be written as ``1.0``."""
-    raw = _csv_reader(spark).csv(path)
+    raw = _csv_reader(spark).load(path)
     out = []
     for field in schema:
         col = clean.null_tokens_to_null(F.col(field.name))
@@ -91,6 +102,18 @@ def read_star(spark: SparkSession, path: str, fmt: str = "parquet") -> Star:
     return Star(**{name: read_table(spark, path, name, fmt) for name in names})
 
 
+def stored_tables(
+    spark: SparkSession, path: str, fmt: str = "parquet"
+) -> dict[str, DataFrame | None]:
+    """The star tables with the columns they really have, None for one that is not there."""
+    reader = _csv_reader(spark) if fmt == "csv" else spark.read.format(fmt)
+    tables = {}
+    for name in S.STAR_TABLES:
+        df = _if_present(lambda: reader.load(f"{path}/{name}"))
+        tables[name] = None if df is None else df.drop(FACT_PARTITION)
+    return tables
+
+
 def fingerprint(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """Files, bytes and latest change per table, nulls for a table that is not there.
 
@@ -99,13 +122,9 @@ def fingerprint(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     schema = "table_name string, file_count bigint, byte_count bigint, last_modified timestamp"
     parts = []
     for name, path in paths.items():
-        try:
-            files = (
-                spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-            )
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        files = _if_present(lambda: reader.load(path))
+        if files is None:
             parts.append(spark.createDataFrame([(name, None, None, None)], schema))
             continue
         parts.append(

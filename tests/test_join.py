@@ -1,0 +1,61 @@
+import pytest
+
+from starloom.operators.join import has_hot_key, lookup
+
+
+@pytest.fixture
+def shuffled(spark):
+    """No broadcasts, small skew thresholds."""
+    settings = {
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_unmatched_and_null_keys_stay(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, v string")
+    right = spark.createDataFrame([(1, "one")], "k int, name string")
+    for grouped in (False, True):
+        joined = lookup(left, right, "k", right_grouped=grouped)
+        assert joined.columns == ["k", "v", "name"]
+        found = sorted(joined.collect(), key=lambda r: r.v)
+        assert found == [(1, "a", "one"), (2, "b", None), (None, "c", None)]
+        assert lookup(left, right, "k", "inner", grouped).collect() == [(1, "a", "one")]
+        assert lookup(left, right, "k", "left_semi", grouped).collect() == [(1, "a")]
+
+
+@pytest.mark.parametrize("hot", ["7", "null"])
+def test_a_hot_key_is_split_over_tasks(shuffled, hot):
+    left = shuffled.range(0, 60000, 1, 12).selectExpr(
+        f"case when id % 3 = 0 then {hot} else id end as k", "uuid() as v"
+    )
+    sums = shuffled.range(0, 120000, 1, 4).selectExpr("id % 60000 as k", "id as x")
+    right = sums.groupBy("k").sum("x")
+    joined = lookup(left, right, "k", right_grouped=True)
+    rows = joined.selectExpr("count(*)", "sum(length(v))", "count(`sum(x)`)")
+    plan = rows._jdf.queryExecution()
+    expected = 60000 if hot == "7" else 40000
+    assert rows.collect() == [(60000, 36 * 60000, expected)]
+    assert "SortMergeJoin(skew=true)" in plan.executedPlan().toString()
+
+
+def test_a_unique_key_reuses_the_grouping(shuffled):
+    left = shuffled.range(1000).selectExpr("id as k", "id as v")
+    right = shuffled.range(1000).selectExpr("id % 10 as k").groupBy("k").count()
+    plan = lookup(left, right, "k")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_hot_key_detection(spark):
+    df = spark.range(100).selectExpr("case when id < 60 then 1 when id < 80 then null else id end k")
+    assert has_hot_key(df, "k", rows=59)
+    assert not has_hot_key(df, "k", rows=60)
