@@ -559,6 +559,11 @@ def all_sql() -> dict[str, str]:
             f"""SELECT table_name, row_count FROM ({_contract()})
                 UNION ALL SELECT 'dim_categories', count(*) FROM categories""",
         ),
+        "dq_merged_counts": _with(
+            "merged_orders merged_details",
+            """SELECT 'Orders' AS table_name, count(*) AS row_count FROM merged_orders
+               UNION ALL SELECT 'Order Details', count(*) FROM merged_details""",
+        ),
         "dq_null_counts": """
             SELECT 'missing_order_dates' AS metric,
                    count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS row_count

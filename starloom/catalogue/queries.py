@@ -441,6 +441,13 @@ def dq_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.row_counts(_stored_tables(spark, sf_dir))
 
 
+@_query
+def dq_merged_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the two large tables after merging."""
+    merged = {t.name: _merged(spark, sf_dir, t, dedupe=False) for t in (S.ORDERS, S.ORDER_DETAILS)}
+    return quality.row_counts(merged)
+
+
 @_query
 def dq_null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     sheets = D.extract(spark, sf_dir, names=["Orders", "Products", "Employees"])

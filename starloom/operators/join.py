@@ -29,6 +29,6 @@ def lookup(
 
 
 def has_hot_key(df: DataFrame, key: str, rows: int = 1_000_000) -> bool:
-    """Whether one key holds more than ``rows`` rows. Reads the key column only."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).count()
+    """Whether one key, or null, holds more than ``rows`` rows. Reads the key column only."""
+    counts = df.groupBy(key).count()
     return not counts.where(F.col("count") > rows).isEmpty()

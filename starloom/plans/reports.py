@@ -59,6 +59,7 @@ class View:
     star: Star
     fact: DataFrame
     active: bool
+    calendar: str = "day"
 
 
 # Star join ------------------------------------------------------------------------------------
@@ -80,7 +81,8 @@ def _with_measures(fact: DataFrame) -> DataFrame:
         dtype = fact.schema[name].dataType
         if isinstance(dtype, T.IntegralType):
             return F.coalesce(F.col(name), F.lit(0).cast(dtype))
-        return clean.or_zero(clean.number(F.col(name), isinstance(dtype, T.StringType)))
+        is_text = isinstance(dtype, T.StringType)
+        return clean.or_zero(clean.number(F.col(name)) if is_text else F.col(name).cast("double"))
 
     return fact.withColumns({c: measure(c) for c in MEASURES if c in fact.columns})
 
@@ -232,11 +234,13 @@ def select_view(star: Star, selection: Selection = Selection(), calendar: str =
             key = ATTRIBUTES[attribute][1]
             fact = lookup(fact, _members(star, attribute, values), key, "left_semi")
             active = True
-    return View(star, fact, active)
+    return View(star, fact, active, calendar)
 
 
 def selected_rows(view: View) -> DataFrame:
-    """The star join of the selected facts."""
+    """The star join of the selected facts, each listed once."""
+    if view.calendar != "day":
+        raise ValueError("money in this view is multiplied already; list rows from a day view")
     return _join_dimensions(view.star, view.fact)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
@@ -119,23 +120,23 @@ def fingerprint(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
 
     Only the listing is read: the file contents are pruned away.
     """
-    schema = "table_name string, file_count bigint, byte_count bigint, last_modified timestamp"
     parts = []
     for name, path in paths.items():
         reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        files = _if_present(lambda: reader.load(path))
-        if files is None:
-            parts.append(spark.createDataFrame([(name, None, None, None)], schema))
-            continue
-        parts.append(
-            files.agg(
-                F.lit(name).alias("table_name"),
-                F.count(F.lit(1)).alias("file_count"),
-                F.sum("length").alias("byte_count"),
-                F.max("modificationTime").alias("last_modified"),
+        found = _if_present(lambda: reader.load(path))
+        if found is None:
+            parts.append(
+                spark.range(1).select(
+                    F.lit(name).alias("table_name"),
+                    F.lit(None).cast("bigint").alias("length"),
+                    F.lit(None).cast("timestamp").alias("modificationTime"),
+                )
             )
-        )
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+        else:
+            parts.append(found.select(F.lit(name).alias("table_name"), "length", "modificationTime"))
+    listing = reduce(DataFrame.union, parts)
+    return listing.groupBy("table_name").agg(
+        F.nullif(F.count("length"), F.lit(0)).alias("file_count"),
+        F.sum("length").alias("byte_count"),
+        F.max("modificationTime").alias("last_modified"),
+    )

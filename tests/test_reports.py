@@ -135,6 +135,8 @@ def test_kpis_on_a_calendar_with_several_timestamps_per_day(star):
     one_day = Selection(date_range=("1996-07-04", "1996-07-04"))
     view = select_view(star, one_day, calendar="timestamp")
     assert pairs(reports.kpis(view)) == [(300.5, 2, 2, 150.25)]
+    with pytest.raises(ValueError, match="day view"):
+        reports.detail_table(view)
     with pytest.raises(ValueError, match="week"):
         select_view(star, calendar="week")
 
