@@ -46,7 +46,12 @@ def _rounded(df: DataFrame, *columns: str, digits: int = 4) -> DataFrame:
 
 
 def _merged(
-    spark: SparkSession, sf_dir: str, table: S.SourceTable, dedupe: bool = True, dated: bool = False
+    spark: SparkSession,
+    sf_dir: str,
+    table: S.SourceTable,
+    dedupe: bool = True,
+    dated: bool = False,
+    cluster_by: str | None = None,
 ) -> DataFrame:
     return star_schema.merge_table(
         table,
@@ -55,6 +60,7 @@ def _merged(
         dedupe=dedupe,
         id_offset=D.ID_OFFSET,
         strict_dates=dated,
+        cluster_by=cluster_by,
     )
 
 
@@ -274,7 +280,7 @@ def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def fact_sales_s(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _merged(spark, sf_dir, S.ORDERS, dated=True)
-    details = _merged(spark, sf_dir, S.ORDER_DETAILS)
+    details = _merged(spark, sf_dir, S.ORDER_DETAILS, cluster_by="OrderID")
     fact = star_schema.fact_sales(orders, details, default_dates=False, orders_unique=True)
     return _fact_output(fact)
 

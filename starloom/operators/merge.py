@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions import clean
+from starloom.operators.join import has_hot_key
 from starloom.schemas import DEFAULT_ID_OFFSET
 
 _PRIORITY = "_priority"
@@ -66,8 +67,13 @@ def merge_sources(
     sql: DataFrame | None,
     keys: Sequence[str],
     dedupe: bool = True,
+    cluster_by: str | None = None,
 ) -> DataFrame | None:
-    """Merge two sources of a table; with ``dedupe`` the extract's row wins for a shared key."""
+    """Merge two sources of a table; with ``dedupe`` the extract's row wins for a shared key.
+
+    ``cluster_by`` names the one of several keys that later steps group by. Rows are then
+    shuffled by it alone, so that those steps need no shuffle of their own, unless it looks hot.
+    """
     if not dedupe:
         return union_sources(extract, sql)
     merged = union_sources(
@@ -76,4 +82,7 @@ def merge_sources(
     )
     if merged is None:
         return None
-    return keep_first(drop_null_keys(merged, keys), keys, [_PRIORITY]).drop(_PRIORITY)
+    merged = drop_null_keys(merged, keys)
+    if cluster_by is not None and not has_hot_key(merged, cluster_by):
+        merged = merged.repartition(cluster_by)
+    return keep_first(merged, keys, [_PRIORITY]).drop(_PRIORITY)

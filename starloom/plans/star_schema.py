@@ -59,6 +59,7 @@ def merge_table(
     dedupe: bool = True,
     id_offset: int = S.DEFAULT_ID_OFFSET,
     strict_dates: bool = False,
+    cluster_by: str | None = None,
 ) -> DataFrame:
     """Conform both sources of ``table`` and merge them; a table absent from both is an error."""
     left, right = extract.get(table.name), sql.get(table.name)
@@ -72,7 +73,7 @@ def merge_table(
             if right is not None:
                 right = require_below(right, "OrderID", id_offset)
         left = clean.conform(left, table, strict_dates)
-    return merge_sources(left, right, table.key, dedupe)
+    return merge_sources(left, right, table.key, dedupe, cluster_by)
 
 
 # Dimensions -----------------------------------------------------------------------------------
@@ -298,7 +299,7 @@ def build_star_database_first(
     """Database-first variant: repeated orders and lines removed, dates mandatory."""
     merged = _merged(extract, sql, id_offset)
     orders = merged(S.ORDERS, strict_dates=True)
-    details = merged(S.ORDER_DETAILS)
+    details = merged(S.ORDER_DETAILS, cluster_by="OrderID")
     categories = merged(S.CATEGORIES)
     return Star(
         dim_time=dim_time_sorted(orders),

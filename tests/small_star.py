@@ -28,7 +28,7 @@ EMPLOYEES = [
     (1, "Ann Lee", "Ann", "Lee", "Rep", "X", "UK"),
     (2, None, "Bob", None, "Rep", "Y", "UK"),
 ]
-SHIPPERS = [(1, "Speedy", "9"), (2, "United", "8")]
+SHIPPERS = [(1, "Rapid", "9"), (2, "Unified", "8")]
 # OrderKey, TimeKey, CustomerKey, EmployeeKey, ShipperKey, total, freight
 FACTS = [
     (1, 19960704, "A", 1, 1, 100.0, 1.0),
@@ -57,7 +57,7 @@ def small_star(spark) -> Star:
     return Star(
         dim_time=frame([(key(d), d, d.year, d.month, d.day) for d in CALENDAR], S.DIM_TIME),
         dim_customer=frame(CUSTOMERS, S.DIM_CUSTOMER),
-        dim_product=frame([(1, "Chai", 18.0, "Drinks", False)], S.DIM_PRODUCT),
+        dim_product=frame([(1, "Tea", 18.0, "Drinks", False)], S.DIM_PRODUCT),
         dim_employee=frame(EMPLOYEES, S.DIM_EMPLOYEE),
         dim_shipper=frame(SHIPPERS, S.DIM_SHIPPER),
         dim_categories=frame([(1, "Drinks")], S.DIM_CATEGORIES),

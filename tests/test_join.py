@@ -56,7 +56,8 @@ def test_a_unique_key_reuses_the_grouping(shuffled):
 
 
 def test_hot_key_detection(spark):
-    df = spark.range(100).selectExpr("case when id < 60 then 1 else id end as k")
-    assert has_hot_key(df, "k", rows=59)
-    assert not has_hot_key(df, "k", rows=60)
-    assert has_hot_key(df.selectExpr("nullif(k, 1) as k"), "k", rows=59)
+    df = spark.range(100_000).selectExpr("case when id < 60000 then 1 else id end as k")
+    assert has_hot_key(df, "k", rows=50_000)
+    assert not has_hot_key(df, "k", rows=70_000)
+    assert has_hot_key(df.selectExpr("nullif(k, 1) as k"), "k", rows=50_000)
+    assert not has_hot_key(df, "k")
