@@ -272,21 +272,54 @@ _define("database_summary", "database_details", _summary("database_details"))
 _define("unique_summary", "unique_details", _summary("unique_details"))
 _define("fact", "merged_orders detail_summary", _fact("merged_orders", "detail_summary"))
 _define("fact_s", "dated_orders unique_summary", _fact("dated_orders", "unique_summary"))
+
+
+def _star(fact: str, days: str, customers: str, more: str) -> str:
+    return f"""
+        SELECT f.*, d.date, d.year, d.month, d.day,
+               c.CustomerName, c.CustomerCity, c.CustomerCountry, c.Phone AS CustomerPhone,
+               e.EmployeeFullName, e.FirstName, e.LastName, e.Title, e.City, e.Country,
+               s.ShipperName, s.Phone AS ShipperPhone {more}
+        FROM {fact} f
+        LEFT JOIN {days} d ON f.TimeKey = d.TimeKey
+        LEFT JOIN {customers} c ON f.CustomerKey = c.CustomerKey
+        LEFT JOIN dim_employee e ON f.EmployeeKey = e.EmployeeKey
+        LEFT JOIN dim_shipper s ON f.ShipperKey = s.ShipperKey
+    """
+
+
 _define(
     "star",
     "fact dim_day dim_customer dim_employee dim_shipper",
+    _star("fact", "dim_day", "dim_customer", ""),
+)
+_define(
+    "dim_day_s",
+    "dated_orders",
+    f"""
+    SELECT {_CALENDAR_COLUMNS} FROM (
+        SELECT DISTINCT cast(cast(OrderDate AS date) AS timestamp) AS date FROM dated_orders)
+    """,
+)
+_define(
+    "dim_customer_s",
+    "merged_customers",
     """
-    SELECT fact.*, d.date, d.year, d.month, d.day,
-           c.CustomerName, c.CustomerCity, c.CustomerCountry, c.Phone AS CustomerPhone,
-           e.EmployeeFullName, e.FirstName, e.LastName, e.Title, e.City, e.Country,
-           s.ShipperName, s.Phone AS ShipperPhone
-    FROM fact
-    LEFT JOIN dim_day d ON fact.TimeKey = d.TimeKey
-    LEFT JOIN dim_customer c ON fact.CustomerKey = c.CustomerKey
-    LEFT JOIN dim_employee e ON fact.EmployeeKey = e.EmployeeKey
-    LEFT JOIN dim_shipper s ON fact.ShipperKey = s.ShipperKey
+    SELECT CustomerID AS CustomerKey, CompanyName AS CustomerName, ContactName, ContactTitle,
+           City AS CustomerCity, Country AS CustomerCountry, Phone
+    FROM merged_customers
     """,
 )
+_define(
+    "star_s",
+    "fact_s dim_day_s dim_customer_s dim_employee dim_shipper",
+    _star(
+        "fact_s",
+        "dim_day_s",
+        "dim_customer_s",
+        ", c.ContactName, c.ContactTitle, strftime(d.date, '%Y-%m') AS year_month",
+    ),
+)
 
 _ROUNDED_MEASURES = """
     round(TotalLineTotal, 4) AS TotalLineTotal, round(AverageDiscount, 6) AS AverageDiscount
@@ -301,6 +334,15 @@ def _selected(condition: str) -> str:
     return _with("star", f"SELECT {_ROUNDED} FROM star WHERE {condition}")
 
 
+def _detail(condition: str) -> str:
+    return _with(
+        "star",
+        f"""SELECT OrderKey, date, CustomerName, CustomerCountry, EmployeeFullName,
+                   ShipperName, DetailCount, TotalQuantity, Freight, {_ROUNDED_MEASURES}
+            FROM star WHERE {condition}""",
+    )
+
+
 def _domain(column: str) -> str:
     return _with("star", f"SELECT DISTINCT {column} FROM star WHERE {column} IS NOT NULL")
 
@@ -446,12 +488,7 @@ def all_sql() -> dict[str, str]:
                     SELECT DISTINCT OrderDate AS date FROM dated_orders)""",
         ),
         "dim_customer": _with("dim_customer", "SELECT * FROM dim_customer"),
-        "dim_customer_s": _with(
-            "merged_customers",
-            """SELECT CustomerID AS CustomerKey, CompanyName AS CustomerName, ContactName,
-                      ContactTitle, City AS CustomerCity, Country AS CustomerCountry, Phone
-               FROM merged_customers""",
-        ),
+        "dim_customer_s": _with("dim_customer_s", "SELECT * FROM dim_customer_s"),
         "dim_product": _with("dim_product", "SELECT * FROM dim_product"),
         "dim_product_s": _with(
             "merged_products categories",
@@ -476,6 +513,7 @@ def all_sql() -> dict[str, str]:
         "fact_sales": _with("fact", f"SELECT {_ROUNDED} FROM fact"),
         "fact_sales_s": _with("fact_s", f"SELECT {_ROUNDED} FROM fact_s"),
         "star_join": _with("star", f"SELECT {_ROUNDED} FROM star"),
+        "star_join_s": _with("star_s", f"SELECT {_ROUNDED} FROM star_s"),
         # The join itself, row by row, then counted per fact.
         "star_join_fanout": _with(
             "fact dim_time",
@@ -547,12 +585,8 @@ def all_sql() -> dict[str, str]:
                 FROM star WHERE ShipperName IS NOT NULL AND date IS NOT NULL
                 GROUP BY ShipperName""",
         ),
-        "detail_table": _with(
-            "star",
-            f"""SELECT OrderKey, date, CustomerName, CustomerCountry, EmployeeFullName,
-                       ShipperName, DetailCount, TotalQuantity, Freight, {_ROUNDED_MEASURES}
-                FROM star WHERE date IS NOT NULL""",
-        ),
+        "detail_table": _detail("date IS NOT NULL"),
+        "detail_export": _detail(_MIXED),
         "dq_contract": _with(_STAR_TABLES, _contract()),
         "dq_row_counts": _with(
             _STAR_TABLES + " categories",

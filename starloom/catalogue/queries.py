@@ -25,6 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
 _STARS = StoredStars()
+_STARS_DATABASE_FIRST = StoredStars(database_first=True)
 
 
 def _query(function: Query) -> Query:
@@ -70,6 +71,14 @@ def build_star(spark: SparkSession, sf_dir: str) -> Star:
     )
 
 
+def build_star_database_first(spark: SparkSession, sf_dir: str) -> Star:
+    return star_schema.build_star_database_first(
+        D.extract(spark, sf_dir, dated=True),
+        D.database(spark, sf_dir, dated=True),
+        id_offset=D.ID_OFFSET,
+    )
+
+
 def _stored(spark: SparkSession, sf_dir: str) -> Star:
     return _STARS.get(spark, D.paths(sf_dir), lambda: build_star(spark, sf_dir))
 
@@ -290,6 +299,14 @@ def star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fact_output(reports.star_join(_stored(spark, sf_dir)))
 
 
+@_query
+def star_join_s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    star = _STARS_DATABASE_FIRST.get(
+        spark, D.paths(sf_dir), lambda: build_star_database_first(spark, sf_dir)
+    )
+    return _fact_output(reports.star_join(star))
+
+
 @_query
 def star_join_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = reports.star_join_fanout(_stored(spark, sf_dir))
@@ -429,6 +446,15 @@ def detail_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fact_output(rows)
 
 
+@_query
+def detail_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The detail listing of a filtered view through its CSV export."""
+    path = new_folder(spark, "detail")
+    rows = _fact_output(reports.detail_table(_view(spark, sf_dir, _MIXED)))
+    files.write_csv(rows, path)
+    return files.read_csv_table(spark, path, rows.schema)
+
+
 # Quality --------------------------------------------------------------------------------------
 
 

@@ -110,7 +110,10 @@ def dim_time_sorted(orders: DataFrame) -> DataFrame:
 
 def day_calendar(calendar: DataFrame) -> DataFrame:
     """One row per day of a calendar that may hold several timestamps per day."""
-    return _calendar(calendar.select(clean.midnight(F.col("date")).alias("date")).distinct())
+    days = _calendar(calendar.select(clean.midnight(F.col("date")).alias("date")).distinct())
+    if "year_month" in calendar.columns:
+        days = days.withColumn("year_month", clean.month_label(F.col("date")))
+    return days
 
 
 def _one_per_key(df: DataFrame, key: str, unique: bool) -> DataFrame:

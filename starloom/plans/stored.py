@@ -10,7 +10,7 @@ from functools import cache
 from pyspark.sql import SparkSession
 
 from starloom.plans.star_schema import Star
-from starloom.sources.files import fingerprint, read_star, write_star
+from starloom.sources import files
 
 
 @cache
@@ -38,23 +38,23 @@ class StoredStars:
     The tables lie in the shared folder, so they outlive lost executors.
     """
 
-    def __init__(self) -> None:
+    def __init__(self, database_first: bool = False) -> None:
+        self._database_first = database_first
         self._paths: dict[tuple, str] = {}
 
     def path(
         self, spark: SparkSession, source_paths: dict[str, str], build: Callable[[], Star]
     ) -> str:
         """Folder of the star built from these sources in their present state."""
-        # One row per source table.
-        state = tuple(fingerprint(spark, source_paths).orderBy("table_name").collect())
-        state = (tuple(sorted(source_paths.items())), state)
-        if state not in self._paths:
+        key = (tuple(sorted(source_paths.items())), files.state(spark, source_paths))
+        if key not in self._paths:
             path = new_folder(spark, "star")
-            write_star(build(), path)
-            self._paths[state] = path
-        return self._paths[state]
+            files.write_star(build(), path)
+            self._paths[key] = path
+        return self._paths[key]
 
     def get(
         self, spark: SparkSession, source_paths: dict[str, str], build: Callable[[], Star]
     ) -> Star:
-        return read_star(spark, self.path(spark, source_paths, build))
+        path = self.path(spark, source_paths, build)
+        return files.read_star(spark, path, database_first=self._database_first)

@@ -149,6 +149,20 @@ STAR_TABLES: dict[str, T.StructType] = {
     "fact_sales": FACT_SALES,
 }
 
+# The database-first variant writes no categories and adds these columns.
+_EXTRA_COLUMNS = {
+    "dim_time": _struct(year_month=_STRING),
+    "dim_customer": _struct(ContactName=_STRING, ContactTitle=_STRING),
+    "dim_product": _struct(
+        QuantityPerUnit=_STRING, UnitsInStock=_LONG, UnitsOnOrder=_LONG, ReorderLevel=_LONG
+    ),
+}
+STAR_TABLES_DATABASE_FIRST: dict[str, T.StructType] = {
+    name: T.StructType([*schema, *_EXTRA_COLUMNS.get(name, [])])
+    for name, schema in STAR_TABLES.items()
+    if name != "dim_categories"
+}
+
 # The columns the data check demands of each output table, in its order.
 REQUIRED_COLUMNS: dict[str, list[str]] = {
     "dim_time": ["TimeKey", "date", "year", "month", "day"],

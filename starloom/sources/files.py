@@ -85,12 +85,13 @@ def write_star(star: Star, path: str, fmt: str = "parquet") -> None:
         else:
             df.write.mode("overwrite").parquet(target)
     if fmt == "parquet":
-        days = day_calendar(read_table(star.fact_sales.sparkSession, path, "dim_time"))
+        days = day_calendar(star.fact_sales.sparkSession.read.parquet(f"{path}/dim_time"))
         days.coalesce(1).write.mode("overwrite").parquet(f"{path}/dim_day")
 
 
-def read_table(spark: SparkSession, path: str, name: str, fmt: str = "parquet") -> DataFrame:
-    schema = S.DIM_TIME if name == "dim_day" else S.STAR_TABLES[name]
+def _read_table(
+    spark: SparkSession, path: str, name: str, fmt: str, schema: T.StructType
+) -> DataFrame:
     if fmt == "csv":
         return read_csv_table(spark, f"{path}/{name}", schema)
     if name == "fact_sales":
@@ -98,9 +99,14 @@ def read_table(spark: SparkSession, path: str, name: str, fmt: str = "parquet")
     return spark.read.schema(schema).parquet(f"{path}/{name}")
 
 
-def read_star(spark: SparkSession, path: str, fmt: str = "parquet") -> Star:
-    names = list(S.STAR_TABLES) + (["dim_day"] if fmt == "parquet" else [])
-    return Star(**{name: read_table(spark, path, name, fmt) for name in names})
+def read_star(
+    spark: SparkSession, path: str, fmt: str = "parquet", database_first: bool = False
+) -> Star:
+    """A stored star, in the schemas of the variant that wrote it."""
+    schemas = S.STAR_TABLES_DATABASE_FIRST if database_first else S.STAR_TABLES
+    if fmt == "parquet":
+        schemas = schemas | {"dim_day": schemas["dim_time"]}
+    return Star(**{n: _read_table(spark, path, n, fmt, schema) for n, schema in schemas.items()})
 
 
 def stored_tables(
@@ -115,6 +121,23 @@ def stored_tables(
     return tables
 
 
+def _listing(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+
+
+def state(spark: SparkSession, paths: dict[str, str]) -> tuple:
+    """One value that changes when a file of any table does; cheaper than the fingerprint."""
+    files = _if_present(lambda: _listing(spark, list(paths.values())))
+    if files is None:
+        return tuple(fingerprint(spark, paths).orderBy("table_name").collect())
+    # The hashes are shortened so that their sum over many files stays in range.
+    file_hash = F.shiftright(F.xxhash64("path", "length", "modificationTime"), 24)
+    return tuple(
+        files.agg(F.count(F.lit(1)), F.sum("length"), F.max("modificationTime"), F.sum(file_hash))
+        .first()
+    )
+
+
 def fingerprint(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """Files, bytes and latest change per table, nulls for a table that is not there.
 
@@ -122,8 +145,7 @@ def fingerprint(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """
     parts = []
     for name, path in paths.items():
-        reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        found = _if_present(lambda: reader.load(path))
+        found = _if_present(lambda: _listing(spark, path))
         if found is None:
             parts.append(
                 spark.range(1).select(

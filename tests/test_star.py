@@ -194,6 +194,21 @@ def test_storage_roundtrip(spark, tmp_path, fmt):
         assert stored.select(*columns).schema.simpleString() == df.schema.simpleString(), name
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_database_first_storage(spark, tmp_path, fmt):
+    from starloom.plans import reports
+
+    star = build_star_database_first(*sources(spark))
+    files.write_star(star, str(tmp_path), fmt)
+    back = files.read_star(spark, str(tmp_path), fmt, database_first=True)
+    for name, df in star.tables().items():
+        assert rows(back.tables()[name], *sorted(df.columns)) == rows(df, *sorted(df.columns)), name
+    joined = reports.star_join(back)
+    assert {"year_month", "ContactName", "ContactTitle"} <= set(joined.columns)
+    assert joined.count() == 4
+    assert reports.kpis(reports.select_view(back)).first().orders == 4
+
+
 def test_date_filters_skip_other_years(spark, tmp_path):
     from starloom.plans.reports import Selection, select_view
 
