@@ -334,6 +334,12 @@ def _selected(condition: str) -> str:
     return _with("star", f"SELECT {_ROUNDED} FROM star WHERE {condition}")
 
 
+def _by_month(rows: str, condition: str) -> str:
+    return f"""SELECT year, month, round({_money("TotalLineTotal")}, 4) AS CA,
+                      make_date(year, month, 1) AS Mois
+               FROM {rows} WHERE {condition} GROUP BY year, month"""
+
+
 def _detail(condition: str) -> str:
     return _with(
         "star",
@@ -570,11 +576,15 @@ def all_sql() -> dict[str, str]:
                 condition=_DATE_FILTER,
             ),
         ),
-        "revenue_by_month": _with(
-            "star",
-            f"""SELECT year, month, round({_money("TotalLineTotal")}, 4) AS CA,
-                       make_date(year, month, 1) AS Mois
-                FROM star WHERE date IS NOT NULL GROUP BY year, month""",
+        "revenue_by_month": _with("star", _by_month("star", "date IS NOT NULL")),
+        # The default range goes from midnight of the first to midnight of the last day.
+        "revenue_by_month_fanout": _with(
+            "fact dim_time",
+            _by_month(
+                "fact JOIN dim_time USING (TimeKey)",
+                "date BETWEEN (SELECT date_trunc('day', min(date)) FROM dim_time)"
+                " AND (SELECT date_trunc('day', max(date)) FROM dim_time)",
+            ),
         ),
         "top_countries": _top("CustomerCountry"),
         "top_customers": _top("CustomerName", _MIXED),

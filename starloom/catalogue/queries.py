@@ -420,6 +420,13 @@ def revenue_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(reports.revenue_by_month(_view(spark, sf_dir)), "CA")
 
 
+@_query
+def revenue_by_month_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue per month as it comes out on the calendar with several timestamps per day."""
+    view = _view(spark, sf_dir, calendar="timestamp")
+    return _rounded(reports.revenue_by_month(view), "CA")
+
+
 @_query
 def top_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(reports.top_countries(_view(spark, sf_dir)), "CA")

@@ -124,11 +124,12 @@ def conform(df: DataFrame, table: S.SourceTable, strict_dates: bool = False) ->
     Both sources of a merge go through this first, so that a text key on one side and a numeric
     key on the other meet in one type.
     """
+    types = {field.name: field.dataType for field in df.schema}
     out = []
     for name, kind in table.columns.items():
-        if name not in df.columns:
+        if name not in types:
             continue
-        dtype = df.schema[name].dataType
+        dtype = types[name]
         is_text = isinstance(dtype, T.StringType)
         out.append(_clean(F.col(name), kind, is_text, dtype, strict_dates).alias(name))
     return df.select(*out)

@@ -25,7 +25,7 @@ def lookup(
     if right_grouped:
         same = same & (F.xxhash64(F.col(key)) == F.xxhash64(F.col("_lookup_key")))
     joined = left.join(right, same, how)
-    return joined if how == "left_semi" else joined.drop("_lookup_key")
+    return joined.drop("_lookup_key")
 
 
 def has_hot_key(df: DataFrame, key: str, rows: int = 1_000_000, fraction: float = 0.01) -> bool:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,13 +54,27 @@ class Selection:
 
 @dataclass(frozen=True)
 class View:
-    """The facts a selection leaves, and whether it differs from the default."""
+    """The facts a selection leaves, and whether it differs from the default.
+
+    ``dated`` are the facts within the dates; ``members`` the keys that further narrow them,
+    each with its column and whether the keys were just grouped.
+    """
 
     star: Star
-    fact: DataFrame
+    dated: DataFrame
+    members: tuple[tuple[DataFrame, str, bool], ...]
     active: bool
     calendar: str = "day"
 
+    def narrow(self, facts: DataFrame) -> DataFrame:
+        for keys, column, grouped in self.members:
+            facts = lookup(facts, keys, column, "left_semi", grouped)
+        return facts
+
+    @property
+    def fact(self) -> DataFrame:
+        return self.narrow(self.dated)
+
 
 # Star join ------------------------------------------------------------------------------------
 
@@ -77,23 +91,30 @@ def _dimension(star: Star, name: str) -> DataFrame:
 def _with_measures(fact: DataFrame) -> DataFrame:
     """Measures as numbers, zero where missing; whole-number measures stay whole."""
 
+    types = {field.name: field.dataType for field in fact.schema}
+
     def measure(name: str) -> Column:
-        dtype = fact.schema[name].dataType
+        dtype = types[name]
         if isinstance(dtype, T.IntegralType):
             return F.coalesce(F.col(name), F.lit(0).cast(dtype))
         is_text = isinstance(dtype, T.StringType)
         return clean.or_zero(clean.number(F.col(name)) if is_text else F.col(name).cast("double"))
 
-    return fact.withColumns({c: measure(c) for c in MEASURES if c in fact.columns})
+    return fact.withColumns({c: measure(c) for c in MEASURES if c in types})
+
+
+def _days(star: Star) -> tuple[DataFrame, bool]:
+    """The calendar at day grain, one row per ``TimeKey``, and whether it had to be grouped."""
+    if star.dim_day is not None:
+        return star.dim_day, False
+    return day_calendar(star.dim_time), True
 
 
 def _join_days(star: Star, df: DataFrame, how: str, *columns: str) -> DataFrame:
-    """Join the calendar at day grain: exactly one row per ``TimeKey``."""
-    stored = star.dim_day is not None
-    days = star.dim_day if stored else day_calendar(star.dim_time)
+    days, grouped = _days(star)
     if columns:
         days = days.select("TimeKey", *columns)
-    return lookup(df, days, "TimeKey", how, right_grouped=not stored)
+    return lookup(df, days, "TimeKey", how, grouped)
 
 
 def _join_dimensions(star: Star, fact: DataFrame) -> DataFrame:
@@ -219,6 +240,7 @@ def select_view(star: Star, selection: Selection = Selection(), calendar: str =
         if FACT_PARTITION in fact.columns:
             fact = fact.where(F.col(FACT_PARTITION).between(days[0].year, days[1].year))
         fact = fact.where(F.col("TimeKey").between(_key_of(days[0]), _key_of(days[1])))
+    members = []
     if calendar == "timestamp":
         rows = calendar_rows(star, days if dated else None)
         fact = lookup(fact, rows, "TimeKey", "inner" if dated else "left", right_grouped=True)
@@ -227,26 +249,41 @@ def select_view(star: Star, selection: Selection = Selection(), calendar: str =
             {c: F.col(c) * copies for c in ("TotalLineTotal", "Freight")}
         ).drop("CalendarRows")
     elif dated:
-        fact = _join_days(star, fact, "left_semi")
+        known, grouped = _days(star)
+        members.append((known.select("TimeKey"), "TimeKey", grouped))
 
     for attribute, values in selection.lists().items():
         if _is_subset(star, attribute, values):
-            key = ATTRIBUTES[attribute][1]
-            fact = lookup(fact, _members(star, attribute, values), key, "left_semi")
+            members.append((_members(star, attribute, values), ATTRIBUTES[attribute][1], False))
             active = True
-    return View(star, fact, active, calendar)
+    return View(star, fact, tuple(members), active, calendar)
 
 
 def selected_rows(view: View) -> DataFrame:
     """The star join of the selected facts, each listed once."""
+    return _listed(view, view.dated)
+
+
+def _listed(view: View, facts: DataFrame) -> DataFrame:
     if view.calendar != "day":
         raise ValueError("money in this view is multiplied already; list rows from a day view")
-    return _join_dimensions(view.star, view.fact)
+    return _join_dimensions(view.star, view.narrow(facts))
 
 
 # Key figures ----------------------------------------------------------------------------------
 
 
+def _holds_all_facts(view: View) -> bool:
+    """Whether the default selection leaves no fact out, so that its orders are all orders.
+
+    Reads one column of the facts, where counting all orders once more would shuffle them.
+    """
+    if view.calendar != "day":
+        return False
+    days = view.star.fact_sales.select("TimeKey")
+    return _join_days(view.star, days, "left_anti").isEmpty()
+
+
 def kpis(view: View) -> DataFrame:
     """Revenue, orders, customers and average basket, in one row.
 
@@ -262,7 +299,8 @@ def kpis(view: View) -> DataFrame:
     orders, customers = F.col("selected_orders"), F.col("selected_customers")
     if not view.active:
         star = view.star
-        orders = star.fact_sales.agg(F.count_distinct("OrderKey")).scalar()
+        if not _holds_all_facts(view):
+            orders = star.fact_sales.agg(F.count_distinct("OrderKey")).scalar()
         customers = star.dim_customer.agg(F.count_distinct("CustomerKey")).scalar()
     basket = F.try_divide("revenue", "selected_orders")
     return figures.select(
@@ -326,10 +364,11 @@ def detail_table(view: View) -> DataFrame:
     """Every selected fact with its display columns, latest day first.
 
     Days are too coarse to sort by alone: a busy day, or copies of one order, would end up in
-    one task. The order number and a running number break such ranges up.
+    one task. The order number and a running number break such ranges up. The number is given
+    where the facts are scanned, so that a task run again gives the same ones.
     """
-    numbered = view.fact.withColumn("_copy", F.monotonically_increasing_id())
-    rows = selected_rows(replace(view, fact=numbered))
-    columns = [c for c in S.DETAIL_COLUMNS if c in rows.columns]
+    rows = _listed(view, view.dated.withColumn("_copy", F.monotonically_increasing_id()))
+    present = set(rows.columns)
+    columns = [c for c in S.DETAIL_COLUMNS if c in present]
     order = [F.col("date").desc_nulls_last(), F.col("OrderKey"), F.col("_copy")]
     return rows.select(*columns, "_copy").orderBy(*order).drop("_copy")

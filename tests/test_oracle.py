@@ -27,3 +27,14 @@ def test_queries_without_sql_return_rows(spark):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize(
+    "name", ["fact_sales", "star_join", "kpi_filtered", "top_customers", "dim_product"]
+)
+def test_without_broadcasts(spark, db, name):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert compare(spark, SF_DIR, name, db) is None
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

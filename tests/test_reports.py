@@ -2,8 +2,10 @@
 
 import datetime as dt
 from collections import defaultdict
+from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 from small_star import CALENDAR, CUSTOMERS, EMPLOYEES, FACTS, SHIPPERS, key, small_star
 
 from starloom.plans import reports
@@ -126,11 +128,20 @@ def test_kpis(star):
     assert pairs(reports.kpis(nothing)) == [(0.0, 0, 0, 0.0)]
 
 
+def test_kpis_when_every_day_is_known(star):
+    known = replace(star, fact_sales=star.fact_sales.where("OrderKey <> 7"))
+    revenue = sum(f[5] for f in ALL_KNOWN)
+    assert pairs(reports.kpis(select_view(known))) == [
+        (revenue, 6, len(CUSTOMERS), pytest.approx(revenue / 6))
+    ]
+
+
 def test_kpis_on_a_calendar_with_several_timestamps_per_day(star):
     # By default the range ends at midnight of the last day, when order 6's day has no row yet.
     view = select_view(star, calendar="timestamp")
     expected = 3 * 300.5 + 50.25 + 15.0
     assert pairs(reports.kpis(view)) == [(expected, 7, 5, pytest.approx(expected / 5))]
+    assert [r[2] for r in pairs(reports.revenue_by_month(view))] == [901.5, 50.25, 15.0]
     # A range ending on the busy day itself keeps the midnight copy only.
     one_day = Selection(date_range=("1996-07-04", "1996-07-04"))
     view = select_view(star, one_day, calendar="timestamp")
@@ -190,8 +201,6 @@ def test_detail_is_sorted_and_whole(star):
 
 
 def test_detail_shows_the_columns_there_are(star):
-    from dataclasses import replace
-
     slim = replace(star, fact_sales=star.fact_sales.drop("Freight"))
     columns = reports.detail_table(select_view(slim)).columns
     assert "Freight" not in columns and "TotalLineTotal" in columns
@@ -210,3 +219,20 @@ def test_exact_sum_does_not_depend_on_order(spark):
     assert float(found.pop()) == pytest.approx(expected, abs=1e-4)
     empty = spark.createDataFrame([], "v double").agg(exact_sum("v").cast("double")).first()
     assert empty[0] == 0.0
+
+
+def test_copies_of_one_order_do_not_end_up_in_one_task(spark, star, tmp_path):
+    """A third of the facts are the same order; the sort spreads them nevertheless."""
+    one = star.fact_sales.where("OrderKey = 1").drop("OrderKey")
+    many = one.selectExpr("*", "explode(sequence(0L, 29999L)) as id").repartition(6)
+    facts = many.selectExpr("if(id % 3 = 0, 1, id) as OrderKey", "* except (id)")
+    facts.write.parquet(str(tmp_path / "fact"))
+    facts = spark.read.parquet(str(tmp_path / "fact"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = reports.detail_table(select_view(replace(star, fact_sales=facts)))
+        parts = rows.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(r["count"] for r in parts) == 30000
+    assert max(r["count"] for r in parts) < 30000 / 3
