@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from starloom import schemas as S
 from starloom.plans import quality
 from starloom.plans.star_schema import Sources, build_star, build_star_database_first
+from starloom.plans.stored import new_folder
 from starloom.sources import database, files
 
 
@@ -31,12 +32,21 @@ def load_database(
     optional: bool = False,
     **options: str,
 ) -> dict[str, DataFrame | None]:
-    """The tables of a database; ``splits`` cuts the large ones into parallel reads."""
-    splits = splits or {}
-    return {
-        t.name: database.read_table(spark, url, t.name, splits.get(t.name), optional, **options)
-        for t in S.SOURCE_TABLES
-    }
+    """The tables of a database; ``splits`` cuts the large ones into parallel reads.
+
+    Each is copied to the shared folder first: the build scans some of them several times, and
+    all scans must see the same rows.
+    """
+    splits, folder = splits or {}, new_folder(spark, "database")
+    found = {}
+    for t in S.SOURCE_TABLES:
+        df = database.read_table(spark, url, t.name, splits.get(t.name), optional, **options)
+        if df is not None:
+            copy = f"{folder}/{t.name.replace(' ', '_')}"
+            df.write.parquet(copy)
+            df = spark.read.parquet(copy)
+        found[t.name] = df
+    return found
 
 
 def run(

@@ -176,13 +176,17 @@ def _key_of(day: dt.date) -> int:
     return day.year * 10000 + day.month * 100 + day.day
 
 
-def date_bounds(star: Star) -> DataFrame:
-    """First and last calendar timestamp that a fact refers to."""
+def _bounds(star: Star, calendar: DataFrame) -> DataFrame:
     used = star.fact_sales.select("TimeKey").distinct()
-    dates = lookup(star.dim_time.select("TimeKey", "date"), used, "TimeKey", "left_semi")
+    dates = lookup(calendar.select("TimeKey", "date"), used, "TimeKey", "left_semi")
     return dates.agg(F.min("date").alias("min_date"), F.max("date").alias("max_date"))
 
 
+def date_bounds(star: Star) -> DataFrame:
+    """First and last calendar timestamp that a fact refers to."""
+    return _bounds(star, star.dim_time)
+
+
 def filter_domain(star: Star, attribute: str) -> DataFrame:
     """Values of an attribute that occur among the facts, sorted."""
     dimension, key = ATTRIBUTES[attribute]
@@ -227,7 +231,7 @@ def select_view(star: Star, selection: Selection = Selection(), calendar: str =
     picked = selection.date_range
     bounds = None
     if picked is not None or calendar == "timestamp":
-        first, last = date_bounds(star).first()
+        first, last = _bounds(star, _days(star)[0]).first()
         bounds = None if first is None else (first.date(), last.date())
     days = bounds
     if picked is not None and len(picked) == 2:

@@ -49,6 +49,22 @@ def test_missing_database(spark):
         database.read_table(spark, "jdbc:none:x", "Orders")
 
 
+def test_database_tables_are_read_once(spark, monkeypatch):
+    asked = []
+
+    def read(spark, url, table, split=None, optional=False, **options):
+        asked.append((table, split))
+        return None if table == "Shippers" else spark.range(3).selectExpr("id", "uuid() as v")
+
+    monkeypatch.setattr(database, "read_table", read)
+    split = database.ParallelRead("OrderID", 1, 9, 3)
+    found = etl.load_database(spark, "jdbc:x", {"Orders": split}, optional=True)
+    assert found["Shippers"] is None and asked[0] == ("Orders", split) and len(asked) == 7
+    orders = found["Order Details"]
+    assert sorted(orders.collect()) == sorted(orders.collect())
+    assert "FileScan parquet" in orders._jdf.queryExecution().executedPlan().toString()
+
+
 def test_fingerprint(spark, tmp_path):
     spark.range(5).repartition(2).write.parquet(f"{tmp_path}/a")
     paths = {"a": f"{tmp_path}/a", "b": f"{tmp_path}/b"}
