@@ -1,0 +1,65 @@
+import random
+
+from starloom.llm import queries, url_filter
+
+RULES = [
+    ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"), ("block", "com", "/de/"),
+]
+
+
+def judge(url, rules, default="allow"):
+    host = path = ""
+    if url is not None and "://" in url:
+        rest = url.split("://", 1)[1]
+        end = min((rest.find(c) for c in "/?#" if c in rest), default=len(rest))
+        host = "".join(c.lower() if c.isascii() else c for c in rest[:end])
+        rest = rest[end:]
+        path = rest[: min((rest.find(c) for c in "?#" if c in rest), default=len(rest))]
+    fits = [
+        (h.count("."), len(p), h + p, v) for v, h, p in rules
+        if host and (host == h or host.endswith("." + h)) and path.startswith(p)
+    ]
+    best = max(fits, default=None)
+    return host, path, best and best[2], best[3] if best else default
+
+
+def _found(spark, urls, rules):
+    pages = spark.createDataFrame([(i, u, "r", 1) for i, u in enumerate(urls)], "page_id bigint, url string, rule string, path int")
+    ruled = spark.createDataFrame(rules, url_filter.RULES)
+    rows = url_filter.judge(pages, ruled).select("page_id", "host", "path", "rule", "verdict")
+    return sorted(tuple(r) for r in rows.collect())
+
+
+def _expected(urls, rules):
+    return [(i, *judge(u, rules)) for i, u in enumerate(urls)]
+
+
+def test_odd_urls(spark):
+    urls = [
+        None, "", "no scheme", "://", "http://", "http://org", "http://org/", "HTTP://A.ORG/Es/",
+        "x://example.org/es/1?u=http://b.com/de/", "http://fr.com/fr", "http://fr.com/fr/", "http://com/de/x#y/z",
+        "http://example.org/en/1", "http://a.b.example.org/en/12?x", "http://notexample.org/es/", "http://É.org/",
+        "http://example.org?/es/", "http://.org/", "http://org./", "http://a..org/", "http://a:80/x", "mailto:x",
+        "http://" + "a." * 3000 + "org/" + "p/" * 3000, "http://example.org/es/\U0010ffff",
+    ]
+    assert _found(spark, urls * 2, RULES) == _expected(urls * 2, RULES)
+    assert _found(spark, urls, []) == _expected(urls, [])
+    assert _found(spark, [], RULES) == []
+
+
+def test_nested_rules_and_many_sweeps(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "KEYS_PER_SWEEP", 7)
+    rng = random.Random(5)
+    hosts = ["a", "b.a", "c.b.a", "b", "a.b", "ba"]
+    some = lambda n: "".join(rng.choices(["/", "x", "é", "/x"], k=rng.randint(0, n)))
+    rules = list({(h, p): (rng.choice(["allow", "block"]), h, p) for h, p in ((rng.choice(hosts), some(4)) for _ in range(60))}.values())
+    urls = [f"s://{rng.choice(['', 'z.', 'c.'])}{rng.choice(hosts)}/{some(6)}" for _ in range(500)]
+    assert _found(spark, urls, rules) == _expected(urls, rules)
+
+
+def test_query_has_every_page(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url").collect()
+    found = sorted(tuple(r) for r in queries.op1_url_filter(spark, sf).collect())
+    assert found == sorted((r.page_id, *judge(r.url, RULES)) for r in rows)
