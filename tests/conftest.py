@@ -9,5 +9,6 @@ from starloom.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    return local_session("8")
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
+    return local_session("8", **{"spark.checkpoint.dir": str(shared)})
