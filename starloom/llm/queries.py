@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import byte_bpe, classifier, token_counts, topk, url_filter
+from starloom.llm import byte_bpe, classifier, suffix_dedup, token_counts, topk, url_filter
 from starloom.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,13 @@ def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+@_query
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.cut(table(spark, sf_dir, "documents"))
+    digest = F.sha2("kept", 256).alias("kept_sha256")
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", digest)
+
+
 @_query
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), PIECES)
