@@ -1,10 +1,11 @@
 """Byte-level BPE: encode texts by a rank file, decode ids again.
 
-Each match of a pre-token pattern is encoded on its own. The merges of a pre-token are driven by a
-rank queue: one bucket per merge rank holds the positions whose pair has that rank, and a bitmap
-of three levels finds the smallest rank in use by find-first-set. Entries are not removed when a
-neighbour merges; a popped entry whose pair has another rank by then is skipped. A pre-token of n
-bytes takes about n log n steps, so texts without any white space are no trouble.
+Each match of a pre-token pattern is encoded on its own. The merges are driven by a rank queue: one
+bucket per merge rank holds the positions, in linked lists of parts, whose pair has that rank, and a
+bitmap of two levels finds the smallest rank in use by find-first-set. Entries are not removed when
+a neighbour merges; an entry whose pair has another rank by then is skipped. A pre-token of n bytes
+takes about n steps, so texts without any white space are no trouble, and many pre-tokens share one
+queue, as their merges do not touch each other.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Callable, Iterator
-from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -21,11 +21,11 @@ from pyspark.sql import DataFrame
 
 from starloom.llm.tables import text_batches
 
-WORD = 64
-#: Encoded pre-tokens that a task keeps; it starts again when there are more. Speed only.
-CACHED = 200_000
-#: Longer pre-tokens are not kept.
-CACHED_CHARS = 48
+WORD = 256
+#: Parts of texts that a task remembers; it starts again when there are more. Speed only.
+CACHED = 600_000
+#: Characters of texts that are encoded together, and bytes of pre-tokens in one queue.
+TOGETHER, QUEUED = 1 << 20, 1 << 17
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -35,129 +35,196 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in pairs}
 
 
-class RankQueue:
-    """Positions by rank; the smallest rank first and, of equal ranks, the smallest position."""
-
-    def __init__(self, ranks: int) -> None:
-        self._buckets: dict[int, list[int]] = {}
-        self._low = [0] * (ranks // WORD + 1)
-        self._mid = [0] * (len(self._low) // WORD + 1)
-        self._top = 0
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self._buckets.get(rank)
-        if bucket is None:
-            bucket = self._buckets[rank] = []
-        if not bucket:
-            low = rank // WORD
-            self._low[low] |= 1 << rank % WORD
-            self._mid[low // WORD] |= 1 << low % WORD
-            self._top |= 1 << low // WORD
-        heappush(bucket, position)
-
-    def pop(self) -> tuple[int, int] | None:
-        if not self._top:
-            return None
-        mid = (self._top & -self._top).bit_length() - 1
-        word = self._mid[mid]
-        low = mid * WORD + (word & -word).bit_length() - 1
-        word = self._low[low]
-        rank = low * WORD + (word & -word).bit_length() - 1
-        bucket = self._buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            self._low[low] &= ~(1 << rank % WORD)
-            if not self._low[low]:
-                self._mid[mid] &= ~(1 << low % WORD)
-                if not self._mid[mid]:
-                    self._top &= ~(1 << mid)
-        return rank, position
+class Merger:
+    """Ids of pre-tokens, by a rank queue.
+
+    The bitmap has two levels: a bit per rank, in words, and a bit per word that isn't empty.
+    """
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        self._rank = ranks.get
+        size = max(ranks.values(), default=0) + 1
+        self._buckets: list[list[int]] = [[] for _ in range(size)]
+        self._words = [0] * (size // WORD + 1)
+        self._bit = [1 << i for i in range(max(WORD, len(self._words)))]
+        self._packed = {token: rank.to_bytes(4, "little") for token, rank in ranks.items()}
+        self._two = np.full(1 << 16, -1)
+        for token, rank in ranks.items():
+            if len(token) == 2:
+                self._two[int.from_bytes(token, "big")] = rank
+
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """Packed ids of each pre-token."""
+        out = [self._packed.get(piece) for piece in pieces]
+        begin, held = [], 0
+        for n, ids in enumerate(out):
+            if ids is None:
+                begin.append(n)
+                held += len(pieces[n])
+                if held >= QUEUED:
+                    self._merge(pieces, begin, out)
+                    begin, held = [], 0
+        self._merge(pieces, begin, out)
+        return out
+
+    def _merge(self, pieces: list[bytes], which: list[int], out: list) -> None:
+        data = b"".join([pieces[n] for n in which])
+        size = len(data)
+        if not size:
+            return
+        rank_of, buckets, words, bit = self._rank, self._buckets, self._words, self._bit
+        lengths = np.array([len(pieces[n]) for n in which])
+        stops = np.cumsum(lengths)
+        stop = np.repeat(stops, lengths).tolist()
+        after = list(range(1, size + 1))  # start of the next part
+        before = np.arange(-1, size - 1)
+        before[stops - lengths] = -1
+        before = before.tolist()
+        codes = np.frombuffer(data, np.uint8).astype(np.int64)
+        first = np.full(size, -1)
+        first[:-1] = self._two[codes[:-1] << 8 | codes[1:]]
+        first[stops - 1] = -1
+        pair = first.tolist()  # rank of a part and the next one, -1 for none
+        used = 0
+        order = np.argsort(first, kind="stable")
+        order = order[np.searchsorted(first[order], 0) :]
+        ranks, heads = np.unique(first[order], return_index=True)
+        for rank, places in zip(ranks.tolist(), np.split(order, heads[1:])):
+            buckets[rank] = places.tolist()
+            words[rank // WORD] |= bit[rank % WORD]
+            used |= bit[rank // WORD]
+
+        while used:
+            at = (used & -used).bit_length() - 1
+            word = words[at]
+            rank = at * WORD + (word & -word).bit_length() - 1
+            words[at] = word = word & (word - 1)
+            if not word:
+                used &= used - 1
+            bucket = buckets[rank]
+            buckets[rank] = []
+            bucket.sort()  # of equal ranks the smallest position comes first
+            for n, i in enumerate(bucket):
+                if pair[i] != rank:
+                    continue  # stale
+                gone = after[i]
+                after[i] = end = after[gone]
+                pair[gone] = -1
+                lower = False
+                if end < stop[i]:
+                    before[end] = i
+                    pair[i] = new = rank_of(data[i : after[end]], -1)
+                    if new >= 0:
+                        if not (bucket_new := buckets[new]):
+                            words[new // WORD] |= bit[new % WORD]
+                            used |= bit[new // WORD]
+                        bucket_new.append(i)
+                        lower = new < rank
+                else:
+                    pair[i] = -1
+                left = before[i]
+                if left >= 0:
+                    pair[left] = new = rank_of(data[left:end], -1)
+                    if new >= 0:
+                        if not (bucket_new := buckets[new]):
+                            words[new // WORD] |= bit[new % WORD]
+                            used |= bit[new // WORD]
+                        bucket_new.append(left)
+                        lower = lower or new < rank
+                if lower and n + 1 < len(bucket):  # that pair is due before the rest of the bucket
+                    buckets[rank] = bucket[n + 1 :]
+                    words[at] |= bit[rank % WORD]
+                    used |= bit[at]
+                    break
+
+        packed = self._packed
+        i = 0
+        for n, end in zip(which, stops.tolist()):
+            ids = []
+            while i < end:
+                ids.append(packed[data[i : after[i]]])
+                i = after[i]
+            out[n] = b"".join(ids)
 
 
 class Encoder:
-    """Ids of pre-tokens and bytes of ids, under one vocabulary."""
+    """Ids of texts and bytes of ids, under one vocabulary.
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
-        self.ranks = ranks
-        self.tokens = {rank: token for token, rank in ranks.items()}
-        self._size = max(ranks.values(), default=0) + 1
+    ``split_at_spaces`` says of the pattern that a single space between two characters that are not
+    white space always begins a match, as it does in the usual patterns. The parts between such
+    spaces are then looked up whole, which spares finding the matches of known parts.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str, split_at_spaces: bool = False) -> None:
+        self.tokens = [b""] * (max(ranks.values(), default=0) + 1)
+        for token, rank in ranks.items():
+            self.tokens[rank] = token
+        self._merge = Merger(ranks).merge
         self._split = regex.compile(pattern).findall
-        self._cache: dict[str, bytes] = {}
-
-    def merge(self, piece: bytes) -> list[int]:
-        """Ids of one pre-token."""
-        whole = self.ranks.get(piece)
-        if whole is not None:
-            return [whole]
-        n = len(piece)
-        rank_of = self.ranks.get
-        after = list(range(1, n + 2))  # start of the next part
-        before = list(range(-1, n))
-        pair: list[int | None] = [rank_of(piece[i : i + 2]) for i in range(n - 1)] + [None]
-        queue = RankQueue(self._size)
-        for i, rank in enumerate(pair):
-            if rank is not None:
-                queue.push(rank, i)
-
-        def renew(i: int) -> None:
-            middle = after[i]
-            rank = rank_of(piece[i : after[middle]]) if middle < n else None
-            pair[i] = rank
-            if rank is not None:
-                queue.push(rank, i)
-
-        while (found := queue.pop()) is not None:
-            rank, i = found
-            if pair[i] != rank:
-                continue
-            gone = after[i]
-            pair[gone] = None
-            after[i] = end = after[gone]
-            if end < n:
-                before[end] = i
-            renew(i)
-            if i > 0:
-                renew(before[i])
-        ids = []
-        i = 0
-        while i < n:
-            ids.append(self.ranks[piece[i : after[i]]])
-            i = after[i]
-        return ids
-
-    def _piece(self, piece: str) -> bytes:
-        ids = np.array(self.merge(piece.encode()), "<u4").tobytes()
-        if len(piece) <= CACHED_CHARS:
-            if len(self._cache) >= CACHED:
-                self._cache.clear()
-            self._cache[piece] = ids
-        return ids
-
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        known, new = self._cache.get, self._piece
-        return b"".join([known(piece) or new(piece) for piece in self._split(text)])
+        self._at_spaces = split_at_spaces
+        self._known: dict[str, bytes] = {}
+
+    def _parts(self, text: str) -> list[str]:
+        """Parts of a text that can be encoded on their own."""
+        if not self._at_spaces:
+            return self._split(text)
+        first, *rest = text.split(" ")
+        for part in rest:
+            if not part or part[0].isspace() or part[-1].isspace():
+                return self._split(text)
+        if rest and (not first or first[-1].isspace()):
+            return self._split(text)
+        return [first, *[" " + part for part in rest]] if first else []
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        parts = [self._parts(text) for text in texts]
+        known = self._known
+        if len(known) > CACHED:
+            known.clear()
+        new = list({part for own in parts for part in own if part not in known})
+        pieces = [self._split(part) for part in new]
+        distinct = list({piece for own in pieces for piece in own})
+        ids = dict(zip(distinct, self._merge([piece.encode() for piece in distinct])))
+        for part, own in zip(new, pieces):
+            known[part] = b"".join([ids[piece] for piece in own])
+        return [b"".join([known[part] for part in own]) for own in parts]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
+def _groups(texts: list[str]) -> Iterator[list[str]]:
+    """Texts that are encoded together; a long one is alone."""
+    group: list[str] = []
+    size = 0
+    for text in texts:
+        if group and size + len(text) > TOGETHER:
+            yield group
+            group, size = [], 0
+        group.append(text)
+        size += len(text)
+    if group:
+        yield group
+
+
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
-def _map_texts(docs: DataFrame, vocabulary: str, pattern: str, schema: str, row: Callable) -> DataFrame:
-    """``row(encoder, text)`` for every document, the vocabulary read once, on the driver."""
+def _map_texts(docs: DataFrame, vocabulary: str, pattern: str, split_at_spaces: bool, schema: str, row: Callable) -> DataFrame:
+    """``row(encoder, ids)`` for every document, the vocabulary read once, on the driver."""
     ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(vocabulary))
-    key = (vocabulary, pattern)
+    key = (vocabulary, pattern, split_at_spaces)
     names = [part.split()[0] for part in schema.split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _ENCODERS.get(key)
         if encoder is None:
-            encoder = _ENCODERS[key] = Encoder(ranks.value, pattern)
+            encoder = _ENCODERS[key] = Encoder(ranks.value, pattern, split_at_spaces)
         for batch in batches:
-            rows = [row(encoder, text.as_py() or "") for text in batch.column("text")]
-            columns = [pa.array(c) for c in zip(*rows)] if rows else []
+            texts = [text or "" for text in batch.column("text").to_pylist()]
+            rows = [row(encoder, ids) for group in _groups(texts) for ids in encoder.encode(group)]
+            columns = [pa.array(c) for c in zip(*rows)]
             if rows:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", *names])
 
@@ -165,7 +232,7 @@ def _map_texts(docs: DataFrame, vocabulary: str, pattern: str, schema: str, row:
     return docs.mapInArrow(run, f"doc_id {kind}, {schema}")
 
 
-def encode(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def encode(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", text: str = "text", split_at_spaces: bool = False) -> DataFrame:
     """``doc_id, n_tokens, ids``: the ids of every whole text, as packed 32-bit integers.
 
     The vocabulary (a rank file, under 1 MB) goes to the executors as a broadcast variable, so
@@ -174,8 +241,8 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id",
     one at a time, nothing is shuffled.
     """
     return _map_texts(
-        text_batches(docs, key, text), vocabulary, pattern, "n_tokens bigint, ids binary",
-        lambda encoder, t: (len(ids := encoder.encode(t)) // 4, ids),
+        text_batches(docs, key, text), vocabulary, pattern, split_at_spaces, "n_tokens bigint, ids binary",
+        lambda _, ids: (len(ids) // 4, ids),
     )
 
 
@@ -193,16 +260,15 @@ def decode(encoded: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, text binary")
 
 
-def round_trip(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", text: str = "text", split_at_spaces: bool = False) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every whole text, encoded and decoded.
 
     Both happen in one pass, so that ids need not be written between.
     """
 
-    def row(encoder: Encoder, t: str) -> tuple[int, str, str]:
-        ids = encoder.encode(t)
+    def row(encoder: Encoder, ids: bytes) -> tuple[int, str, str]:
         back = encoder.decode(ids)
         return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(back).hexdigest()
 
     schema = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return _map_texts(text_batches(docs, key, text), vocabulary, pattern, schema, row)
+    return _map_texts(text_batches(docs, key, text), vocabulary, pattern, split_at_spaces, schema, row)

@@ -68,4 +68,4 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return byte_bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN)
+    return byte_bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN, split_at_spaces=True)
