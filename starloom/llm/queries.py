@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import byte_bpe, classifier, suffix_dedup, token_counts, topk, url_filter
+from starloom.llm import byte_bpe, classifier, jaccard_join, suffix_dedup, token_counts, topk, url_filter
 from starloom.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,13 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), PIECES)
 
 
+@_query
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three-word shingles, nine tenths in common."""
+    found = jaccard_join.classes(table(spark, sf_dir, "documents"), 3, 90)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 @_query
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

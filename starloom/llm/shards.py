@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from starloom.llm.tables import stored
 
-#: Text of a shard. A longer document is a shard of its own.
-SHARD_BYTES = 2 << 20
+#: Text of a shard; a longer document is a shard of its own. Documents of a shard, at most.
+SHARD_BYTES, SHARD_DOCS = 2 << 20, 1 << 16
 #: Text per bucket of keys.
 BUCKET_BYTES = 8 << 20
 #: Counts end here: this many shards, or more.
@@ -103,7 +103,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", carry: list[s
     docs = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), *others)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
+        number = TaskContext.get().partitionId() << 20
         ids: list[int | None] = []
         texts: list[bytes] = []
         others: list[pa.RecordBatch] = []
@@ -126,7 +126,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", carry: list[s
             rest, begin = batch.drop_columns(["doc_id", "text"]), 0
             for n, (i, t) in enumerate(zip(batch.column("doc_id"), batch.column("text"))):
                 data = (t.as_py() or "").encode()
-                if texts and size + len(data) > SHARD_BYTES:
+                if texts and (size + len(data) > SHARD_BYTES or len(texts) == SHARD_DOCS):
                     if carry:
                         others.append(rest.slice(begin, n - begin))
                     yield row()

@@ -455,7 +455,7 @@ def cut(docs: DataFrame, key: str = "doc_id", text: str = "text", carry: list[st
     shards = S.pack(docs, key, text, carry)
     buckets = S.buckets_for(shards)
     counts = S.stored(S.common(shards, _keys, buckets), "anchors")
-    kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry]
+    kinds = [f"_{n} {docs.schema[c].dataType.simpleString()}" for n, c in enumerate(carry)]
 
     def send(row: dict, replies: dict[int, bytes]) -> Iterator[pa.RecordBatch]:
         shard = S.Shard.read(row)
@@ -490,7 +490,8 @@ def cut(docs: DataFrame, key: str = "doc_id", text: str = "text", carry: list[st
             pa.array(removed), pa.array(spans, pa.int64()), pa.array(kept, pa.binary()),
         ]
         others = shard.other_columns().columns if carry else []
-        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", *carry]
+        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", *(f"_{n}" for n in range(len(carry)))]
         yield pa.RecordBatch.from_arrays([*columns, *others], names)
 
-    return S.with_answers(shards, both, finish, ", ".join([CUT, *kinds]))
+    found = S.with_answers(shards, both, finish, ", ".join([CUT, *kinds]))
+    return found.withColumnsRenamed({f"_{n}": c for n, c in enumerate(carry)})
