@@ -23,7 +23,7 @@ from starloom.llm.tables import text_batches
 
 WORD = 256
 #: Parts of texts that a task remembers; it starts again when there are more. Speed only.
-CACHED = 600_000
+CACHED = 1_000_000
 #: Characters of texts that are encoded together, and bytes of pre-tokens in one queue.
 TOGETHER, QUEUED = 1 << 20, 1 << 17
 
@@ -260,15 +260,20 @@ def decode(encoded: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, text binary")
 
 
-def round_trip(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", text: str = "text", split_at_spaces: bool = False) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every whole text, encoded and decoded.
+def round_trip(
+    docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", text: str = "text",
+    split_at_spaces: bool = False, with_ids: bool = False,
+) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every whole text, perhaps with ``ids``.
 
-    Both happen in one pass, so that ids need not be written between.
+    Texts are encoded and decoded in one pass, so that ids need not be written between. Odd rows
+    are treated as in ``encode``.
     """
 
-    def row(encoder: Encoder, ids: bytes) -> tuple[int, str, str]:
+    def row(encoder: Encoder, ids: bytes) -> tuple:
         back = encoder.decode(ids)
-        return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(back).hexdigest()
+        digests = hashlib.sha256(ids).hexdigest(), hashlib.sha256(back).hexdigest()
+        return (len(ids) // 4, *digests, ids) if with_ids else (len(ids) // 4, *digests)
 
-    schema = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    schema = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids
     return _map_texts(text_batches(docs, key, text), vocabulary, pattern, split_at_spaces, schema, row)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import byte_bpe, classifier, jaccard_join, suffix_dedup, token_counts, topk, url_filter
+from starloom.llm import byte_bpe, classifier, decontamination, jaccard_join, suffix_dedup, token_counts, topk, url_filter
 from starloom.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,12 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", digest)
 
 
+@_query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items, with at most eight edits per hundred characters."""
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @_query
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), PIECES)

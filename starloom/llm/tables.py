@@ -19,8 +19,12 @@ def _ship(application: str, spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(shutil.make_archive(base, "zip", root.parent, root.name))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def ship(spark: SparkSession) -> None:
     _ship(spark.sparkContext.applicationId, spark)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
