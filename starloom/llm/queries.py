@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import byte_bpe, classifier, decontamination, jaccard_join, suffix_dedup, token_counts, topk, url_filter
+from starloom.llm import (
+    byte_bpe,
+    classifier,
+    decontamination,
+    jaccard_join,
+    licenses,
+    quotation,
+    suffix_dedup,
+    token_counts,
+    topk,
+    url_filter,
+)
 from starloom.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +74,13 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), PIECES)
 
 
+@_query
+def op6_quotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations in reply order, without quotations."""
+    rows = quotation.formatted(quotation.reply_ordered(table(spark, sf_dir, "conversations")))
+    return rows.orderBy("conv_id", "thread", "depth", "turn", "role", "text")
+
+
 @_query
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-word shingles, nine tenths in common."""
@@ -70,6 +88,14 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+@_query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as files: the URL's host and path are the file's path, tags end lines."""
+    pages = table(spark, sf_dir, "pages")
+    pages = pages.select(licenses.url_path(F.col("url")).alias("path"), licenses.html_lines(F.col("html")).alias("text"))
+    return licenses.scan(pages)
+
+
 @_query
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
