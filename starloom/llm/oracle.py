@@ -48,3 +48,119 @@ FROM scored
 WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
 QUALIFY row_number() OVER best <= 5
 """
+
+_SQL["op6_quotation"] = r"""
+WITH RECURSIVE messages AS (
+    SELECT conv_id, turn, role, text, count(*) AS n_copies, row_number() OVER () AS message
+    FROM conversations GROUP BY conv_id, turn, role, text
+), raw AS (
+    SELECT message, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+    FROM messages WHERE regexp_matches(text, '(^|\n)[ \t]*>')
+), marked AS (
+    SELECT *, regexp_extract(raw, '^[ \t>]*') AS marks FROM raw
+), leveled AS (
+    SELECT message, pos, raw, marks, length(regexp_replace(marks, '[^>]', '', 'g')) AS level FROM marked
+), numbered AS (
+    SELECT message, pos, level, CASE WHEN level > 0 THEN substr(raw, length(marks) + 1) ELSE raw END AS line,
+           pos - row_number() OVER (PARTITION BY message, level ORDER BY pos) AS island
+    FROM leveled
+), passages AS (
+    SELECT message, level, trim(regexp_replace(lower(string_agg(line, chr(10) ORDER BY pos)), '[ \t\r\n]+', ' ', 'g'), ' ') AS words
+    FROM numbered WHERE level > 0 GROUP BY message, level, island
+), own AS (
+    SELECT m.*, CASE WHEN q.message IS NULL THEN m.text ELSE q.own END AS own
+    FROM messages m LEFT JOIN (
+        SELECT message, regexp_replace(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (level = 0), ''), '^\n+|\n+$', '', 'g') AS own
+        FROM numbered GROUP BY message
+    ) q USING (message)
+), units AS (
+    SELECT conv_id, turn, message,
+           unnest([own] || regexp_split_to_array(own, '\n[ \t\r]*\n') || string_split(own, chr(10))) AS unit
+    FROM own WHERE own IS NOT NULL AND conv_id IS NOT NULL AND turn IS NOT NULL
+), firsts AS (
+    SELECT conv_id, words, min({'turn': turn, 'message': message}) AS first
+    FROM (SELECT *, trim(regexp_replace(lower(unit), '[ \t\r\n]+', ' ', 'g'), ' ') AS words FROM units)
+    WHERE words <> '' GROUP BY conv_id, words
+), linked AS (
+    SELECT p.message, count(*) AS n_linked, max(CASE WHEN p.level = 1 THEN f.first END) AS parent
+    FROM passages p JOIN messages m USING (message) JOIN firsts f ON f.conv_id = m.conv_id AND f.words = p.words
+    WHERE f.first.turn < m.turn GROUP BY p.message
+), chain AS (
+    SELECT message, message AS root, 0 AS depth FROM messages
+    UNION ALL
+    SELECT c.message, l.parent.message, c.depth + 1
+    FROM chain c JOIN linked l ON l.message = c.root AND l.parent IS NOT NULL
+), ends AS (
+    SELECT message, max(depth) AS depth, max_by(root, depth) AS root FROM chain GROUP BY message
+)
+SELECT o.conv_id, r.turn AS thread, e.depth::INTEGER AS depth, o.turn, o.role, l.parent.turn AS reply_to,
+       coalesce((SELECT count(*) FROM passages p WHERE p.message = o.message), 0)::BIGINT AS n_quotes,
+       coalesce(l.n_linked, 0)::BIGINT AS n_linked, o.n_copies::BIGINT AS n_copies, o.own AS text,
+       '<|' || coalesce(o.role, 'unknown') || '|>' || chr(10) || coalesce(o.own, '') || chr(10) AS formatted
+FROM own o JOIN ends e USING (message) JOIN messages r ON r.message = e.root LEFT JOIN linked l ON l.message = o.message
+"""
+
+
+def _template_values() -> str:
+    from starloom.llm.licenses import _template_words
+
+    return ", ".join(f"('{name}', {n}, {words!r})" for name, n, words in _template_words())
+
+
+_SQL["op8_license_scan"] = rf"""
+WITH templates(licence, n, words) AS (VALUES {_template_values()}
+), vocabulary AS (
+    SELECT DISTINCT unnest(words) AS word FROM templates
+), files AS (
+    SELECT regexp_extract(url, '://([^?#]*)', 1) AS path, coalesce(regexp_replace(html, '<[^>]*>', chr(10), 'g'), '') AS text
+    FROM pages WHERE url IS NOT NULL
+), named AS (
+    SELECT row_number() OVER () AS file, *,
+           regexp_matches(regexp_extract(path, '[^/]*$'), '(?i)^(un)?licen[cs]e|^copying|^notice') OR ends_with(path, '/') AS is_licence
+    FROM files
+), units AS (
+    SELECT row_number() OVER () AS unit, path, is_licence,
+           list_distinct(regexp_extract_all(translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+')) AS words
+    FROM (SELECT path, is_licence, unnest(list_distinct(string_split(text, chr(10)) || CASE WHEN is_licence THEN [text] ELSE [] END)) AS unit FROM named)
+), total AS (
+    SELECT count(*) AS n FROM units
+), in_units AS (
+    SELECT unit, path, is_licence, len(words) AS size, unnest(words) AS word FROM units
+), weights AS (
+    SELECT word, (ln((1 + (SELECT n FROM total)) / (1 + count(unit))) + 1) ** 2 AS square
+    FROM vocabulary LEFT JOIN in_units USING (word) GROUP BY word
+), lengths AS (
+    SELECT unit, any_value(path) AS path, any_value(is_licence) AS is_licence,
+           sum(square) + (any_value(size) - count(*)) * (ln(1 + (SELECT n FROM total)) / 2 + 1) ** 2 AS length
+    FROM in_units JOIN weights USING (word) GROUP BY unit
+), postings AS (
+    SELECT licence, n, unnest(words) AS word FROM templates
+), template_lengths AS (
+    SELECT n, sum(square) AS length FROM postings JOIN weights USING (word) GROUP BY n
+), scored AS (
+    SELECT u.unit, p.licence, p.n, sum(w.square) AS dot
+    FROM in_units u JOIN postings p USING (word) JOIN weights w USING (word) GROUP BY u.unit, p.licence, p.n
+), best AS (
+    SELECT l.path, l.is_licence, min({{'minus': -score, 'licence': licence}}) AS best
+    FROM (
+        SELECT s.unit, s.licence, round(s.dot / sqrt(l.length * t.length), 6) AS score
+        FROM scored s JOIN lengths l USING (unit) JOIN template_lengths t USING (n)
+    ) JOIN lengths l USING (unit)
+    WHERE score >= 0.75 GROUP BY l.path, l.is_licence
+), paths AS (
+    SELECT DISTINCT path, CASE WHEN contains(path, '/') THEN regexp_extract(path, '^(.*)/[^/]*$', 1) ELSE '' END AS directory FROM files
+), holders AS (
+    SELECT p.directory AS above, min(b.best) AS given FROM best b JOIN paths p USING (path) WHERE is_licence GROUP BY p.directory
+), inherited AS (
+    SELECT p.path, max_by({{'above': h.above, 'given': h.given}}, length(h.above)) AS nearest
+    FROM paths p JOIN holders h ON h.above = '' OR p.directory = h.above OR starts_with(p.directory, h.above || '/')
+    GROUP BY p.path
+), own AS (
+    SELECT path, min(best) AS best FROM best GROUP BY path
+)
+SELECT p.path, coalesce(o.best, i.nearest.given).licence AS licence,
+       CASE WHEN o.best IS NOT NULL THEN 'own' WHEN i.nearest IS NOT NULL THEN 'inherited' END AS basis,
+       -(coalesce(o.best, i.nearest.given).minus) AS score,
+       CASE WHEN o.best IS NULL THEN i.nearest.above END AS directory
+FROM paths p LEFT JOIN own o USING (path) LEFT JOIN inherited i USING (path)
+"""
