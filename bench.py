@@ -41,6 +41,7 @@ HEADLINE = [
     "revenue_by_month",
     "top_countries",
     "top_customers",
+    "top_customers_filtered",
     "top_employees",
     "freight_by_shipper",
     "detail_table",

@@ -66,7 +66,7 @@ _define(
         SELECT o_orderkey AS OrderID, {_ORDER_COLUMNS},
                CASE WHEN NOT (o_orderstatus = 'O' AND o_orderpriority = '1-URGENT')
                     THEN o_orderdate END AS OrderDate
-        FROM orders)
+        FROM (SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderkey % 50 = 0))
     """,
 )
 _define(
@@ -117,7 +117,7 @@ _define(
             SELECT 0 AS src,
                    CASE WHEN c_mktsegment = 'MACHINERY' THEN 'M-' || c_custkey
                         ELSE cast(c_custkey AS varchar) END AS CustomerID,
-                   upper(c_name) AS CompanyName, NULL AS ContactName, NULL AS ContactTitle,
+                   '"' || upper(c_name) || '", Ltd. ' AS CompanyName, NULL AS ContactName, NULL AS ContactTitle,
                    'Head Office' AS City, n_name AS Country, cast(c_nationkey AS varchar) AS Phone
             FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
             WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')
@@ -161,11 +161,10 @@ _define(
     "sheet_employees",
     "",
     """
-    SELECT CASE WHEN n_name = 'NATION_1' THEN NULL ELSE s_suppkey END AS EmployeeID,
+    SELECT CASE WHEN s_suppkey % 4 = 0 THEN s_suppkey END AS EmployeeID,
            'Agent' AS FirstName, cast(s_suppkey AS varchar) AS LastName, 'Agent' AS Title,
            'Field' AS City, n_name AS Country
     FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey
-    WHERE s_acctbal < 0
     """,
 )
 
@@ -414,25 +413,31 @@ def _preview() -> str:
 
 
 _STAR_TABLES = " ".join(_TABLE_COLUMNS)
+_DIMENSION_KEYS = {
+    "dim_time": "TimeKey",
+    "dim_customer": "CustomerKey",
+    "dim_employee": "EmployeeKey",
+    "dim_shipper": "ShipperKey",
+    "dim_product": "ProductKey",
+}
 
 
 def all_sql() -> dict[str, str]:
     return {
         "src_file_extract": """
-            SELECT CASE WHEN c_mktsegment = 'MACHINERY' THEN 'M-' || c_custkey
-                        ELSE cast(c_custkey AS varchar) END AS CustomerID,
-                   upper(c_name) AS CompanyName, 'Head Office' AS City, n_name AS Country,
-                   cast(c_nationkey AS varchar) AS Phone
-            FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
-            WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')""",
+            SELECT CASE c_mktsegment WHEN 'MACHINERY' THEN 'M-' || c_custkey
+                                     WHEN 'BUILDING' THEN cast(c_custkey AS varchar) END AS CustomerID,
+                   '"' || upper(c_name) || '", Ltd. ' AS CompanyName, 'Head Office' AS City,
+                   n_name AS Country, cast(c_nationkey AS varchar) AS Phone
+            FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""",
         "src_header_normalise": """
-            SELECT CASE WHEN p_size > 48 THEN 'TBD' ELSE cast(p_partkey AS varchar) END
-                       AS ProductID,
+            SELECT CASE WHEN p_type = 'STANDARD' AND p_size <= 48
+                        THEN cast(p_partkey AS varchar) ELSE 'TBD' END AS ProductID,
                    upper(p_name) AS ProductName, substr(p_brand, 7) AS CategoryID,
                    cast(p_retailprice AS varchar) AS UnitPrice,
                    CASE WHEN p_size < 10 THEN 'True' WHEN p_size < 40 THEN 'False' END
                        AS Discontinued
-            FROM part WHERE p_type = 'STANDARD'""",
+            FROM part""",
         "merge_single_source": _with(
             "dim_shipper",
             "SELECT ShipperKey AS ShipperID, ShipperName AS CompanyName, Phone FROM dim_shipper",
@@ -475,10 +480,10 @@ def all_sql() -> dict[str, str]:
                         THEN c_mktsegment END AS segment
             FROM customer""",
         "key_trim": """
-            SELECT CASE WHEN c_mktsegment = 'MACHINERY' THEN 'M-' || c_custkey
-                        ELSE cast(c_custkey AS varchar) END AS CustomerKey,
-                   upper(c_name) AS CompanyName
-            FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')""",
+            SELECT CASE c_mktsegment WHEN 'MACHINERY' THEN 'M-' || c_custkey
+                                     WHEN 'BUILDING' THEN cast(c_custkey AS varchar) END AS CustomerKey,
+                   '"' || upper(c_name) || '", Ltd. ' AS CompanyName
+            FROM customer""",
         "nullable_int_key": _with(
             "sheet_employees", "SELECT LastName, EmployeeID AS EmployeeKey FROM sheet_employees"
         ),
@@ -542,7 +547,7 @@ def all_sql() -> dict[str, str]:
         "filter_date_range_swapped": _selected(_DATE_FILTER),
         "filter_country_subset": _selected(_COUNTRY_FILTER),
         "filter_employee_subset": _selected(
-            "EmployeeFullName IN ('Supplier 000000003', 'Supplier 000000008', 'Agent 4')"
+            "EmployeeFullName IN ('Supplier 000000003', 'Supplier 000000007', 'Agent 4')"
         ),
         "filter_shipper_subset": _selected("ShipperName IN ('HIGH', 'LOW')"),
         "filter_all_selected_is_noop": _selected(
@@ -587,7 +592,8 @@ def all_sql() -> dict[str, str]:
             ),
         ),
         "top_countries": _top("CustomerCountry"),
-        "top_customers": _top("CustomerName", _MIXED),
+        "top_customers": _top("CustomerName"),
+        "top_customers_filtered": _top("CustomerName", _MIXED),
         "top_employees": _top("EmployeeFullName"),
         "freight_by_shipper": _with(
             "star",
@@ -608,16 +614,17 @@ def all_sql() -> dict[str, str]:
             """SELECT 'Orders' AS table_name, count(*) AS row_count FROM merged_orders
                UNION ALL SELECT 'Order Details', count(*) FROM merged_details""",
         ),
-        "dq_null_counts": """
-            SELECT 'missing_order_dates' AS metric,
-                   count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS row_count
-            FROM orders WHERE o_orderstatus = 'P'
-            UNION ALL
-            SELECT 'invalid_products', count(*) FILTER (WHERE p_size > 48)
-            FROM part WHERE p_type = 'STANDARD'
-            UNION ALL
-            SELECT 'rejected_employee_keys', count(*) FILTER (WHERE n_name = 'NATION_1')
-            FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal < 0""",
+        "dq_null_counts": _with(
+            "merged_orders sheet_employees",
+            """SELECT 'missing_order_dates' AS metric, count(*) AS row_count
+               FROM merged_orders WHERE OrderDate IS NULL
+               UNION ALL
+               SELECT 'invalid_products', count(*)
+               FROM part WHERE p_type <> 'STANDARD' OR p_size > 48
+               UNION ALL
+               SELECT 'rejected_employee_keys', count(*)
+               FROM sheet_employees WHERE EmployeeID IS NULL""",
+        ),
         "dq_order_gap": _with(
             "fact merged_orders",
             """SELECT expected_orders, fact_rows, expected_orders - fact_rows AS gap FROM (
@@ -626,4 +633,60 @@ def all_sql() -> dict[str, str]:
         ),
         "dq_preview": _with(_STAR_TABLES, _preview()),
         "dq_verdict": "SELECT true AS all_ok",
+        # Spelled out: what is missing is what the query takes away.
+        "dq_contract_broken": _with(
+            _STAR_TABLES,
+            f"""SELECT table_name, table_name <> 'dim_shipper' AS present,
+                       CASE table_name WHEN 'dim_product' THEN 'UnitPrice'
+                                       WHEN 'dim_shipper' THEN NULL ELSE '' END AS missing_columns,
+                       CASE WHEN table_name <> 'dim_shipper' THEN row_count END AS row_count,
+                       CASE table_name WHEN 'dim_product' THEN 4::int
+                                       WHEN 'dim_shipper' THEN NULL ELSE column_count END AS column_count,
+                       table_name NOT IN ('dim_product', 'dim_shipper') AS ok
+                FROM ({_contract()})""",
+        ),
+        "dq_verdict_broken": "SELECT false AS all_ok",
+        "strict_timestamp": """
+            SELECT event_id, CASE WHEN event_type = 'click' THEN date_trunc('day', ts)
+                                  WHEN event_type <> 'error' THEN ts END AS ts
+            FROM events""",
+        "source_fingerprint": """
+            SELECT 'customer' AS table_name, sum(strlen(c_name) + 1)::BIGINT AS byte_count,
+                   true AS has_files, true AS is_dated
+            FROM customer
+            UNION ALL SELECT 'nothing', NULL, NULL, false""",
+        "x_orphan_rate": _with(
+            _STAR_TABLES,
+            " UNION ALL ".join(
+                f"""SELECT '{t}' AS table_name, count({k}) AS facts,
+                           count({k}) FILTER ({k} NOT IN (SELECT {k} FROM {t} WHERE {k} IS NOT NULL)) AS orphans
+                    FROM fact"""
+                for t, k in _DIMENSION_KEYS.items()
+                if t != "dim_product"
+            ),
+        ),
+        "x_dim_key_unique": _with(
+            _STAR_TABLES,
+            " UNION ALL ".join(
+                f"""SELECT '{t}' AS table_name, count(*) AS row_count, count(DISTINCT {k}) AS key_count
+                    FROM {t}"""
+                for t, k in _DIMENSION_KEYS.items()
+            ),
+        ),
+        "x_freight_share": _with(
+            "star",
+            f"""SELECT ShipperName, round(Freight, 4) AS Freight, round(Freight / sum(Freight) OVER (), 4) AS Share
+                FROM (SELECT ShipperName, {_money("Freight")} AS Freight
+                      FROM star WHERE ShipperName IS NOT NULL AND date IS NOT NULL
+                      GROUP BY ShipperName)""",
+        ),
+        "x_category_revenue": _with(
+            "merged_details dim_product",
+            f"""SELECT CategoryName, round({_money("LineTotal")}, 4) AS CA FROM (
+                    SELECT coalesce(CategoryName, 'Unknown') AS CategoryName,
+                           coalesce(UnitPrice, 0) * coalesce(Quantity, 0) * (1 - coalesce(Discount, 0)) AS LineTotal
+                    FROM merged_details LEFT JOIN (SELECT ProductKey, CategoryName FROM dim_product)
+                         ON ProductID = ProductKey)
+                GROUP BY CategoryName""",
+        ),
     }

@@ -52,7 +52,6 @@ def _merged(
     table: S.SourceTable,
     dedupe: bool = True,
     dated: bool = False,
-    cluster_by: str | None = None,
 ) -> DataFrame:
     return star_schema.merge_table(
         table,
@@ -61,7 +60,6 @@ def _merged(
         dedupe=dedupe,
         id_offset=D.ID_OFFSET,
         strict_dates=dated,
-        cluster_by=cluster_by,
     )
 
 
@@ -164,6 +162,14 @@ def coerce_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def strict_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Timestamps written as text, some as days only; a text that is none would fail the query."""
+    text = F.when(F.col("event_type") == "click", F.date_format("ts", "yyyy-MM-dd")).otherwise(F.col("ts").cast("string"))
+    text = F.when(F.col("event_type") != "error", text)
+    return D.table(spark, sf_dir, "events").select("event_id", clean.strict_timestamp(text).alias("ts"))
+
+
 @_query
 def fill_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     quantity = (
@@ -289,8 +295,8 @@ def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def fact_sales_s(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _merged(spark, sf_dir, S.ORDERS, dated=True)
-    details = _merged(spark, sf_dir, S.ORDER_DETAILS, cluster_by="OrderID")
-    fact = star_schema.fact_sales(orders, details, default_dates=False, orders_unique=True)
+    details = _merged(spark, sf_dir, S.ORDER_DETAILS)
+    fact = star_schema.fact_sales(orders, details, default_dates=False)
     return _fact_output(fact)
 
 
@@ -327,7 +333,7 @@ def dim_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 _DATES = Selection(date_range=("1996-03-15", "1998-06-30"))
 _SWAPPED = Selection(date_range=("1998-06-30", "1996-03-15"))
 _COUNTRIES = Selection(countries=["NATION_3", "NATION_7", "NATION_11"])
-_EMPLOYEES = Selection(employees=["Supplier 000000003", "Supplier 000000008", "Agent 4"])
+_EMPLOYEES = Selection(employees=["Supplier 000000003", "Supplier 000000007", "Agent 4"])
 _SHIPPERS = Selection(shippers=["HIGH", "LOW"])
 _MIXED = Selection(
     date_range=("1996-03-15", "1998-06-30"),
@@ -434,6 +440,11 @@ def top_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(reports.top_customers(_view(spark, sf_dir)), "CA")
+
+
+@_query
+def top_customers_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(reports.top_customers(_view(spark, sf_dir, _MIXED)), "CA")
 
 
@@ -489,9 +500,14 @@ def dq_merged_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def dq_null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sheets = D.extract(spark, sf_dir, names=["Orders", "Products", "Employees"])
-    keys = {"rejected_employee_keys": (sheets["Employees"], "EmployeeID")}
-    return quality.null_counts(sheets["Orders"], sheets["Products"], keys)
+    """Over both sources, before anything is dropped for want of a key."""
+    columns = {
+        "missing_order_dates": (S.ORDERS, "OrderDate"),
+        "invalid_products": (S.PRODUCTS, "ProductID"),
+        "rejected_employee_keys": (S.EMPLOYEES, "EmployeeID"),
+    }
+    merged = {m: (_merged(spark, sf_dir, t, dedupe=False), c) for m, (t, c) in columns.items()}
+    return quality.null_counts(merged)
 
 
 @_query
@@ -510,6 +526,61 @@ def dq_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdict(quality.contract(spark, _stored_tables(spark, sf_dir)))
 
 
+def _broken_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame | None]:
+    tables = _stored_tables(spark, sf_dir)
+    return tables | {"dim_shipper": None, "dim_product": tables["dim_product"].drop("UnitPrice")}
+
+
+@_query
+def dq_contract_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same star without one table and without a column of another."""
+    return quality.contract(spark, _broken_tables(spark, sf_dir))
+
+
+@_query
+def dq_verdict_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdict(quality.contract(spark, _broken_tables(spark, sf_dir)))
+
+
 @_query
 def source_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.fingerprint(spark, D.paths(sf_dir))
+    """Fingerprint of the customers' names as text files, and of a path that isn't there."""
+    path = new_folder(spark, "text")
+    D.table(spark, sf_dir, "customer").select("c_name").write.text(path)
+    found = files.fingerprint(spark, {"customer": path, "nothing": f"{path}-absent"})
+    return found.select(
+        "table_name",
+        "byte_count",
+        (F.col("file_count") > 0).alias("has_files"),
+        F.col("last_modified").isNotNull().alias("is_dated"),
+    )
+
+
+# Beyond the reference's own queries: integrity and shares ---------------------------------------
+
+
+@_query
+def x_orphan_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts whose key no dimension row has, per dimension."""
+    return quality.orphans(_stored(spark, sf_dir))
+
+
+@_query
+def x_dim_key_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and distinct keys of every dimension."""
+    return quality.key_counts(_stored_tables(spark, sf_dir))
+
+
+@_query
+def x_freight_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Freight per shipper as a share of all freight shown."""
+    freight = reports.freight_by_shipper(_view(spark, sf_dir))
+    return _rounded(reports.with_share(freight, "Freight"), "Freight", "Share")
+
+
+@_query
+def x_category_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue per product category, from the merged lines."""
+    star = _stored(spark, sf_dir)
+    lines = star_schema.with_line_total(_merged(spark, sf_dir, S.ORDER_DETAILS, dedupe=False))
+    return _rounded(reports.revenue_by_category(lines, star.dim_product), "CA")

@@ -18,8 +18,10 @@ def number(col: Column, text: bool = True) -> Column:
     parsed = F.nanvl(col.try_cast("double"), F.lit(None).cast("double"))
     if not text:
         return parsed
-    # The JVM reads "5d" and "7f" as numbers; they are text here.
-    return F.when(~col.rlike(r"[0-9.]\s*[dDfF]\s*$"), parsed)
+    # The JVM reads "5d", "7f" and "0x1p3" as numbers; they are text here.
+    end = F.lower(F.right(F.rtrim(col, F.lit(" \t\r\n")), F.lit(3)))
+    marked = F.right(end, F.lit(1)).isin("d", "f") & (end != "inf")
+    return F.when(~(marked | F.contains(F.lower(col), F.lit("x"))), parsed)
 
 
 def truncated_id(col: Column, text: bool = True) -> Column:

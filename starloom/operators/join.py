@@ -27,13 +27,3 @@ def lookup(
     joined = left.join(right, same, how)
     return joined.drop("_lookup_key")
 
-
-def has_hot_key(df: DataFrame, key: str, rows: int = 1_000_000, fraction: float = 0.01) -> bool:
-    """Whether some key, or null, seems to hold more than ``rows`` rows.
-
-    It only helps to choose between plans with the same result, so it may be wrong. It counts a
-    sample: reading one column is then all it costs, and a key with a million rows still shows
-    up thousands of times.
-    """
-    counts = df.select(key).sample(fraction, seed=1).groupBy(key).count()
-    return not counts.where(F.col("count") > rows * fraction).isEmpty()

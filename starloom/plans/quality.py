@@ -7,10 +7,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from starloom import schemas as S
-from starloom.functions import clean
+from starloom.plans.star_schema import Star
 
 Tables = Mapping[str, DataFrame | None]
 
@@ -80,33 +79,18 @@ def preview(tables: Tables, rows: int = 3, columns: int = 5) -> DataFrame:
     return _union(parts)
 
 
-def null_counts(
-    orders: DataFrame, products: DataFrame, keys: Mapping[str, tuple[DataFrame, str]]
-) -> DataFrame:
-    """Orders without a usable date, products without a number, and rejected whole-number keys.
+def null_counts(columns: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Rows without a usable value in a column, per metric.
 
-    The frames come as read, before they are conformed. ``keys`` names a metric for each key
-    column to look at.
+    The frames are merged sources, conformed and not yet deduplicated, where a value that can't be
+    read is null: orders without a date, products without a number, rejected whole-number keys.
     """
-
-    def is_text(df: DataFrame, column: str) -> bool:
-        return isinstance(df.schema[column].dataType, T.StringType)
-
-    checks = {
-        "missing_order_dates": (orders, clean.timestamp(F.col("OrderDate"))),
-        "invalid_products": (
-            products,
-            clean.number(F.col("ProductID"), is_text(products, "ProductID")),
-        ),
-    }
-    for metric, (df, column) in keys.items():
-        checks[metric] = (df, clean.whole_key(F.col(column), is_text(df, column)))
     return _union(
         [
             df.agg(
-                F.lit(metric).alias("metric"), F.count_if(value.isNull()).alias("row_count")
+                F.lit(metric).alias("metric"), F.count_if(F.col(column).isNull()).alias("row_count")
             )
-            for metric, (df, value) in checks.items()
+            for metric, (df, column) in columns.items()
         ]
     )
 
@@ -119,3 +103,45 @@ def order_gap(orders: DataFrame, fact: DataFrame) -> DataFrame:
         "fact_rows",
         (expected - F.col("fact_rows")).alias("gap"),
     )
+
+
+_KEYS = {
+    "dim_time": "TimeKey",
+    "dim_customer": "CustomerKey",
+    "dim_employee": "EmployeeKey",
+    "dim_shipper": "ShipperKey",
+}
+
+
+def orphans(star: Star) -> DataFrame:
+    """Per dimension: facts with a key, and those of them whose key no dimension row has."""
+    parts = []
+    for name, key in _KEYS.items():
+        facts = star.fact_sales.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+        known = getattr(star, name).select(F.col(key).alias("_known")).distinct()
+        joined = facts.join(known, F.col(key) == F.col("_known"), "left")
+        lost = F.when(F.col("_known").isNull(), F.col("n")).otherwise(F.lit(0))
+        parts.append(
+            joined.agg(
+                F.lit(name).alias("table_name"),
+                F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("facts"),
+                F.coalesce(F.sum(lost), F.lit(0)).cast("bigint").alias("orphans"),
+            )
+        )
+    return _union(parts)
+
+
+def key_counts(tables: Tables) -> DataFrame:
+    """Rows and distinct keys of each dimension that is there."""
+    keys = _KEYS | {"dim_product": "ProductKey"}
+    return _union(
+        [
+            df.agg(
+                F.lit(name).alias("table_name"),
+                F.count(F.lit(1)).alias("row_count"),
+                F.count_distinct(keys[name]).alias("key_count"),
+            )
+            for name, df in tables.items()
+            if df is not None and name in keys
+        ]
+    )

@@ -361,6 +361,20 @@ def freight_by_shipper(view: View) -> DataFrame:
     return freight.orderBy(F.col("Freight").desc(), "ShipperName")
 
 
+def with_share(breakdown: DataFrame, measure: str) -> DataFrame:
+    """A breakdown's measure also as a share of its total."""
+    total = breakdown.agg(F.sum(measure)).scalar()
+    return breakdown.withColumn("Share", F.try_divide(measure, total))
+
+
+def revenue_by_category(lines: DataFrame, products: DataFrame) -> DataFrame:
+    """Revenue per category of lines with a ``LineTotal``; products that are not known are one."""
+    by_product = sum_by(lines, "ProductID", "LineTotal", "CA").withColumnRenamed("ProductID", "ProductKey")
+    named = lookup(by_product, products.select("ProductKey", "CategoryName"), "ProductKey")
+    category = F.coalesce("CategoryName", F.lit(S.DEFAULT_CATEGORY)).alias("CategoryName")
+    return named.groupBy(category).agg(F.sum("CA").cast("double").alias("CA"))
+
+
 # Detail ---------------------------------------------------------------------------------------
 
 

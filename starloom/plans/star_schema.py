@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from starloom import schemas as S
 from starloom.functions import clean
-from starloom.operators.join import has_hot_key, lookup
+from starloom.operators.join import lookup
 from starloom.operators.merge import (
     drop_null_keys,
     keep_first,
@@ -59,7 +59,6 @@ def merge_table(
     dedupe: bool = True,
     id_offset: int = S.DEFAULT_ID_OFFSET,
     strict_dates: bool = False,
-    cluster_by: str | None = None,
 ) -> DataFrame:
     """Conform both sources of ``table`` and merge them; a table absent from both is an error."""
     left, right = extract.get(table.name), sql.get(table.name)
@@ -73,7 +72,7 @@ def merge_table(
             if right is not None:
                 right = require_below(right, "OrderID", id_offset)
         left = clean.conform(left, table, strict_dates)
-    return merge_sources(left, right, table.key, dedupe, cluster_by)
+    return merge_sources(left, right, table.key, dedupe)
 
 
 # Dimensions -----------------------------------------------------------------------------------
@@ -235,19 +234,16 @@ def fact_sales(
     orders: DataFrame,
     details: DataFrame,
     default_dates: bool = True,
-    orders_unique: bool = False,
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """One row per order, orders without lines included with zero measures.
 
-    The join reuses the partitioning of the grouped lines. Orders that repeat (unless
-    ``orders_unique`` rules it out) are counted first: should one be hot, the lines' sums are
-    shuffled once more to let the join split its rows over many tasks.
+    The lines' sums, one row per order, are shuffled once more for the join, so that Spark can
+    split it where one order number repeats very often.
     Without ``default_dates`` an order without a date fails the query. ``keep`` names further
     order columns to carry along.
     """
-    hot = not orders_unique and has_hot_key(orders, "OrderID")
-    joined = lookup(orders, order_detail_summary(details), "OrderID", right_grouped=hot)
+    joined = lookup(orders, order_detail_summary(details), "OrderID", right_grouped=True)
     date = F.col("OrderDate")
     if default_dates:
         date = clean.or_default_date(date)
@@ -302,7 +298,7 @@ def build_star_database_first(
     """Database-first variant: repeated orders and lines removed, dates mandatory."""
     merged = _merged(extract, sql, id_offset)
     orders = merged(S.ORDERS, strict_dates=True)
-    details = merged(S.ORDER_DETAILS, cluster_by="OrderID")
+    details = merged(S.ORDER_DETAILS)
     categories = merged(S.CATEGORIES)
     return Star(
         dim_time=dim_time_sorted(orders),
@@ -310,5 +306,5 @@ def build_star_database_first(
         dim_product=dim_product_stock(merged(S.PRODUCTS), categories, unique=True),
         dim_employee=dim_employee(merged(S.EMPLOYEES), unique=True),
         dim_shipper=dim_shipper(merged(S.SHIPPERS), unique=True),
-        fact_sales=fact_sales(orders, details, default_dates=False, orders_unique=True),
+        fact_sales=fact_sales(orders, details, default_dates=False),
     )

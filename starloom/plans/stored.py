@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
-from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -13,19 +11,10 @@ from starloom.plans.star_schema import Star
 from starloom.sources import files
 
 
-@cache
-def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"starloom-{application}-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors reach: ``spark.checkpoint.dir``. Only a local session may lack it."""
+    """Folder all executors reach: ``spark.checkpoint.dir``, or where Spark's own tables lie."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_folder(spark.sparkContext.applicationId)
+    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:

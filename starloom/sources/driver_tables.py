@@ -70,9 +70,12 @@ def _orders(spark: SparkSession, sf_dir: str, dated: bool) -> DataFrame:
     urgent = F.col("o_orderpriority") == "1-URGENT"
     undated = (F.col("o_orderstatus") == "O") & urgent
     date = F.col("o_orderdate") if dated else F.when(~undated, F.col("o_orderdate"))
+    # Every fiftieth order was entered twice.
+    entries = F.when(F.col("o_orderkey") % 50 == 0, 2).otherwise(1)
     # Fifteen customers share an employee, as there are fifteen customers per supplier.
     employee = F.floor(F.col("o_custkey") / 15).cast("bigint")
-    return table(spark, sf_dir, "orders").select(
+    orders = table(spark, sf_dir, "orders").withColumn("entry", F.explode(F.sequence(F.lit(1), entries)))
+    return orders.select(
         F.col("o_orderkey").alias("OrderID"),
         _text("o_custkey").alias("CustomerID"),
         F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", employee).alias("EmployeeID"),
@@ -190,27 +193,23 @@ def database(
 
 
 def extract_orders(spark: SparkSession, sf_dir: str, dated: bool = False) -> DataFrame:
-    """Orders in status P; it names no employees and serves walk-in customers without a key."""
+    """All orders; it names no employees and serves walk-in customers without a key.
+
+    Only larger ones in status P are numbered, the others are drafts.
+    """
     priority = F.col("o_orderpriority")
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
     # Medium orders carry the time of day they came in.
     date = F.when(priority == "3-MEDIUM", F.concat(day, F.lit(" 17:03:55"))).otherwise(day)
     if not dated:
         date = F.when(priority == "1-URGENT", "unknown").otherwise(date)
-    return (
-        table(spark, sf_dir, "orders")
-        .where("o_orderstatus = 'P'")
-        .select(
-            F.when(F.col("o_totalprice") < 10000, "draft")
-            .otherwise(_text("o_orderkey"))
-            .alias("Order ID"),
-            F.when(priority == "5-LOW", "WALK-IN")
-            .otherwise(_padded("o_custkey"))
-            .alias("Customer ID"),
-            date.alias("Order Date"),
-            F.substring("o_orderpriority", 1, 1).alias("Ship Via"),
-            F.when(priority == "2-HIGH", "n/a").otherwise(_text("o_totalprice")).alias("Freight"),
-        )
+    numbered = (F.col("o_orderstatus") == "P") & (F.col("o_totalprice") >= 10000)
+    return table(spark, sf_dir, "orders").select(
+        F.when(numbered, _text("o_orderkey")).otherwise("draft").alias("Order ID"),
+        F.when(priority == "5-LOW", "WALK-IN").otherwise(_padded("o_custkey")).alias("Customer ID"),
+        date.alias("Order Date"),
+        F.substring("o_orderpriority", 1, 1).alias("Ship Via"),
+        F.when(priority == "2-HIGH", "n/a").otherwise(_text("o_totalprice")).alias("Freight"),
     )
 
 
@@ -232,16 +231,19 @@ def extract_order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def extract_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Building customers under their names in capitals, machinery ones as prospects."""
-    prospect = F.col("c_mktsegment") == "MACHINERY"
+    """All customers under their names in capitals.
+
+    Machinery ones are prospects, and only those and building ones have a number.
+    """
+    segment = F.col("c_mktsegment")
     joined = table(spark, sf_dir, "customer").join(
         table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left"
     )
-    return joined.where("c_mktsegment in ('BUILDING', 'MACHINERY')").select(
-        F.when(prospect, F.concat(F.lit("M-"), _text("c_custkey")))
-        .otherwise(_padded("c_custkey"))
+    return joined.select(
+        F.when(segment == "MACHINERY", F.concat(F.lit("M-"), _text("c_custkey")))
+        .when(segment == "BUILDING", _padded("c_custkey"))
         .alias("Customer ID"),
-        F.upper("c_name").alias("Company Name"),
+        F.concat(F.lit('"'), F.upper("c_name"), F.lit('", Ltd. ')).alias("Company Name"),
         F.lit("Head Office").alias("City"),
         F.col("n_name").alias("Country"),
         _text("c_nationkey").alias("Phone"),
@@ -249,29 +251,29 @@ def extract_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def extract_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Standard parts at a list price of their own; the largest have no number yet."""
+    """All parts at a list price of their own; only standard ones up to a size have a number."""
     size = F.col("p_size")
-    return (
-        table(spark, sf_dir, "part")
-        .where("p_type = 'STANDARD'")
-        .select(
-            F.when(size > 48, "TBD").otherwise(_text("p_partkey")).alias("Product ID"),
-            F.upper("p_name").alias("Product Name"),
-            F.substring_index("p_brand", "#", -1).alias("Category ID"),
-            _text("p_retailprice").alias("Unit Price"),
-            F.when(size < 10, "True").when(size < 40, "False").alias("Discontinued"),
-        )
+    numbered = (F.col("p_type") == "STANDARD") & (size <= 48)
+    return table(spark, sf_dir, "part").select(
+        F.when(numbered, _text("p_partkey")).otherwise("TBD").alias("Product ID"),
+        F.upper("p_name").alias("Product Name"),
+        F.substring_index("p_brand", "#", -1).alias("Category ID"),
+        _text("p_retailprice").alias("Unit Price"),
+        F.when(size < 10, "True").when(size < 40, "False").alias("Discontinued"),
     )
 
 
 def extract_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Employees with a negative balance; keys as spreadsheets write them, some broken."""
+    """All employees; every fourth key is whole, as spreadsheets write it, the others are broken."""
     joined = table(spark, sf_dir, "supplier").join(
         table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"), "left"
     )
-    fraction = F.when(F.col("n_name") == "NATION_1", ".5").otherwise(".0")
-    return joined.where("s_acctbal < 0").select(
-        F.concat(_text("s_suppkey"), fraction).alias("Employee ID"),
+    key, rest = _text("s_suppkey"), F.col("s_suppkey") % 4
+    return joined.select(
+        F.when(rest == 0, F.concat(key, F.lit(".0")))
+        .when(rest == 1, F.concat(key, F.lit(".5")))
+        .when(rest == 2, F.concat(F.lit("No. "), key))
+        .alias("Employee ID"),
         F.lit("Agent").alias("First Name"),
         _text("s_suppkey").alias("Last Name"),
         F.lit("Agent").alias("Title"),

@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,13 +31,18 @@ def _if_present(load: Callable[[], DataFrame]) -> DataFrame | None:
         raise
 
 
-def read_extract(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame | None:
+def read_extract(
+    spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = False
+) -> DataFrame | None:
     """A file extract with normalised headers, or None where there is none.
 
+    CSV rows that are shorter or longer than the header fail the query. ``multi_line`` is for
+    fields that hold line breaks; each file is then read by one task.
+
     CSV columns stay text, with the usual tokens for missing values as nulls; the contract of
     the table they are merged into decides on types.
     """
-    reader = _csv_reader(spark) if fmt == "csv" else spark.read.format(fmt)
+    reader = _csv_reader(spark, multi_line) if fmt == "csv" else spark.read.format(fmt)
     df = _if_present(lambda: reader.load(path))
     if df is None:
         return None
@@ -47,20 +52,50 @@ def read_extract(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame
     return df.select([clean.null_tokens_to_null(F.col(c)).alias(c) for c in df.columns])
 
 
-def _csv_reader(spark: SparkSession) -> DataFrameReader:
-    # Quotes inside a quoted field are doubled, as spreadsheets and pandas write them. Fields
-    # hold no line breaks, so that a large file is read by many tasks.
-    return spark.read.format("csv").option("header", True).option("escape", '"')
+# Quotes inside a quoted field are doubled, as spreadsheets and pandas write them.
+_CSV = {
+    "header": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+
+def _csv_reader(spark: SparkSession, multi_line: bool = False) -> DataFrameReader:
+    """Rows are checked against the header even where only some columns are asked for.
+
+    Without ``multi_line`` fields hold no line breaks, so that many tasks read a large file.
+    """
+    reader = spark.read.format("csv").options(**_CSV, mode="FAILFAST", columnPruning="false")
+    return reader.option("multiLine", multi_line)
+
 
+def _without_line_breaks(df: DataFrame) -> DataFrame:
+    """Fail the query on a text that holds a line break."""
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Overwrite ``path`` with UTF-8 CSV files with a header; nulls become empty fields."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    def checked(name: str) -> Column:
+        broken = F.col(name).rlike("[\\r\\n]")
+        message = F.lit(f"line break in {name}; write with multi_line")
+        return F.when(broken, F.raise_error(message).cast("string")).otherwise(F.col(name))
 
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    return df.withColumns({name: checked(name) for name in texts})
 
-def read_csv_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+
+def write_csv(df: DataFrame, path: str, multi_line: bool = False) -> None:
+    """Overwrite ``path`` with UTF-8 CSV files with a header; nulls become empty fields.
+
+    A text with a line break fails the query, unless ``multi_line`` says that readers know.
+    """
+    df = df if multi_line else _without_line_breaks(df)
+    df.write.mode("overwrite").options(**_CSV).csv(path)
+
+
+def read_csv_table(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
+) -> DataFrame:
     """A stored CSV table in its contract types; an integer key may be written as ``1.0``."""
-    raw = _csv_reader(spark).load(path)
+    raw = _csv_reader(spark, multi_line).load(path)
     out = []
     for field in schema:
         col = clean.null_tokens_to_null(F.col(field.name))
@@ -85,7 +120,7 @@ def _write_table(name: str, df: DataFrame, path: str, fmt: str) -> None:
         df.write.mode("overwrite").parquet(target)
     if name == "dim_time" and fmt == "parquet":
         days = day_calendar(df.sparkSession.read.parquet(target))
-        days.coalesce(1).write.mode("overwrite").parquet(f"{path}/dim_day")
+        days.write.mode("overwrite").parquet(f"{path}/dim_day")
 
 
 def write_star(star: Star, path: str, fmt: str = "parquet") -> None:

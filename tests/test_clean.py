@@ -90,3 +90,10 @@ def test_conform_brings_text_and_numbers_to_one_type(spark):
         "struct<EmployeeID:bigint,City:string>"
     )
     assert a.first() == (1, " A ")
+
+
+def test_no_number_by_notation(spark):
+    texts = ["0x1p3", "0X10", "5d", "7F", "1.5f ", "inf", "-Infinity", "1e3", " 2 ", "x", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(clean.number(F.col("t")).alias("n"))
+    inf = float("inf")
+    assert [r.n for r in df.collect()] == [None, None, None, None, None, inf, -inf, 1000.0, 2.0, None, None, None]

@@ -77,14 +77,3 @@ def test_orders_of_both_sources_do_not_collide(spark):
     sql = spark.createDataFrame([(1, "B")], "OrderID int, CustomerID string")
     merged = merge_table(S.ORDERS, {"Orders": sheet}, {"Orders": sql})
     assert sorted(r.OrderID for r in merged.collect()) == [1, 200001]
-
-
-@pytest.mark.parametrize("hot", [False, True])
-def test_lines_are_shuffled_once_for_dedupe_and_grouping(spark, monkeypatch, hot):
-    monkeypatch.setattr(merge, "has_hot_key", lambda *a: hot)
-    lines = spark.range(0, 1000, 1, 4).selectExpr("id % 50 as o", "id % 7 as p", "id as v")
-    merged = merge_sources(lines, lines, ["o", "p"], cluster_by="o")
-    grouped = merged.groupBy("o").count()
-    assert plan_of(grouped).count("Exchange") == (2 if hot else 1)
-    assert merged.count() == 350
-    assert {tuple(r) for r in grouped.collect()} == {(o, 7) for o in range(50)}

@@ -1,10 +1,11 @@
-import os
 from types import SimpleNamespace
 
 import pytest
 from small_star import small_star
 
+from starloom import schemas as S
 from starloom.plans import etl, quality
+from starloom.plans.star_schema import merge_table
 from starloom.plans.stored import StoredStars, new_folder, shared_folder
 from starloom.sources import database, files
 
@@ -96,7 +97,9 @@ class Session:
     """Just enough of a session to ask for its folder."""
 
     def __init__(self, master, folder):
-        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+        self.conf = {"spark.sql.warehouse.dir": "/tables/"}
+        if folder:
+            self.conf["spark.checkpoint.dir"] = folder
         self.sparkContext = SimpleNamespace(master=master, applicationId="app")
 
 
@@ -104,11 +107,7 @@ def test_shared_folder_comes_from_the_session():
     cluster = Session("spark://host:7077", "/somewhere/shared/")
     assert shared_folder(cluster) == "/somewhere/shared"
     assert new_folder(cluster, "star").startswith("/somewhere/shared/star-")
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(Session("spark://host:7077", None))
-    local = Session("local[8]", None)
-    assert os.path.isdir(shared_folder(local))
-    assert shared_folder(local) == shared_folder(local)
+    assert shared_folder(Session("local[8]", None)) == "/tables"
 
 
 def test_contract_names_what_is_missing(spark, tmp_path):
@@ -139,15 +138,47 @@ def test_counts_gap_and_preview(spark):
 
 
 def test_null_counts(spark):
-    orders = spark.createDataFrame([("1996-07-04",), ("soon",), (None,)], "OrderDate string")
-    products = spark.createDataFrame([("1",), ("TBD",)], "ProductID string")
-    keys = {"rejected_shipper_keys": (spark.createDataFrame([(1.5,), (2.0,)], "k double"), "k")}
-    found = {r.metric: r.row_count for r in quality.null_counts(orders, products, keys).collect()}
-    assert found == {
-        "missing_order_dates": 2,
-        "invalid_products": 1,
-        "rejected_shipper_keys": 1,
+    """Over both sources: what one of them lacks counts, whichever it is."""
+    sheet = {
+        "Orders": spark.createDataFrame([("1", "1996-07-04"), ("2", "soon"), ("x", None)], "OrderID string, OrderDate string"),
+        "Products": spark.createDataFrame([("1",), ("TBD",)], "ProductID string"),
     }
+    sql = {
+        "Orders": spark.createDataFrame([(1, None), (2, None)], "OrderID long, OrderDate timestamp_ntz"),
+        "Products": spark.createDataFrame([(1,), (None,)], "ProductID long"),
+    }
+    columns = {
+        "missing_order_dates": (merge_table(S.ORDERS, sheet, sql, dedupe=False), "OrderDate"),
+        "invalid_products": (merge_table(S.PRODUCTS, sheet, sql, dedupe=False), "ProductID"),
+    }
+    found = {r.metric: r.row_count for r in quality.null_counts(columns).collect()}
+    assert found == {"missing_order_dates": 3, "invalid_products": 2}
+
+
+def test_csv_keeps_blanks_quotes_and_commas(spark, tmp_path):
+    rows = [(1, ' A, "b" '), (2, "  "), (3, 'say ""hi""'), (4, None)]
+    df = spark.createDataFrame(rows, "k long, v string")
+    files.write_csv(df, str(tmp_path / "out"))
+    back = files.read_csv_table(spark, str(tmp_path / "out"), df.schema)
+    assert sorted(tuple(r) for r in back.collect()) == rows
+
+
+def test_csv_with_line_breaks(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a\nb"), (2, "c")], "k long, v string")
+    with pytest.raises(Exception, match="line break in v"):
+        files.write_csv(df, str(tmp_path / "out"))
+    files.write_csv(df, str(tmp_path / "out"), multi_line=True)
+    back = files.read_csv_table(spark, str(tmp_path / "out"), df.schema, multi_line=True)
+    assert sorted(tuple(r) for r in back.collect()) == [(1, "a\nb"), (2, "c")]
+
+
+@pytest.mark.parametrize("row", ["1", "1,2,3"])
+def test_csv_rows_of_another_length_fail(spark, tmp_path, row):
+    (tmp_path / "t.csv").write_text(f"a,b\n1,2\n{row}\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
+        files.read_extract(spark, str(tmp_path / "t.csv")).collect()
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
+        files.read_extract(spark, str(tmp_path / "t.csv")).select("a").collect()
 
 
 def test_whole_job(spark, tmp_path):

@@ -73,9 +73,7 @@ def rows(df, *columns):
     return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
 
 
-@pytest.mark.parametrize("hot", [False, True])
-def test_extract_first_fact(spark, monkeypatch, hot):
-    monkeypatch.setattr(star_schema, "has_hot_key", lambda *a: hot)
+def test_extract_first_fact(spark):
     fact = build_star(*sources(spark, dated=False)).fact_sales
     assert fact.columns == S.FACT_SALES.fieldNames()
     assert [f.dataType for f in fact.schema] == [f.dataType for f in S.FACT_SALES]
@@ -221,10 +219,11 @@ def test_date_filters_skip_other_years(spark, tmp_path):
     assert view.fact.count() == 3
 
 
-def test_hot_orders_are_looked_for(spark, monkeypatch):
-    asked = []
-    monkeypatch.setattr(star_schema, "has_hot_key", lambda df, key: asked.append(key))
-    _, sql = sources(spark)
-    star_schema.fact_sales(sql["Orders"], sql["Order Details"])
-    star_schema.fact_sales(sql["Orders"], sql["Order Details"], orders_unique=True)
-    assert asked == ["OrderID"]
+def test_building_a_fact_starts_no_job(spark):
+    spark.sparkContext.setJobGroup("build", "plans only")
+    try:
+        for dated, build in ((False, build_star), (True, build_star_database_first)):
+            build(*sources(spark, dated=dated))
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("build")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
