@@ -523,6 +523,11 @@ def all_sql() -> dict[str, str]:
         ),
         "fact_sales": _with("fact", f"SELECT {_ROUNDED} FROM fact"),
         "fact_sales_s": _with("fact_s", f"SELECT {_ROUNDED} FROM fact_s"),
+        "fact_sales_kept": _with(
+            "fact",
+            f"""SELECT f.*, CASE WHEN OrderKey < {_OFFSET} THEN o_orderstatus END AS OrderStatus
+                FROM (SELECT {_ROUNDED} FROM fact) f JOIN orders ON o_orderkey = OrderKey % {_OFFSET}""",
+        ),
         "star_join": _with("star", f"SELECT {_ROUNDED} FROM star"),
         "star_join_s": _with("star_s", f"SELECT {_ROUNDED} FROM star_s"),
         # The join itself, row by row, then counted per fact.

@@ -300,6 +300,17 @@ def fact_sales_s(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fact_output(fact)
 
 
+@_query
+def fact_sales_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact with one more order column, which only the database has."""
+    sources = [f(spark, sf_dir, names=["Orders", "Order Details"]) for f in (D.extract, D.database)]
+    merged = [
+        star_schema.merge_table(t, *sources, dedupe=False, id_offset=D.ID_OFFSET, keep=keep)
+        for t, keep in ((S.ORDERS, ["OrderStatus"]), (S.ORDER_DETAILS, []))
+    ]
+    return _fact_output(star_schema.fact_sales(*merged, keep=["OrderStatus"]))
+
+
 @_query
 def star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fact_output(reports.star_join(_stored(spark, sf_dir)))

@@ -6,6 +6,8 @@ Spark 4 runs with ANSI casts, so everything that must not fail on bad input goes
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -120,8 +122,12 @@ def _clean(col: Column, kind: str, is_text: bool, dtype: T.DataType, strict_date
     return col.cast("string")
 
 
-def conform(df: DataFrame, table: S.SourceTable, strict_dates: bool = False) -> DataFrame:
-    """Cast the contract columns ``df`` has to their contract types; other columns are dropped.
+def conform(
+    df: DataFrame, table: S.SourceTable, strict_dates: bool = False, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Cast the contract columns ``df`` has to their contract types.
+
+    Of other columns those named in ``keep`` stay, as text; a source may lack them.
 
     Both sources of a merge go through this first, so that a text key on one side and a numeric
     key on the other meet in one type.
@@ -134,4 +140,5 @@ def conform(df: DataFrame, table: S.SourceTable, strict_dates: bool = False) ->
         dtype = types[name]
         is_text = isinstance(dtype, T.StringType)
         out.append(_clean(F.col(name), kind, is_text, dtype, strict_dates).alias(name))
+    out += [F.col(name).cast("string").alias(name) for name in keep if name in types]
     return df.select(*out)

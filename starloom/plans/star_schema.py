@@ -59,19 +59,23 @@ def merge_table(
     dedupe: bool = True,
     id_offset: int = S.DEFAULT_ID_OFFSET,
     strict_dates: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Conform both sources of ``table`` and merge them; a table absent from both is an error."""
+    """Conform both sources of ``table`` and merge them; a table absent from both is an error.
+
+    ``keep`` names columns beyond the contract to carry along; at least one source has each.
+    """
     left, right = extract.get(table.name), sql.get(table.name)
     if left is None and right is None:
         raise ValueError(f"no source offers the table {table.name}")
     if right is not None:
-        right = clean.conform(right, table, strict_dates)
+        right = clean.conform(right, table, strict_dates, keep)
     if left is not None:
         if table.name in _NAMESPACED:
             left = namespace_ids(left, "OrderID", id_offset)
             if right is not None:
                 right = require_below(right, "OrderID", id_offset)
-        left = clean.conform(left, table, strict_dates)
+        left = clean.conform(left, table, strict_dates, keep)
     return merge_sources(left, right, table.key, dedupe)
 
 
@@ -274,11 +278,17 @@ def _merged(extract: Sources, sql: Sources, id_offset: int) -> Callable[..., Dat
 
 
 def build_star(
-    extract: Sources, sql: Sources, id_offset: int = S.DEFAULT_ID_OFFSET
+    extract: Sources,
+    sql: Sources,
+    id_offset: int = S.DEFAULT_ID_OFFSET,
+    keep: Sequence[str] = (),
 ) -> Star:
-    """Extract-first variant: every order and line of both sources is kept."""
+    """Extract-first variant: every order and line of both sources is kept.
+
+    ``keep`` names order columns beyond the contract that the fact carries along, as text.
+    """
     merged = _merged(extract, sql, id_offset)
-    orders = merged(S.ORDERS, dedupe=False)
+    orders = merged(S.ORDERS, dedupe=False, keep=keep)
     details = merged(S.ORDER_DETAILS, dedupe=False)
     categories = merged(S.CATEGORIES)
     return Star(
@@ -288,16 +298,19 @@ def build_star(
         dim_employee=dim_employee(merged(S.EMPLOYEES), unique=True),
         dim_shipper=dim_shipper(merged(S.SHIPPERS), unique=True),
         dim_categories=dim_categories(categories, unique=True),
-        fact_sales=fact_sales(orders, details),
+        fact_sales=fact_sales(orders, details, keep=keep),
     )
 
 
 def build_star_database_first(
-    extract: Sources, sql: Sources, id_offset: int = S.DEFAULT_ID_OFFSET
+    extract: Sources,
+    sql: Sources,
+    id_offset: int = S.DEFAULT_ID_OFFSET,
+    keep: Sequence[str] = (),
 ) -> Star:
     """Database-first variant: repeated orders and lines removed, dates mandatory."""
     merged = _merged(extract, sql, id_offset)
-    orders = merged(S.ORDERS, strict_dates=True)
+    orders = merged(S.ORDERS, strict_dates=True, keep=keep)
     details = merged(S.ORDER_DETAILS)
     categories = merged(S.CATEGORIES)
     return Star(
@@ -306,5 +319,5 @@ def build_star_database_first(
         dim_product=dim_product_stock(merged(S.PRODUCTS), categories, unique=True),
         dim_employee=dim_employee(merged(S.EMPLOYEES), unique=True),
         dim_shipper=dim_shipper(merged(S.SHIPPERS), unique=True),
-        fact_sales=fact_sales(orders, details, default_dates=False),
+        fact_sales=fact_sales(orders, details, default_dates=False, keep=keep),
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,11 +49,29 @@ def read_table(
     optional: bool = False,
     **options: str,
 ) -> DataFrame | None:
-    """A database table; with ``optional``, None where the database does not offer it."""
+    """A database table; with ``optional``, None where the database says it has no such table.
+
+    A missing driver, a refused login or a broken connection fails in any case.
+    """
     reader = spark.read.format("jdbc").options(**jdbc_options(url, table, split)).options(**options)
     try:
         return reader.load()
-    except Exception:
-        if optional:
+    except Exception as e:
+        if optional and is_absent_table(str(e)):
             return None
         raise
+
+
+# How databases say that a table isn't there.
+_ABSENT = (
+    r"invalid object name",
+    r"(table|relation|object)[^\n]{0,200}(not found|does not exist|doesn't exist)",
+    r"no such table",
+    r"ORA-00942",
+    r"SQLCODE=-204",
+)
+
+
+def is_absent_table(message: str) -> bool:
+    """Whether an error says that the table is not there; any other error must not pass for that."""
+    return re.search("|".join(_ABSENT), message, re.IGNORECASE) is not None

@@ -82,6 +82,7 @@ def _orders(spark: SparkSession, sf_dir: str, dated: bool) -> DataFrame:
         date.alias("OrderDate"),
         F.substring("o_orderpriority", 1, 1).cast("bigint").alias("ShipVia"),
         (F.col("o_totalprice") * 0.05).alias("Freight"),
+        F.col("o_orderstatus").alias("OrderStatus"),
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -136,8 +136,15 @@ def write_star(star: Star, path: str, fmt: str = "parquet") -> None:
 
 
 def _read_table(
-    spark: SparkSession, path: str, name: str, fmt: str, schema: T.StructType
+    spark: SparkSession,
+    path: str,
+    name: str,
+    fmt: str,
+    schema: T.StructType,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
+    if name == "fact_sales":
+        schema = T.StructType([*schema, *(T.StructField(c, T.StringType()) for c in keep)])
     if fmt == "csv":
         return read_csv_table(spark, f"{path}/{name}", schema)
     if name == "fact_sales":
@@ -146,13 +153,19 @@ def _read_table(
 
 
 def read_star(
-    spark: SparkSession, path: str, fmt: str = "parquet", database_first: bool = False
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    database_first: bool = False,
+    keep: Sequence[str] = (),
 ) -> Star:
-    """A stored star, in the schemas of the variant that wrote it."""
+    """A stored star, in the schemas of the variant that wrote it and with the same ``keep``."""
     schemas = S.STAR_TABLES_DATABASE_FIRST if database_first else S.STAR_TABLES
     if fmt == "parquet":
         schemas = schemas | {"dim_day": schemas["dim_time"]}
-    return Star(**{n: _read_table(spark, path, n, fmt, schema) for n, schema in schemas.items()})
+    return Star(
+        **{n: _read_table(spark, path, n, fmt, schema, keep) for n, schema in schemas.items()}
+    )
 
 
 def stored_tables(

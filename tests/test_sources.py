@@ -45,9 +45,28 @@ def test_jdbc_options():
 
 
 def test_missing_database(spark):
-    assert database.read_table(spark, "jdbc:none:x", "Orders", optional=True) is None
-    with pytest.raises(Exception):
-        database.read_table(spark, "jdbc:none:x", "Orders")
+    """Without a driver nothing is known about the table, so it isn't taken for absent."""
+    for optional in (False, True):
+        with pytest.raises(Exception):
+            database.read_table(spark, "jdbc:none:x", "Orders", optional=optional)
+
+
+@pytest.mark.parametrize(
+    "message, absent",
+    [
+        ("Invalid object name 'Orders'.", True),
+        ('ERROR: relation "Orders" does not exist', True),
+        ("Table 'shop.Orders' doesn't exist", True),
+        ("[SQLITE_ERROR] (no such table: Orders)", True),
+        ("ORA-00942: table or view does not exist", True),
+        ("Login failed for user 'x'.", False),
+        ("Connection refused", False),
+        ("No suitable driver", False),
+        ("The TCP/IP connection to the host has failed", False),
+    ],
+)
+def test_absent_table_is_told_from_other_errors(message, absent):
+    assert database.is_absent_table(message) is absent
 
 
 def test_database_tables_are_read_once(spark, monkeypatch):
@@ -59,7 +78,10 @@ def test_database_tables_are_read_once(spark, monkeypatch):
 
     monkeypatch.setattr(database, "read_table", read)
     split = database.ParallelRead("OrderID", 1, 9, 3)
-    found = etl.load_database(spark, "jdbc:x", {"Orders": split}, optional=True)
+    with pytest.raises(ValueError, match="Order Details"):
+        etl.load_database(spark, "jdbc:x", {"Orders": split}, optional=True)
+    splits = {"Orders": split, "Order Details": split}
+    found = etl.load_database(spark, "jdbc:x", splits, optional=True)
     assert found["Shippers"] is None and asked[0] == ("Orders", split) and len(asked) == 7
     orders = found["Order Details"]
     assert sorted(orders.collect()) == sorted(orders.collect())

@@ -160,11 +160,21 @@ def test_database_first_insists_on_dates(spark):
         build_star_database_first(extract | {"Orders": bad}, sql).fact_sales.collect()
 
 
-def test_further_order_columns_can_be_kept(spark):
-    _, sql = sources(spark)
-    orders = sql["Orders"].selectExpr("*", "'x' as ShipName")
-    fact = star_schema.fact_sales(orders, sql["Order Details"], keep=["ShipName"])
-    assert fact.columns[-1] == "ShipName"
+@pytest.mark.parametrize("first", [False, True])
+def test_further_order_columns_can_be_kept(spark, tmp_path, first):
+    extract, sql = sources(spark, dated=first)
+    extract = extract | {"Orders": extract["Orders"].selectExpr("*", "'sheet' as ShipName")}
+    sql = sql | {"Orders": sql["Orders"].selectExpr("*", "1 as Rush")}
+    build = build_star_database_first if first else build_star
+    fact = build(extract, sql, keep=["ShipName", "Rush"]).fact_sales
+    assert fact.columns[-2:] == ["ShipName", "Rush"]
+    found = {(r.OrderKey > 200000, r.ShipName, r.Rush) for r in fact.collect()}
+    assert found == {(True, "sheet", None), (False, None, "1")}
+    from starloom.plans import etl
+
+    etl.run(spark, extract, sql, str(tmp_path), database_first=first, keep=["ShipName"])
+    back = files.read_star(spark, str(tmp_path), database_first=first, keep=["ShipName"])
+    assert {r.ShipName for r in back.fact_sales.collect()} == {"sheet", None}
 
 
 def test_dimensions_stand_alone(spark):
