@@ -7,8 +7,9 @@ shipper is reduced inside the scan's own tasks and the joins see one row per key
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +29,9 @@ ATTRIBUTES = {
     "EmployeeFullName": ("dim_employee", "EmployeeKey"),
     "ShipperName": ("dim_shipper", "ShipperKey"),
 }
+# Attributes that selections list, and the name of the calendar among a view's dimensions.
+LISTS = ("CustomerCountry", "EmployeeFullName", "ShipperName")
+_DAY = "dim_day"
 MEASURES = ["DetailCount", "TotalQuantity", "AverageDiscount", "TotalLineTotal", "Freight"]
 
 
@@ -52,23 +56,32 @@ class Selection:
         }
 
 
+@dataclass(frozen=True)
+class Members:
+    """Rows of a dimension that a selection leaves, its key, and if it was just grouped by it."""
+
+    rows: DataFrame
+    key: str
+    grouped: bool
+
+
 @dataclass(frozen=True)
 class View:
     """The facts a selection leaves, and whether it differs from the default.
 
     ``dated`` are the facts within the dates; ``members`` the keys that further narrow them,
-    each with its column and whether the keys were just grouped.
+    by the dimension that they belong to.
     """
 
     star: Star
     dated: DataFrame
-    members: tuple[tuple[DataFrame, str, bool], ...]
+    members: dict[str, Members]
     active: bool
     calendar: str = "day"
 
     def narrow(self, facts: DataFrame) -> DataFrame:
-        for keys, column, grouped in self.members:
-            facts = lookup(facts, keys, column, "left_semi", grouped)
+        for m in self.members.values():
+            facts = lookup(facts, m.rows.select(m.key), m.key, "left_semi", m.grouped)
         return facts
 
     @property
@@ -79,13 +92,12 @@ class View:
 # Star join ------------------------------------------------------------------------------------
 
 
-def _dimension(star: Star, name: str) -> DataFrame:
-    """A dimension with the column names it has in the star join."""
-    renames = {
-        "dim_customer": {"Phone": "CustomerPhone"},
-        "dim_shipper": {"Phone": "ShipperPhone"},
-    }
-    return getattr(star, name).withColumnsRenamed(renames.get(name, {}))
+# Column names that dimensions have in the star join where two would clash.
+_RENAMES = {
+    "dim_customer": {"Phone": "CustomerPhone"},
+    "dim_shipper": {"Phone": "ShipperPhone"},
+}
+_JOINED = {"dim_customer": "CustomerKey", "dim_employee": "EmployeeKey", "dim_shipper": "ShipperKey"}
 
 
 def _with_measures(fact: DataFrame) -> DataFrame:
@@ -117,11 +129,16 @@ def _join_days(star: Star, df: DataFrame, how: str, *columns: str) -> DataFrame:
     return lookup(df, days, "TimeKey", how, grouped)
 
 
-def _join_dimensions(star: Star, fact: DataFrame) -> DataFrame:
-    joined = _join_days(star, fact, "left")
-    joined = lookup(joined, _dimension(star, "dim_customer"), "CustomerKey")
-    joined = lookup(joined, _dimension(star, "dim_employee"), "EmployeeKey")
-    joined = lookup(joined, _dimension(star, "dim_shipper"), "ShipperKey")
+def _join_dimensions(
+    star: Star, fact: DataFrame, members: Mapping[str, Members] | None = None
+) -> DataFrame:
+    """Facts with their dimensions; a dimension with ``members`` is joined once, to filter too."""
+    members = members or {}
+    joined = _join_days(star, fact, "inner" if _DAY in members else "left")
+    for name, key in _JOINED.items():
+        rows = members[name].rows if name in members else getattr(star, name)
+        rows = rows.withColumnsRenamed(_RENAMES.get(name, {}))
+        joined = lookup(joined, rows, key, "inner" if name in members else "left")
     return joined.drop(FACT_PARTITION)
 
 
@@ -177,6 +194,10 @@ def _key_of(day: dt.date) -> int:
 
 
 def _bounds(star: Star, calendar: DataFrame) -> DataFrame:
+    if star.known is not None:
+        date = F.to_timestamp_ntz("value")
+        bounds = star.known.where(F.col("attribute").isin("min_date", "max_date"))
+        return bounds.agg(F.min(date).alias("min_date"), F.max(date).alias("max_date"))
     used = star.fact_sales.select("TimeKey").distinct()
     dates = lookup(calendar.select("TimeKey", "date"), used, "TimeKey", "left_semi")
     return dates.agg(F.min("date").alias("min_date"), F.max("date").alias("max_date"))
@@ -189,6 +210,9 @@ def date_bounds(star: Star) -> DataFrame:
 
 def filter_domain(star: Star, attribute: str) -> DataFrame:
     """Values of an attribute that occur among the facts, sorted."""
+    if star.known is not None and attribute in LISTS:
+        values = star.known.where(F.col("attribute") == attribute)
+        return values.select(F.col("value").alias(attribute)).orderBy(attribute)
     dimension, key = ATTRIBUTES[attribute]
     used = star.fact_sales.select(key).distinct()
     return (
@@ -200,21 +224,30 @@ def filter_domain(star: Star, attribute: str) -> DataFrame:
     )
 
 
-def _members(star: Star, attribute: str, values: Sequence[str]) -> DataFrame:
-    dimension, key = ATTRIBUTES[attribute]
-    return getattr(star, dimension).where(F.col(attribute).isin(*values)).select(key)
+def known_values(star: Star) -> DataFrame:
+    """``attribute, value``: what selections are checked against, so that they need no fact pass.
+
+    The values of each list that occur among the facts, the first and last date, and whether the
+    calendar lacks the day of some fact.
+    """
+
+    def row(attribute: str, df: DataFrame, value: Column) -> DataFrame:
+        return df.select(F.lit(attribute).alias("attribute"), value.cast("string").alias("value"))
+
+    bounds = date_bounds(star)
+    lost = _join_days(star, star.fact_sales.select("TimeKey"), "left_anti").limit(1).agg(F.count(F.lit(1)).alias("n"))
+    parts = [row(a, filter_domain(star, a), F.col(a)) for a in LISTS]
+    parts += [row(c, bounds, F.col(c)) for c in ("min_date", "max_date")]
+    return reduce(DataFrame.unionByName, [*parts, row("lost_days", lost, F.col("n"))])
 
 
 def _is_subset(star: Star, attribute: str, values: Sequence[str]) -> bool:
     """Whether the picked values differ from all values that occur among the facts."""
     if not values:
         return False
-    dimension, key = ATTRIBUTES[attribute]
-    others = getattr(star, dimension).where(~F.col(attribute).isin(*values)).select(key)
-    # Usually some fact lies outside, and the first one found settles it.
-    if not lookup(star.fact_sales.select(key), others, key, "left_semi").isEmpty():
-        return True
-    return filter_domain(star, attribute).count() != len(set(values))
+    picked = F.count_if(F.col(attribute).isin(*values))
+    known, among = filter_domain(star, attribute).agg(F.count(F.lit(1)), picked).first()
+    return among < known or known != len(set(values))
 
 
 def select_view(star: Star, selection: Selection = Selection(), calendar: str = "day") -> View:
@@ -244,7 +277,7 @@ def select_view(star: Star, selection: Selection = Selection(), calendar: str =
         if FACT_PARTITION in fact.columns:
             fact = fact.where(F.col(FACT_PARTITION).between(days[0].year, days[1].year))
         fact = fact.where(F.col("TimeKey").between(_key_of(days[0]), _key_of(days[1])))
-    members = []
+    members = {}
     if calendar == "timestamp":
         rows = calendar_rows(star, days if dated else None)
         fact = lookup(fact, rows, "TimeKey", "inner" if dated else "left", right_grouped=True)
@@ -254,13 +287,15 @@ def select_view(star: Star, selection: Selection = Selection(), calendar: str =
         ).drop("CalendarRows")
     elif dated:
         known, grouped = _days(star)
-        members.append((known.select("TimeKey"), "TimeKey", grouped))
+        members[_DAY] = Members(known, "TimeKey", grouped)
 
     for attribute, values in selection.lists().items():
         if _is_subset(star, attribute, values):
-            members.append((_members(star, attribute, values), ATTRIBUTES[attribute][1], False))
+            dimension, key = ATTRIBUTES[attribute]
+            rows = getattr(star, dimension).where(F.col(attribute).isin(*values))
+            members[dimension] = Members(rows, key, False)
             active = True
-    return View(star, fact, tuple(members), active, calendar)
+    return View(star, fact, members, active, calendar)
 
 
 def selected_rows(view: View) -> DataFrame:
@@ -271,7 +306,7 @@ def selected_rows(view: View) -> DataFrame:
 def _listed(view: View, facts: DataFrame) -> DataFrame:
     if view.calendar != "day":
         raise ValueError("money in this view is multiplied already; list rows from a day view")
-    return _join_dimensions(view.star, view.narrow(facts))
+    return _join_dimensions(view.star, facts, view.members)
 
 
 # Key figures ----------------------------------------------------------------------------------
@@ -284,6 +319,9 @@ def _holds_all_facts(view: View) -> bool:
     """
     if view.calendar != "day":
         return False
+    if view.star.known is not None:
+        lost = view.star.known.where("attribute = 'lost_days' and value <> '0'")
+        return lost.isEmpty()
     days = view.star.fact_sales.select("TimeKey")
     return _join_days(view.star, days, "left_anti").isEmpty()
 

@@ -35,7 +35,8 @@ _NAMESPACED = ("Orders", "Order Details")
 class Star:
     """The output tables, lazily defined or read back from storage.
 
-    ``dim_day`` is the calendar at day grain; reports derive it where it is not stored.
+    ``dim_day`` is the calendar at day grain, ``known`` what selections are checked against (see
+    ``reports.known_values``); reports derive both where they are not stored.
     """
 
     dim_time: DataFrame
@@ -46,6 +47,7 @@ class Star:
     fact_sales: DataFrame
     dim_categories: DataFrame | None = None
     dim_day: DataFrame | None = None
+    known: DataFrame | None = None
 
     def tables(self) -> dict[str, DataFrame]:
         found = {name: getattr(self, name) for name in S.STAR_TABLES}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 
@@ -24,23 +25,27 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
 class StoredStars:
     """Stars kept as tables, built again when the files they come from change.
 
-    The tables lie in the shared folder, so they outlive lost executors.
+    The tables lie in the shared folder, so they outlive lost executors. A manifest, written last
+    and named after the state of the sources, says where: later sessions find the star by it, and a
+    build that failed leaves none.
     """
 
     def __init__(self, database_first: bool = False) -> None:
         self._database_first = database_first
-        self._paths: dict[tuple, str] = {}
 
     def path(
         self, spark: SparkSession, source_paths: dict[str, str], build: Callable[[], Star]
     ) -> str:
         """Folder of the star built from these sources in their present state."""
-        key = (tuple(sorted(source_paths.items())), files.state(spark, source_paths))
-        if key not in self._paths:
+        state = (self._database_first, sorted(source_paths.items()), files.state(spark, source_paths))
+        name = hashlib.md5(repr(state).encode()).hexdigest()
+        manifest = f"{shared_folder(spark)}/manifest-{name}"
+        path = files.read_note(spark, manifest)
+        if path is None or not files.has_star(spark, path):
             path = new_folder(spark, "star")
             files.write_star(build(), path)
-            self._paths[key] = path
-        return self._paths[key]
+            files.write_note(spark, manifest, path)
+        return path
 
     def get(
         self, spark: SparkSession, source_paths: dict[str, str], build: Callable[[], Star]

@@ -133,6 +133,18 @@ def write_star(star: Star, path: str, fmt: str = "parquet") -> None:
         writes = [pool.submit(_write_table, name, df, path, fmt) for name, df in tables.items()]
     for write in writes:
         write.result()
+    if fmt == "parquet":
+        # Imported here, as reports read what this module stores.
+        from starloom.plans.reports import known_values
+
+        spark = star.fact_sales.sparkSession
+        first = "year_month" in star.dim_time.columns
+        known = known_values(read_star(spark, path, fmt, first))
+        known.coalesce(1).write.mode("overwrite").parquet(f"{path}/known")
+
+
+#: What reports.known_values gives.
+KNOWN = T.StructType([T.StructField(c, T.StringType()) for c in ("attribute", "value")])
 
 
 def _read_table(
@@ -163,6 +175,8 @@ def read_star(
     schemas = S.STAR_TABLES_DATABASE_FIRST if database_first else S.STAR_TABLES
     if fmt == "parquet":
         schemas = schemas | {"dim_day": schemas["dim_time"]}
+        if _if_present(lambda: spark.read.schema(KNOWN).parquet(f"{path}/known")) is not None:
+            schemas = schemas | {"known": KNOWN}
     return Star(
         **{n: _read_table(spark, path, n, fmt, schema, keep) for n, schema in schemas.items()}
     )
@@ -180,6 +194,24 @@ def stored_tables(
     return tables
 
 
+def has_star(spark: SparkSession, path: str) -> bool:
+    """Whether a folder still holds a Parquet star."""
+    names = [n for n in S.STAR_TABLES if n != "dim_categories"] + ["known"]
+    found = (_if_present(lambda: spark.read.schema(KNOWN).parquet(f"{path}/{n}")) for n in names)
+    return all(df is not None for df in found)
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    """A text of one line, or None where there is none."""
+    found = _if_present(lambda: spark.read.text(path))
+    row = None if found is None else found.first()
+    return None if row is None else row.value
+
+
 def _listing(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
 

@@ -1,3 +1,4 @@
+import shutil
 from types import SimpleNamespace
 
 import pytest
@@ -113,6 +114,18 @@ def test_stored_star_follows_its_sources(spark, tmp_path):
     spark.range(1000).write.mode("append").parquet(source)
     stars.get(spark, {"s": source}, build)
     assert len(builds) == 2
+    # As the next session would: it finds the star, unless its folder is gone.
+    path = StoredStars().path(spark, {"s": source}, build)
+    assert path == stars.path(spark, {"s": source}, build) and len(builds) == 2
+    other = StoredStars(database_first=True)
+    with pytest.raises(RuntimeError, match="no build"):
+        other.path(spark, {"s": source}, failing)
+    shutil.rmtree(path)
+    assert StoredStars().path(spark, {"s": source}, build) != path and len(builds) == 3
+
+
+def failing():
+    raise RuntimeError("no build")
 
 
 class Session:
