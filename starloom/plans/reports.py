@@ -32,7 +32,6 @@ ATTRIBUTES = {
 # Attributes that selections list, and the name of the calendar among a view's dimensions.
 LISTS = ("CustomerCountry", "EmployeeFullName", "ShipperName")
 _DAY = "dim_day"
-MEASURES = ["DetailCount", "TotalQuantity", "AverageDiscount", "TotalLineTotal", "Freight"]
 
 
 @dataclass(frozen=True)
@@ -112,7 +111,7 @@ def _with_measures(fact: DataFrame) -> DataFrame:
         is_text = isinstance(dtype, T.StringType)
         return clean.or_zero(clean.number(F.col(name)) if is_text else F.col(name).cast("double"))
 
-    return fact.withColumns({c: measure(c) for c in MEASURES if c in types})
+    return fact.withColumns({c: measure(c) for c in S.MEASURES if c in types})
 
 
 def _days(star: Star) -> tuple[DataFrame, bool]:

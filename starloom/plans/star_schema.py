@@ -127,22 +127,12 @@ def _one_per_key(df: DataFrame, key: str, unique: bool) -> DataFrame:
     return keyed if unique else keep_first(keyed, [key])
 
 
-_CUSTOMER_NAMES = {
-    "CustomerID": "CustomerKey",
-    "CompanyName": "CustomerName",
-    "City": "CustomerCity",
-    "Country": "CustomerCountry",
-}
-
-
 def dim_customer(
     customers: DataFrame, contacts: bool = False, unique: bool = False
 ) -> DataFrame:
     """Customers by key; the database-first variant adds the contact columns."""
-    columns = ["CustomerKey", "CustomerName", "CustomerCity", "CustomerCountry", "Phone"]
-    if contacts:
-        columns[2:2] = ["ContactName", "ContactTitle"]
-    renamed = customers.withColumnsRenamed(_CUSTOMER_NAMES).select(*columns)
+    columns = S.CUSTOMER_CONTACT_COLUMNS if contacts else S.DIM_CUSTOMER.fieldNames()
+    renamed = customers.withColumnsRenamed(S.CUSTOMER_NAMES).select(*columns)
     return _one_per_key(renamed, "CustomerKey", unique)
 
 
@@ -160,9 +150,7 @@ def dim_employee(employees: DataFrame, unique: bool = False) -> DataFrame:
 
 
 def dim_shipper(shippers: DataFrame, unique: bool = False) -> DataFrame:
-    renamed = shippers.withColumnsRenamed(
-        {"ShipperID": "ShipperKey", "CompanyName": "ShipperName"}
-    ).select("ShipperKey", "ShipperName", "Phone")
+    renamed = shippers.withColumnsRenamed(S.SHIPPER_NAMES).select(*S.DIM_SHIPPER.fieldNames())
     return _one_per_key(renamed, "ShipperKey", unique)
 
 
@@ -197,15 +185,7 @@ def dim_product_stock(
 ) -> DataFrame:
     """Database-first products: stock columns added, no defaults."""
     return _with_category(products, categories, unique).select(
-        F.col("ProductID").alias("ProductKey"),
-        "ProductName",
-        "QuantityPerUnit",
-        "UnitPrice",
-        "UnitsInStock",
-        "UnitsOnOrder",
-        "ReorderLevel",
-        "Discontinued",
-        "CategoryName",
+        F.col("ProductID").alias("ProductKey"), *S.PRODUCT_STOCK_COLUMNS
     )
 
 

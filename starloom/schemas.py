@@ -206,6 +206,37 @@ DETAIL_COLUMNS = [
     "TotalLineTotal",
 ]
 
+# The measures of a fact that reports treat as numbers.
+MEASURES = ["DetailCount", "TotalQuantity", "AverageDiscount", "TotalLineTotal", "Freight"]
+
+# Names of source columns in the star, and the columns of the wider dimensions.
+CUSTOMER_NAMES = {
+    "CustomerID": "CustomerKey",
+    "CompanyName": "CustomerName",
+    "City": "CustomerCity",
+    "Country": "CustomerCountry",
+}
+SHIPPER_NAMES = {"ShipperID": "ShipperKey", "CompanyName": "ShipperName"}
+CUSTOMER_CONTACT_COLUMNS = [
+    "CustomerKey",
+    "CustomerName",
+    "ContactName",
+    "ContactTitle",
+    "CustomerCity",
+    "CustomerCountry",
+    "Phone",
+]
+PRODUCT_STOCK_COLUMNS = [
+    "ProductName",
+    "QuantityPerUnit",
+    "UnitPrice",
+    "UnitsInStock",
+    "UnitsOnOrder",
+    "ReorderLevel",
+    "Discontinued",
+    "CategoryName",
+]
+
 # Defaults for missing data.
 DEFAULT_ORDER_DATE = "1996-01-01"
 DEFAULT_CATEGORY = "Unknown"
