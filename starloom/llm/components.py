@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from starloom.llm.tables import stored
@@ -33,16 +33,17 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
 
     Alternates large and small stars (Kiveris et al. 2014) until nothing changes, in about log n
     rounds. A round joins edges with one row per node, and Spark can split that join where a node
-    has very many edges. Each round is stored in the shared folder.
+    has very many edges. The edges and each round are stored in the shared folder.
     """
-    edges = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b")
+    edges = stored(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b"), "edges")
     state = None
     while True:
-        edges = stored(_small_star(_large_star(edges).distinct()).distinct(), "stars")
-        found = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if found[0] == 0 or found == state:
+        seen = Observation()
+        marks = F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("all")
+        edges = stored(_small_star(_large_star(edges)).distinct().observe(seen, *marks), "stars")
+        if seen.get["n"] == 0 or seen.get == state:
             break
-        state = found
+        state = seen.get
     roots = edges.select(F.col("b").alias("node")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         roots.select("node", F.col("node").alias("root"))

@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm import shards as S
@@ -147,17 +147,15 @@ def _tiles(sets: DataFrame, blocks: DataFrame, percent: int) -> DataFrame:
         band = F.floor(F.log(band.cast("double")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
     rows = rows.withColumns({"band": band, "place": F.xxhash64("node")})
     # How many sets each band of each block has, then how many parts it and its neighbours make.
+    # A block has as many rows here as it has bands, so windows over it stay small.
     counts = rows.groupBy("block", "band").agg(F.sum(1 + F.col("size") / MEMBERS).alias("n"))
-    totals = counts.groupBy("block").agg(F.sum("n").alias("total"))
-    counts = counts.join(totals, "block").withColumn("parts", F.when(F.col("total") <= TILE, 0).otherwise(_parts_of(F.col("n"))))
-    beside = [
-        counts.select("block", (F.col("band") + d).alias("band"), F.col("parts").alias(name))
-        for d, name in ((1, "below"), (-1, "above"))
-    ]
-    counts = counts.select("block", "band", "parts")
-    for other in beside:
-        counts = counts.join(other, ["block", "band"], "left")
-    counts = counts.select(F.struct("block", "band").alias("spot"), "parts", "below", "above")
+    of_block = Window.partitionBy("block")
+    by_band = of_block.orderBy("band")
+    total = F.sum("n").over(of_block)
+    counts = counts.withColumn("parts", F.when(total <= TILE, 0).otherwise(_parts_of(F.col("n"))))
+    below = F.when(F.lag("band").over(by_band) == F.col("band") - 1, F.lag("parts").over(by_band))
+    above = F.when(F.lead("band").over(by_band) == F.col("band") + 1, F.lead("parts").over(by_band))
+    counts = counts.select(F.struct("block", "band").alias("spot"), "parts", below.alias("below"), above.alias("above"))
     rows = lookup(rows.withColumn("spot", F.struct("block", "band")), counts, "spot", "inner", right_grouped=True)
     part = F.pmod("place", F.greatest("parts", F.lit(1))).cast("int")
     rows = rows.withColumn("part", F.when(F.col("parts") > 0, part).otherwise(F.lit(0)))
