@@ -48,7 +48,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def squeeze(data: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(data)
+    return zstandard.ZstdCompressor(level=3).compress(data)
 
 
 def expand(data: bytes) -> bytes:
@@ -202,6 +202,22 @@ def with_answers(shards: DataFrame, replies: DataFrame, work: Callable[[dict, di
     return shards.groupBy("shard").cogroup(replies.groupBy("shard")).applyInArrow(run, schema)
 
 
+def together(*replies: DataFrame) -> DataFrame:
+    """Replies of several kinds as one, for ``apart`` to tell them."""
+    found = None
+    for n, df in enumerate(replies):
+        part = df.select("shard", (F.col("bucket") * len(replies) + n).alias("bucket"), "data")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def apart(replies: dict[int, bytes], kinds: int) -> list[dict[int, bytes]]:
+    found: list[dict[int, bytes]] = [{} for _ in range(kinds)]
+    for place, data in replies.items():
+        found[place % kinds][place // kinds] = data
+    return found
+
+
 def _empty(shards: DataFrame, schema: str) -> pa.Table:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string

@@ -5,12 +5,14 @@ first of them. Equal strings have equal anchors, so strings need only be compare
 anchors agree. That tells which parts of the texts can be repeated at all and where they meet:
 
 1. Shards of documents count in how many shards each of their anchors occurs.
-2. A run of strings with one anchor is a fragment of at most 84 bytes. Fragments whose anchor is
-   shared go to a bucket by anchor; equal fragments of a shard go once, with the smallest id.
-3. A bucket sorts the suffixes of its distinct fragments (Larsson-Sadakane: ranks by the first
-   eight bytes, then by ranks eight, sixteen, ... bytes on, for groups that are still tied) and
-   takes their common prefixes (Kasai's property, for all positions at once). Neighbours that
-   share ``WINDOW`` bytes are one class of equal strings; the smallest id of a class keeps it.
+2. A run of strings with one anchor is a fragment of at most 84 bytes. Of fragments whose anchor is
+   shared, hashes go to buckets, once per shard, to learn the smallest id that has each fragment.
+   All strings of a fragment are repeated in the documents with other ids.
+3. Where the smallest id is, the fragment's text goes to a bucket by anchor, so each distinct
+   fragment goes once. The bucket sorts the suffixes of its fragments (Larsson-Sadakane: ranks by
+   the first eight bytes, then by ranks eight, sixteen, ... bytes on, for groups that are still
+   tied) and takes their common prefixes (Kasai's property, for all positions at once). Neighbours
+   that share ``WINDOW`` bytes are one class of equal strings; the smallest id of a class keeps it.
    Fragments of one anchor that are too many for one array lie in several, whose sorted classes
    are merged by binary search.
 4. The bucket answers with one bit per string, and each shard cuts its own texts.
@@ -36,11 +38,13 @@ WINDOW, GRAM = 50, 16
 SPAN = WINDOW - GRAM + 1
 LONGEST = WINDOW + SPAN - 1
 WORDS = -(-LONGEST // 8)
-#: Positions of one pass over a long text; positions and hashes share 64 bits.
-SEGMENT = 1 << 21
+#: Positions of one pass over a text, few enough for the processor's caches; positions and hashes
+#: share 64 bits.
+SEGMENT = 1 << 15
 PLACE = np.uint64((1 << 24) - 1)
-#: Bytes of fragments in one suffix array.
-ARRAY_BYTES = 1 << 20
+_MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)]
+#: Bytes of fragments in one suffix array, few enough for the processor's caches.
+ARRAY_BYTES = 1 << 16
 #: From so many shards on, an anchor's strings go out one by one.
 SPREAD = S.MOST
 
@@ -83,8 +87,13 @@ def anchor_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Runs:
     found = []
     for begin in range(0, max(size - WINDOW + 1, 0), SEGMENT):
         n = min(SEGMENT, size - WINDOW + 1 - begin)
-        words = _words(data[begin:], n + WINDOW - GRAM + 8)
-        grams = S.mix(words[:-8] ^ (S.mix(words[8:].copy())))
+        words = _words(data[begin:], n + WINDOW - GRAM + 8).copy()
+        grams = words[:-8] * _MIX[0]
+        grams ^= grams >> np.uint64(29)
+        grams += words[8:] * _MIX[1]
+        grams ^= grams >> np.uint64(32)
+        grams *= _MIX[2]
+        grams ^= grams >> np.uint64(29)
         places = np.arange(len(grams), dtype=np.uint64)
         anchor = (_sliding_least((grams & ~PLACE) | places) & PLACE).astype(np.int64)
         valid = inside[begin : begin + n]
@@ -93,37 +102,50 @@ def anchor_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Runs:
         first = np.flatnonzero(new)
         count = np.diff(first, append=n)
         at = valid[first]
-        found.append((first[at] + begin, count[at], grams[anchor[first[at]]]))
+        # Anchors are small hashes; mixed once more, they are dealt evenly to buckets.
+        found.append((first[at] + begin, count[at], S.mix(grams[anchor[first[at]]])))
     if not found:
         return Runs(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
     return Runs(*(np.concatenate(part) for part in zip(*found)))
 
 
 def _padded(text: bytes) -> np.ndarray:
-    return np.frombuffer(text + bytes(LONGEST + 16), np.uint8)
+    return np.frombuffer(text + bytes(8 * WORDS + 16), np.uint8)
 
 
 def _fragments(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """One row per fragment, zeros behind its end."""
-    across = np.arange(8 * WORDS)
-    rows = data[np.minimum(start[:, None] + across, len(data) - 1)]
-    rows[across >= length[:, None]] = 0
+    """One row of words per fragment, zeros behind its end; ``data`` is padded behind."""
+    words = _words(data, len(data) - 7)
+    rows = np.empty((len(start), WORDS), np.uint64)
+    for n in range(WORDS):
+        over = np.clip(8 * (n + 1) - length, 0, 8).astype(np.uint64) * np.uint64(8)
+        # A shift by all 64 bits is none, so it is done in two steps.
+        keep = ~np.uint64(0) >> (over >> np.uint64(1)) >> (over - (over >> np.uint64(1)))
+        rows[:, n] = words[np.minimum(start + 8 * n, len(words) - 1)] & keep
     return rows
 
 
+def _bytes_of(rows: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The fragments' bytes, one after the other."""
+    return np.ascontiguousarray(rows).view(np.uint8)[np.arange(8 * WORDS) < length[:, None]]
+
+
 def _content(rows: np.ndarray, length: np.ndarray) -> np.ndarray:
-    found = S.mix(length.astype(np.uint64))
-    for word in np.ascontiguousarray(rows).view("<u8").T:
-        found = S.mix(found ^ word)
-    return found
+    """A hash of each fragment."""
+    found = length.astype(np.uint64) * _MIX[0]
+    for n in range(WORDS):
+        found ^= rows[:, n]
+        found *= _MIX[1]
+        found ^= found >> np.uint64(32)
+    return S.mix(found)
 
 
 def _keys(shard: S.Shard) -> np.ndarray:
     return np.unique(anchor_runs(_padded(shard.text), shard.starts, shard.ends).key)
 
 
-class _Sent:
-    """What a shard sends: its distinct fragments whose anchor others have, in order of keys.
+class _Fragments:
+    """A shard's distinct fragments whose anchor others have, in order of anchors.
 
     The same comes out whenever it is computed from the same shard and counts.
     """
@@ -143,26 +165,65 @@ class _Sent:
         key, content = self.runs.key[order], content[order]
         new = np.ones(len(order), bool)
         new[1:] = (key[1:] != key[:-1]) | (content[1:] != content[:-1])
-        #: Which distinct fragment each run is, and whether its id is that fragment's smallest.
+        #: Which distinct fragment each run is, and whether its id is the shard's smallest for it.
         self.which = np.empty(len(order), np.int64)
         self.which[order] = np.cumsum(new) - 1
         head = order[new]
-        self.key, self.ids, self.length = self.runs.key[head], ids[head], length[head]
+        self.key, self.content, self.ids, self.length = self.runs.key[head], content[new], ids[head], length[head]
         self.least = ids == self.ids[self.which] if len(order) else np.zeros(0, bool)
         self._rows = rows[head]
 
-    def messages(self, buckets: int) -> Iterator[tuple[int, bytes]]:
-        at = S.bounds(self.key, buckets)
-        across = np.arange(8 * WORDS)
+    def _by_content(self, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        name = S.mix(self.content ^ self.key)
+        order = np.argsort(name)
+        return name, order, S.bounds(name[order], buckets)
+
+    def ask(self, buckets: int) -> Iterator[tuple[int, bytes]]:
+        """Messages that ask for the smallest id of each fragment: 96 bits of hash, and the id."""
+        name, order, at = self._by_content(buckets)
+        for bucket in np.flatnonzero(np.diff(at)).tolist():
+            part = order[at[bucket] : at[bucket + 1]]
+            yield bucket, S.squeeze(
+                np.int64(len(part)).tobytes() + name[part].tobytes()
+                + self.key[part].astype(np.uint32).tobytes() + self.ids[part].tobytes()
+            )
+
+    def first(self, replies: dict[int, bytes], buckets: int) -> np.ndarray:
+        """Whether the id of each fragment is the smallest of all shards."""
+        found = np.zeros(len(self.key), bool)
+        _, order, _ = self._by_content(buckets)
+        found[order] = np.frombuffer(b"".join(S.expand(replies[b]) for b in sorted(replies)), bool)
+        return found
+
+    def messages(self, first: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
+        """Texts of the fragments that are sent."""
+        sent = np.flatnonzero(first)
+        at = S.bounds(self.key[sent], buckets)
         for bucket in np.flatnonzero(np.diff(at)).tolist():
-            part = slice(at[bucket], at[bucket + 1])
-            texts = self._rows[part][across < self.length[part, None]]
+            part = sent[at[bucket] : at[bucket + 1]]
+            texts = _bytes_of(self._rows[part], self.length[part])
             yield bucket, S.squeeze(
-                np.int64(at[bucket + 1] - at[bucket]).tobytes() + self.key[part].tobytes()
+                np.int64(len(part)).tobytes() + self.key[part].tobytes()
                 + self.ids[part].tobytes() + self.length[part].astype(np.uint8).tobytes() + texts.tobytes()
             )
 
 
+def _least(sent: list[bytes]) -> list[bytes]:
+    """A bucket's answer to ``ask``."""
+    parts = []
+    for message in sent:
+        raw = S.expand(message)
+        n = int(np.frombuffer(raw, np.int64, 1)[0])
+        parts.append((np.frombuffer(raw, np.uint64, n, 8), np.frombuffer(raw, np.uint32, n, 8 + 8 * n), np.frombuffer(raw, np.int64, n, 8 + 12 * n)))
+    name, more, ids = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((ids, more, name))
+    new = np.ones(len(order), bool)
+    new[1:] = (name[order][1:] != name[order][:-1]) | (more[order][1:] != more[order][:-1])
+    first = np.empty(len(order), bool)
+    first[order] = ids[order] == ids[order][np.flatnonzero(new)[np.cumsum(new) - 1]]
+    return [S.squeeze(part.tobytes()) for part in np.split(first, np.cumsum([len(p[0]) for p in parts])[:-1])]
+
+
 def _joined(a: Runs, b: Runs) -> Runs:
     return Runs(*(np.concatenate([x, y]) for x, y in zip((a.start, a.count, a.key), (b.start, b.count, b.key))))
 
@@ -327,51 +388,36 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return rows, least
 
 
-def repeated(texts: np.ndarray, length: np.ndarray, ids: np.ndarray, groups: np.ndarray) -> np.ndarray:
-    """One number per fragment: bit n says that a smaller id has the string at place n too.
-
-    ``groups`` tells which fragments (in order) may share strings.
-    """
+def repeated(texts: np.ndarray, length: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """One number per fragment: bit n says that a smaller id has the string at place n too."""
     ends = np.cumsum(length)
     masks = np.zeros(len(length), np.uint64)
-    if not len(length):
-        return masks
-    edges = np.flatnonzero(np.diff(groups, prepend=groups[0] - np.uint64(1)))
-    edges = np.append(edges, len(length))
-    cuts, pieces = [0], []  # pieces that are compared on their own, each of one array or more
-    for edge in edges[1:].tolist():
-        begin = ends[cuts[-1] - 1] if cuts[-1] else 0
-        if edge < len(length) and ends[edge - 1] - begin < ARRAY_BYTES:
-            continue
-        pieces.append((cuts[-1], edge))
-        cuts.append(edge)
-    for first, last in pieces:
-        arrays = []
-        begin = first
-        while begin < last:
-            offset = ends[begin - 1] if begin else 0
-            end = min(last, max(begin + 1, int(np.searchsorted(ends, offset + 2 * ARRAY_BYTES))))
-            part = slice(begin, end)
-            suffixes = Suffixes(texts[offset : ends[end - 1]], length[part])
-            arrays.append((part, suffixes, *_classes(suffixes, ids[part])))
-            begin = end
-        if len(arrays) > 1:
-            found = []
-            for _, suffixes, _, at, least in arrays:
-                whole = suffixes.left[at] >= WINDOW
-                found.append((_as_numbers(suffixes.data, at[whole]), least[whole]))
-            rows, least = _merged([(r, n.copy()) for r, n in found])
-            for (numbers, _), (_, suffixes, _, at, own) in zip(found, arrays):
-                own[suffixes.left[at] >= WINDOW] = least[_search(rows, numbers)]
-        for part, suffixes, place, _, least in arrays:
-            gone = np.zeros(suffixes.size, bool)
-            gone[suffixes.order] = least[place] < ids[part][suffixes.which[suffixes.order]]
-            gone &= suffixes.left >= WINDOW
-            own = length[part]
-            heads = np.cumsum(own) - own
-            bit = (np.arange(suffixes.size) - np.repeat(heads, own)).astype(np.uint64)
-            bits = np.where(gone, np.uint64(1) << np.minimum(bit, np.uint64(63)), np.uint64(0))
-            masks[part] = np.bitwise_or.reduceat(bits, heads)
+    arrays = []
+    begin = 0
+    while begin < len(length):
+        offset = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, offset + 2 * ARRAY_BYTES)))
+        part = slice(begin, min(end, len(length)))
+        suffixes = Suffixes(texts[offset : ends[part.stop - 1]], length[part])
+        arrays.append((part, suffixes, *_classes(suffixes, ids[part])))
+        begin = part.stop
+    if len(arrays) > 1:
+        found = []
+        for _, suffixes, _, at, least in arrays:
+            whole = suffixes.left[at] >= WINDOW
+            found.append((_as_numbers(suffixes.data, at[whole]), least[whole]))
+        rows, least = _merged([(r, n.copy()) for r, n in found])
+        for (numbers, _), (_, suffixes, _, at, own) in zip(found, arrays):
+            own[suffixes.left[at] >= WINDOW] = least[_search(rows, numbers)]
+    for part, suffixes, place, _, least in arrays:
+        gone = np.zeros(suffixes.size, bool)
+        gone[suffixes.order] = least[place] < ids[part][suffixes.which[suffixes.order]]
+        gone &= suffixes.left >= WINDOW
+        own = length[part]
+        heads = np.cumsum(own) - own
+        bit = (np.arange(suffixes.size) - np.repeat(heads, own)).astype(np.uint64)
+        bits = np.where(gone, np.uint64(1) << np.minimum(bit, np.uint64(63)), np.uint64(0))
+        masks[part] = np.bitwise_or.reduceat(bits, heads)
     return masks
 
 
@@ -388,42 +434,57 @@ def _answer(sent: list[bytes]) -> list[bytes]:
     key, ids, length, texts = (np.concatenate(x) for x in zip(*parts))
     length = length.astype(np.int64)
     ends = np.cumsum(length)
-    padded = np.concatenate([texts, np.zeros(8 * WORDS, np.uint8)])
-    content = np.concatenate([
-        _content(_fragments(padded, ends[i : i + 65536] - length[i : i + 65536], length[i : i + 65536]), length[i : i + 65536])
-        for i in range(0, len(length), 65536)
-    ])
+    padded = np.concatenate([texts, np.zeros(8 * WORDS + 8, np.uint8)])
+    content = _content(_fragments(padded, ends - length, length), length)
     order = np.lexsort((ids, content, key))
     new = np.ones(len(order), bool)
     new[1:] = (key[order][1:] != key[order][:-1]) | (content[order][1:] != content[order][:-1])
     head = order[new]
     which = np.empty(len(order), np.int64)
     which[order] = np.cumsum(new) - 1
-    own = length[head]
-    places = np.repeat(ends[head] - own - (np.cumsum(own) - own), own) + np.arange(own.sum())
-    found = repeated(texts[places], own, ids[head], key[head])
+    # A fragment that is alone with its anchor has no string in common with others.
+    found = np.zeros(len(head), np.uint64)
+    group = key[head]
+    alike = np.zeros(len(head) + 1, bool)
+    alike[1:-1] = group[1:] == group[:-1]
+    several = np.flatnonzero(alike[1:] | alike[:-1])
+    for part in _pieces(group[several], length[head[several]]):
+        at = head[several[part]]
+        own = length[at]
+        places = np.repeat(ends[at] - own - (np.cumsum(own) - own), own) + np.arange(own.sum())
+        found[several[part]] = repeated(texts[places], own, ids[at])
     every = (np.uint64(1) << (length - WINDOW + 1).astype(np.uint64)) - np.uint64(1)
     masks = np.where(ids > ids[head][which], every, found[which])
     cuts = np.cumsum([len(p[0]) for p in parts])[:-1]
     return [S.squeeze(part.tobytes()) for part in np.split(masks, cuts)]
 
 
+def _pieces(groups: np.ndarray, length: np.ndarray) -> Iterator[slice]:
+    """Fragments that are compared with each other: whole groups, about one array's worth."""
+    edges = np.append(np.flatnonzero(groups[1:] != groups[:-1]) + 1, len(groups))
+    ends = np.cumsum(length)
+    first, begin = 0, 0
+    for edge in edges.tolist() if len(groups) else []:
+        if edge == len(groups) or ends[edge - 1] - begin >= ARRAY_BYTES:
+            yield slice(first, edge)
+            first, begin = edge, ends[edge - 1]
+
+
 # Cutting texts -------------------------------------------------------------------------------
 
 
-def _removed(shard: S.Shard, counts: np.ndarray, replies: dict[int, bytes]) -> np.ndarray:
-    """Which bytes of the shard's texts go."""
-    sent = _Sent(shard, counts)
-    masks = np.frombuffer(b"".join(S.expand(replies[b]) for b in sorted(replies)), np.uint64)
-    count = sent.runs.count
-    every = (np.uint64(1) << count.astype(np.uint64)) - np.uint64(1)
-    mask = np.where(sent.least, masks[sent.which], every) if len(count) else every
-    run = np.repeat(np.arange(len(count)), count)
-    place = np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
+def _removed(fragments: _Fragments, first: np.ndarray, masks: np.ndarray, size: int) -> np.ndarray:
+    """Which bytes of the shard's texts go; ``masks`` are those of the fragments that were sent."""
+    runs = fragments.runs
+    own = np.zeros(len(first), np.uint64)
+    own[first] = masks
+    every = (np.uint64(1) << runs.count.astype(np.uint64)) - np.uint64(1)
+    mask = np.where(fragments.least & first[fragments.which], own[fragments.which], every) if len(first) else every
+    run = np.repeat(np.arange(len(runs.count)), runs.count)
+    place = np.arange(len(run)) - np.repeat(np.cumsum(runs.count) - runs.count, runs.count)
     gone = (mask[run] >> place.astype(np.uint64)) & np.uint64(1) == 1
-    start = sent.runs.start[run[gone]] + place[gone]
-    size = len(shard.text) + 1
-    edges = np.bincount(start, minlength=size) - np.bincount(start + WINDOW, minlength=size)
+    start = runs.start[run[gone]] + place[gone]
+    edges = np.bincount(start, minlength=size + 1) - np.bincount(start + WINDOW, minlength=size + 1)
     return np.cumsum(edges)[:-1] > 0
 
 
@@ -457,25 +518,32 @@ def cut(docs: DataFrame, key: str = "doc_id", text: str = "text", carry: list[st
     counts = S.stored(S.common(shards, _keys, buckets), "anchors")
     kinds = [f"_{n} {docs.schema[c].dataType.simpleString()}" for n, c in enumerate(carry)]
 
-    def send(row: dict, replies: dict[int, bytes]) -> Iterator[pa.RecordBatch]:
+
+    def ask(row: dict, replies: dict[int, bytes]) -> Iterator[pa.RecordBatch]:
         shard = S.Shard.read(row)
-        if not replies:
-            return
-        found = list(_Sent(shard, S.counts_of(replies)).messages(buckets))
-        yield S._message(shard.number, [b for b, _ in found], [d for _, d in found])
+        if replies:
+            found = list(_Fragments(shard, S.counts_of(replies)).ask(buckets))
+            yield S._message(shard.number, [b for b, _ in found], [d for _, d in found])
 
-    sent = S.with_answers(shards, counts, send, S.MESSAGE)
-    masks = S.answers(sent, _answer)
-    both = counts.withColumn("kind", F.lit(0)).unionByName(masks.withColumn("kind", F.lit(1)))
-    both = both.select("shard", (F.col("bucket") * 2 + F.col("kind")).alias("bucket"), "data")
+    def send(row: dict, replies: dict[int, bytes]) -> Iterator[pa.RecordBatch]:
+        shard, (own, least) = S.Shard.read(row), S.apart(replies, 2)
+        if least:
+            fragments = _Fragments(shard, S.counts_of(own))
+            found = list(fragments.messages(fragments.first(least, buckets), buckets))
+            yield S._message(shard.number, [b for b, _ in found], [d for _, d in found])
+
+    least = S.stored(S.answers(S.with_answers(shards, counts, ask, S.MESSAGE), _least), "least")
+    known = S.together(counts, least)
+    masks = S.answers(S.with_answers(shards, known, send, S.MESSAGE), _answer)
 
     def finish(row: dict, replies: dict[int, bytes]) -> Iterator[pa.RecordBatch]:
-        shard = S.Shard.read(row)
+        shard, (own, least, masks) = S.Shard.read(row), S.apart(replies, 3)
         data = np.frombuffer(shard.text, np.uint8)
-        found = {b // 2: d for b, d in replies.items() if b % 2 == 0}
         gone = np.zeros(len(data), bool)
-        if found:
-            gone = _removed(shard, S.counts_of(found), {b // 2: d for b, d in replies.items() if b % 2})
+        if least:
+            fragments = _Fragments(shard, S.counts_of(own))
+            bits = np.frombuffer(b"".join(S.expand(masks[b]) for b in sorted(masks)), np.uint64)
+            gone = _removed(fragments, fragments.first(least, buckets), bits, len(data))
         if whole_characters:
             gone = _whole_characters(data, gone)
         total = np.concatenate([[0], np.cumsum(gone)])
@@ -493,5 +561,5 @@ def cut(docs: DataFrame, key: str = "doc_id", text: str = "text", carry: list[st
         names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", *(f"_{n}" for n in range(len(carry)))]
         yield pa.RecordBatch.from_arrays([*columns, *others], names)
 
-    found = S.with_answers(shards, both, finish, ", ".join([CUT, *kinds]))
+    found = S.with_answers(shards, S.together(counts, least, masks), finish, ", ".join([CUT, *kinds]))
     return found.withColumnsRenamed({f"_{n}": c for n, c in enumerate(carry)})

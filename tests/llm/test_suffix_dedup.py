@@ -70,7 +70,7 @@ def test_split_arrays_and_spread_anchors(spark):
         try:
             assert _in_memory(lists, 8) == brute(rows)
         finally:
-            suffix_dedup.SPREAD, suffix_dedup.ARRAY_BYTES = shards.MOST, 1 << 20
+            suffix_dedup.SPREAD, suffix_dedup.ARRAY_BYTES = shards.MOST, 1 << 16
 
 
 def _in_memory(lists, per_shard):
@@ -85,19 +85,28 @@ def _in_memory(lists, per_shard):
     buckets = 3
     keys = [suffix_dedup._keys(s) for s in made]
     unique, times = np.unique(np.concatenate(keys), return_counts=True)
-    counts = [np.minimum(times[np.searchsorted(unique, k)], 255) for k in keys]
-    mail = {b: [] for b in range(buckets)}
-    for s, c in zip(made, counts):
-        for b, data in suffix_dedup._Sent(s, c).messages(buckets):
-            mail[b].append((s.number, data))
-    replies = {s.number: {} for s in made}
-    for b, sent in mail.items():
-        if sent:
-            for (number, _), reply in zip(sent, suffix_dedup._answer([d for _, d in sent])):
-                replies[number][b] = reply
+    fragments = [
+        suffix_dedup._Fragments(s, np.minimum(times[np.searchsorted(unique, k)], 255)) for s, k in zip(made, keys)
+    ]
+
+    def exchange(sent, answer):
+        mail = {}
+        for n, messages in enumerate(sent):
+            for b, data in messages:
+                mail.setdefault(b, []).append((n, data))
+        replies = [{} for _ in made]
+        for b, own in mail.items():
+            for (n, _), reply in zip(own, answer([d for _, d in own])):
+                replies[n][b] = reply
+        return replies
+
+    least = exchange([f.ask(buckets) for f in fragments], suffix_dedup._least)
+    first = [f.first(r, buckets) for f, r in zip(fragments, least)]
+    masks = exchange([f.messages(x, buckets) for f, x in zip(fragments, first)], suffix_dedup._answer)
     out = []
-    for s, c in zip(made, counts):
-        gone = suffix_dedup._removed(s, c, replies[s.number])
+    for s, f, x, m in zip(made, fragments, first, masks):
+        bits = np.frombuffer(b"".join(shards.expand(m[b]) for b in sorted(m)), np.uint64)
+        gone = suffix_dedup._removed(f, x, bits, len(s.text))
         data = np.frombuffer(s.text, np.uint8)
         for i, a, e in zip(s.ids.tolist(), s.starts.tolist(), s.ends.tolist()):
             own = gone[a:e]
