@@ -537,7 +537,9 @@ def all_sql() -> dict[str, str]:
                        round(any_value(TotalLineTotal), 4) AS TotalLineTotal,
                        round(sum(TotalLineTotal), 4) AS FanoutLineTotal,
                        round(sum(Freight), 4) AS FanoutFreight
-                FROM fact LEFT JOIN dim_time USING (TimeKey) GROUP BY OrderKey, TimeKey""",
+                FROM (SELECT *, row_number() OVER () AS fact_row FROM fact)
+                     LEFT JOIN dim_time USING (TimeKey)
+                GROUP BY fact_row, OrderKey, TimeKey""",
         ),
         "dim_csv_roundtrip": _with("dim_employee", "SELECT * FROM dim_employee"),
         "date_bounds": _with(
