@@ -18,6 +18,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.llm.tables import stored
 from starloom.operators.join import lookup
 
 THRESHOLD = 0.75
@@ -124,7 +125,7 @@ def scan(files: DataFrame, path: str = "path", text: str = "text", threshold: fl
     Rows with the same path are one file. A null path is left out, a null or empty text has no
     licence of its own. Other columns change nothing.
 
-    Texts are read twice and never shuffled; what is collected is one weight per template word, so
+    Texts are read three times and never shuffled; what is collected is one weight per template word, so
     it is bounded by the templates. Directories are joined once each, however many files they hold.
     """
     vocabulary = sorted({w for _, _, words in _template_words() for w in words})
@@ -139,7 +140,7 @@ def scan(files: DataFrame, path: str = "path", text: str = "text", threshold: fl
     weights = _weights(units, vocabulary, count)
     scored = _scored(units, weights, math.log1p(count) / 2 + 1, threshold)
     best = F.min(F.struct((-F.col("score")).alias("minus"), "licence")).alias("best")
-    own = scored.groupBy("path", "is_licence").agg(best)
+    own = stored(scored.groupBy("path", "is_licence").agg(best), "licences")  # read twice below
 
     directory = F.regexp_extract("path", "^(.*)/[^/]*$", 1)
     directory = F.when(F.instr("path", "/") > 0, directory).otherwise(F.lit(""))
