@@ -130,12 +130,12 @@ def _bytes_of(rows: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(rows).view(np.uint8)[np.arange(8 * WORDS) < length[:, None]]
 
 
-def _content(rows: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """A hash of each fragment."""
+def _content(rows: np.ndarray, length: np.ndarray, by: np.uint64 = _MIX[1]) -> np.ndarray:
+    """A hash of each fragment; another factor ``by`` makes another hash."""
     found = length.astype(np.uint64) * _MIX[0]
     for n in range(WORDS):
         found ^= rows[:, n]
-        found *= _MIX[1]
+        found *= by
         found ^= found >> np.uint64(32)
     return S.mix(found)
 
@@ -229,7 +229,7 @@ def _joined(a: Runs, b: Runs) -> Runs:
 
 
 def _singles(data: np.ndarray, runs: Runs) -> Runs:
-    """Each string a run of its own, its key a hash of the string."""
+    """Each string a run of its own, its key a hash of the string, another than its content's."""
     start = np.repeat(runs.start, runs.count)
     start += np.arange(len(start)) - np.repeat(np.cumsum(runs.count) - runs.count, runs.count)
     count = np.ones(len(start), np.int64)
@@ -237,7 +237,7 @@ def _singles(data: np.ndarray, runs: Runs) -> Runs:
     for begin in range(0, len(start), 1 << 16):
         part = start[begin : begin + (1 << 16)]
         length = np.full(len(part), WINDOW)
-        keys.append(_content(_fragments(data, part, length), length))
+        keys.append(_content(_fragments(data, part, length), length, _MIX[2]))
     return Runs(start, count, np.concatenate(keys))
 
 

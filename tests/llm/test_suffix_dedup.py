@@ -115,6 +115,41 @@ def _in_memory(lists, per_shard):
     return sorted(out)
 
 
+def _spread_strings(monkeypatch, strings):
+    """Strings as two documents each, every anchor spread; the fragments of one shard of them all."""
+    monkeypatch.setattr(suffix_dedup, "SPREAD", 2)
+    data = b"".join(s for s in strings for _ in (0, 1))
+    ends = np.arange(1, 2 * len(strings) + 1) * WIDTH
+    ids = np.arange(len(ends))
+    shard = shards.Shard(0, ids, np.zeros(len(ends), bool), ends - WIDTH, ends, data, b"")
+    return suffix_dedup._Fragments(shard, np.full(len(suffix_dedup._keys(shard)), 2))
+
+
+def test_spread_strings_fill_the_buckets(monkeypatch):
+    rng = random.Random(4)
+    fragments = _spread_strings(monkeypatch, [rng.randbytes(WIDTH) for _ in range(4000)])
+    asked = {b: int(np.frombuffer(shards.expand(m), np.int64, 1)[0]) for b, m in fragments.ask(8)}
+    assert sum(asked.values()) == 4000
+    assert sorted(asked) == list(range(8)) and max(asked.values()) < 2 * 4000 / 8
+
+
+def test_spread_strings_with_equal_low_bits_stay_apart(monkeypatch):
+    rng = random.Random(5)
+    count = 300_000
+    data = rng.randbytes(WIDTH * count)
+    starts, one = np.arange(count) * WIDTH, np.ones(count, np.int64)
+    runs = suffix_dedup.Runs(starts, one, np.zeros(count, np.uint64))
+    low = suffix_dedup._singles(suffix_dedup._padded(data), runs).key.astype(np.uint32)
+    order = np.argsort(low, kind="stable")
+    same = np.flatnonzero(low[order][1:] == low[order][:-1])
+    assert len(same)
+    monkeypatch.setattr(suffix_dedup, "SPREAD", 2)
+    for n in same.tolist():
+        a, b = (data[starts[i] : starts[i] + WIDTH] for i in order[n : n + 2].tolist())
+        rows = _in_memory([(0, a), (1, a), (2, b), (3, b)], 1)
+        assert [(i, kept) for i, *_, kept in rows] == [(0, a), (1, b""), (2, b), (3, b"")]
+
+
 def test_long_text_in_segments():
     rng = random.Random(9)
     text = "".join(rng.choices("abcdef ", k=5000))
