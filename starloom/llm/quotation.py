@@ -3,8 +3,10 @@
 A line that begins with one or more ``>`` quotes, each mark one level deeper. Consecutive lines of
 one level are a passage. Passages are normalised and hashed, and so are the whole text, the
 paragraphs and the lines that each message has of its own; equal hashes within a conversation link
-a quotation to the first message that has the passage, if it is an earlier turn. A message replies
-to the latest message that it quotes at the first level.
+a quotation to the first message that has the passage, if it is an earlier turn. A passage that no
+earlier message has as one of these is a trimmed quotation: its paragraphs and lines are looked up
+instead. Its original has all that was found of it, so it is linked to the latest of the messages
+that have these first. A message replies to the latest message that it quotes at the first level.
 
 DataFrame operations only.
 """
@@ -55,14 +57,30 @@ def _in_order(condition: Column | None = None) -> Column:
     return F.array_join(F.transform(F.array_sort(items), lambda x: x["line"]), "\n")
 
 
+def _pieces(text: Column) -> Column:
+    """Paragraphs and lines."""
+    return F.concat(F.split(text, "\\n[ \\t\\r]*\\n"), F.split(text, "\\n"))
+
+
 def _units(own: DataFrame) -> DataFrame:
     """``conv_id, hash, turn, message``: what a quotation of a message may consist of."""
-    units = F.concat(F.array("text"), F.split("text", "\\n[ \\t\\r]*\\n"), F.split("text", "\\n"))
+    units = F.concat(F.array("text"), _pieces(F.col("text")))
     units = F.array_distinct(F.transform(units, normalised))
     units = F.filter(units, lambda u: u != "")
     return own.select("conv_id", "turn", "message", F.explode(F.transform(units, F.md5)).alias("hash"))
 
 
+def _sought(passages: DataFrame) -> DataFrame:
+    """``whole, hash`` added: a row for each passage that is not blank, and for each other piece of it with a word."""
+    passages = passages.withColumn("words", normalised(F.col("passage_text"))).where("words != ''")
+    pieces = F.array_except(F.transform(_pieces(F.col("passage_text")), normalised), F.array("words"))
+    pieces = F.filter(pieces, lambda p: p.rlike("[\\p{L}\\p{N}]"))
+    sought = F.concat(F.array(F.struct(F.lit(True).alias("whole"), F.md5("words").alias("hash"))), F.transform(
+        pieces, lambda p: F.struct(F.lit(False).alias("whole"), F.md5(p).alias("hash"))
+    ))
+    return passages.withColumn("sought", F.explode(sought)).select(*passages.drop("words", "passage_text").columns, "sought.*")
+
+
 def _roots(replies: DataFrame) -> DataFrame:
     """``message, root, depth`` of replies, by doubling the distance until all have arrived."""
     state = stored(replies.select("message", F.col("parent").alias("root"), F.lit(1).alias("depth")), "replies")
@@ -88,15 +106,17 @@ def reply_ordered(conversations: DataFrame) -> DataFrame:
     ``reply_to`` is the turn of the message replied to, ``thread`` the turn of the message where
     that chain begins (the own turn if there is none) and ``depth`` the steps to it. Sorted by
     ``conv_id, thread, depth, turn`` a conversation is in reply order. ``n_quotes`` counts quoted
-    passages, ``n_linked`` those whose original was found; ``text`` is what the message says
-    itself, without blank lines at its ends if it quotes.
+    passages, ``n_linked`` those whose original was found, whole or by some paragraph or line (a part
+    of a line is not looked up); ``text`` is what the message says itself, without blank lines at
+    its ends if it quotes.
 
     Repeated messages (all four columns equal) are one, counted in ``n_copies``. Messages without
     conversation or turn link to nothing; a null text stays null; blank quotations link to nothing.
     Other columns of the input are left out.
 
     Only quoting messages are taken apart, only their conversations searched, and of originals only
-    hashes are shuffled, one per conversation and passage after counting. A frequent passage, a
+    hashes are shuffled, one per conversation and passage after counting, and of quotations one per
+    passage, paragraph and line. A frequent passage, a
     long conversation or a much quoted message is joined to one row each, so such joins can be
     split. No conversation has to fit into one task.
     """
@@ -116,12 +136,11 @@ def reply_ordered(conversations: DataFrame) -> DataFrame:
     first = first.select(F.struct("conv_id", "hash").alias("spot"), "first")
 
     asking = quoting.where(known).select("message", "conv_id", "turn")
-    asking = passages.join(asking, "message").withColumn("words", normalised(F.col("passage_text")))
-    asking = asking.select("message", "turn", "level", F.when(F.col("words") != "", F.md5("words")).alias("hash"), "conv_id")
-    asking = asking.withColumn("spot", F.struct("conv_id", "hash"))
-    linked = lookup(asking.where("hash is not null"), first, "spot", "inner", right_grouped=True)
-    linked = linked.where("first.turn < turn").groupBy("message").agg(
-        F.count("*").alias("n_linked"), F.max(F.when(F.col("level") == 1, F.col("first"))).alias("parent")
+    asking = _sought(passages.join(asking, "message")).withColumn("spot", F.struct("conv_id", "hash"))
+    found = lookup(asking, first, "spot", "inner", right_grouped=True).where("first.turn < turn")
+    found = found.groupBy("message", "passage", "level").agg(F.max(F.struct("whole", "first")).alias("best"))
+    linked = found.groupBy("message").agg(
+        F.count("*").alias("n_linked"), F.max(F.when(F.col("level") == 1, F.col("best.first"))).alias("parent")
     )
     linked = stored(linked, "links")
     counts = passages.groupBy("message").agg(F.count("*").alias("n_quotes"))

@@ -125,6 +125,31 @@ def test_odd_rows(spark):
     assert found(spark, []) == []
 
 
+def test_trimmed_quotations(spark):
+    """(reply_to, n_quotes, n_linked, thread) of replies that quote part of a message."""
+    three = "One line,\nanother line,\na third line.\n\nA middle.\n\nThe end\nof it."
+    quote = lambda text: "\n".join("> " + x for x in text.split("\n"))
+    replies = {
+        "One line,\nanother line,": (1, 1, 1, 1),  # two lines of a paragraph
+        "another line,\na third line.": (1, 1, 1, 1),
+        "a middle.\n\nThe end  of it.": (1, 1, 1, 1),  # two paragraphs of three, wrapped in another way
+        "One line,\n[...]\nof it.": (1, 1, 1, 1),
+        "Hello\nA middle.": (1, 1, 1, 1),  # Hello is said before, by another
+        "no such\nlines": (None, 1, 0, 3),
+        "[...]\n--": (None, 1, 0, 3),  # nothing to tell a message by, though one has such lines
+        "later on\nand on": (None, 1, 0, 3),  # only a later message has these
+    }
+    rows = []
+    for conv, text in enumerate(replies):
+        rows += [(conv, 0, "user", "Hello\n--\n[...]\n--"), (conv, 1, "assistant", three), (conv, 2, "user", "--")]
+        rows += [(conv, 3, "user", quote(text) + "\nYes."), (conv, 4, "user", "later on\nand on\nmore")]
+    nested = f">{quote('One line,' + chr(10) + 'another line,')}\n> Yes.\nNo."
+    rows += [(99, 0, "user", three), (99, 1, "user", quote("A middle.") + "\nYes."), (99, 2, "user", nested)]
+    got = {(r[0], r[3]): (r[5], r[6], r[7], r[1]) for r in found(spark, rows)}
+    assert [got[conv, 3] for conv in range(len(replies))] == list(replies.values())
+    assert got[99, 2] == (1, 2, 2, 0)
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
