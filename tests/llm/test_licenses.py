@@ -112,6 +112,65 @@ def test_sql_says_the_same():
     same(sorted(rows), expected)
 
 
+MIT = """MIT License
+
+Copyright (c) 2021 Some Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+GNU = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+
+
+def test_whole_texts_and_headers(spark):
+    apache, gpl, lgpl, mpl = (licenses._text(n) for n in ("Apache-2.0", "GPL-3.0", "LGPL-3.0", "MPL-2.0"))
+    bsd = "Copyright (c) 1999, Foo\nAll rights reserved.\n\n" + licenses._REDISTRIBUTION + licenses._NO_ENDORSEMENT + licenses._DISCLAIMER
+    marked = lambda mark: "\n".join(mark + x for x in GNU.split("\n"))
+    code = "int x = 1;\nreturn x;"
+    files = [
+        ("m/LICENSE", MIT), ("m/src/a.c", code), ("a/LICENSE.txt", apache + "\nCopyright 2020 Foo"), ("a/x", "x"), ("g/COPYING", gpl), ("g/d/e/f", "x"),
+        ("l/COPYING.LESSER", lgpl), ("l/x", ""), ("p/LICENSE", mpl), ("p/x", None), ("b/LICENSE", bsd), ("b/x", "x"),
+        ("n/LICENSE", "All rights reserved."), ("n/x", "x"), ("o/README", MIT.replace("\n", " ").split("Permission")[0]),
+        ("s/1.py", "#!/usr/bin/python\n" + marked("# ") + "\n\nimport os"), ("s/2.c", f"\n/*\n{GNU}\n */\n{code}"),
+        ("s/3.js", marked("// ") + f"\n{code}"), ("s/4.h", "/* Copyright (C) 2001 Foo\n *\n" + marked(" * ") + f"\n */\n{code}"),
+        ("s/5.py", "# " + "\n# ".join(MIT.split("\n")) + "\nimport os"), ("s/6.c", "// only a comment\n// of two lines\n" + code),
+    ]
+    expected = {
+        "m/LICENSE": "MIT", "m/src/a.c": "MIT", "a/LICENSE.txt": "Apache-2.0", "a/x": "Apache-2.0", "g/COPYING": "GPL-3.0",
+        "g/d/e/f": "GPL-3.0", "l/COPYING.LESSER": "LGPL-3.0", "l/x": "LGPL-3.0", "p/LICENSE": "MPL-2.0", "p/x": "MPL-2.0",
+        "b/LICENSE": "BSD-3-Clause", "b/x": "BSD-3-Clause", "n/LICENSE": "Proprietary", "n/x": "Proprietary", "o/README": None,
+        "s/1.py": "GPL-2.0", "s/2.c": "GPL-2.0", "s/3.js": "GPL-2.0", "s/4.h": "GPL-2.0", "s/5.py": "MIT", "s/6.c": None,
+    }
+    got = found(spark, files)
+    assert {r[0]: r[1] for r in got} == expected
+    assert {r[0]: r[4] for r in got if r[2] == "inherited"} == {
+        "m/src/a.c": "m", "a/x": "a", "g/d/e/f": "g", "l/x": "l", "p/x": "p", "b/x": "b", "n/x": "n",
+    }
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.001"
     rows = spark.read.parquet(f"{sf}/pages.parquet").select("url", "html").collect()
