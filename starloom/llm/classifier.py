@@ -147,14 +147,16 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
     """A model from at most ``rows`` labelled documents, the first by a hash of the key.
 
     Labels other than 0 and 1, null keys and null labels take no part; of several labels for one
-    key the largest counts. The bound holds at every size of the input: the driver gets the
-    features of that many texts, and nothing else of the corpus.
+    key the largest counts, and of several texts the one with the least hash. The bound holds at
+    every size of the input: the driver gets the features of that many texts, and nothing else of
+    the corpus.
     """
     docs = text_batches(docs, key, text)
     known = labels.select(F.col(key).alias("doc_id"), F.col(label).cast("int").alias("label"))
     known = known.where("doc_id is not null and label in (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    kept = docs.join(chosen, "doc_id").select("doc_id", "text", "label")
+    kept = docs.join(chosen, "doc_id").groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("first"))
+    kept = kept.select("doc_id", "first.text", "label")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets = _Buckets()

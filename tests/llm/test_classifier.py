@@ -47,6 +47,17 @@ def test_fit_is_repeatable_and_bounded(spark):
     assert a.score("good words", classifier._Buckets()) > 0.5 > a.score("bad!! words!!", classifier._Buckets())
 
 
+def test_repeated_ids_are_fitted_once(spark, monkeypatch):
+    rows = [(i, "good words" if i % 2 else "bad!! words!!") for i in range(20)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id bigint, quality int")
+    fitted, fit_rows = [], classifier.fit_rows
+    monkeypatch.setattr(classifier, "fit_rows", lambda data, labels: fitted.append(len(data)) or fit_rows(data, labels))
+    hot = rows + [(3, f"copy {n % 7}") for n in range(200)] + [(3, None)] * 5
+    models = [classifier.fit(docs(spark, hot, parts), labels, rows=20) for parts in (2, 5)]
+    assert fitted == [20, 20]
+    assert (models[0].weights == models[1].weights).all()
+
+
 def test_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, "a b"), (3, "a b"), (None, "x"), (5, "long " * 100_000)]
     frame = docs(spark, rows)
