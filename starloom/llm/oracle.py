@@ -164,3 +164,54 @@ SELECT p.path, coalesce(o.best, i.nearest.given).licence AS licence,
        CASE WHEN o.best IS NULL THEN i.nearest.above END AS directory
 FROM paths p LEFT JOIN own o USING (path) LEFT JOIN inherited i USING (path)
 """
+
+_SQL["op11_filter_audit"] = r"""
+WITH texts AS (
+    SELECT doc_id, coalesce(lang::VARCHAR, '') AS part, coalesce(text, '') AS text FROM documents
+), split AS (
+    SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS first
+    FROM texts
+), marks AS (
+    SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic
+    FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), failing AS (
+    SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+           len(words) < 200 AS a,
+           100 * len(list_distinct(words)) < 50 * len(words) AS b,
+           100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) AS c,
+           regexp_matches(text, '[#$%&*|]') AS d,
+           first IS NOT NULL AND (doc_id IS NULL OR doc_id > first) AS e
+    FROM split LEFT JOIN marks USING (doc_id)
+), counts AS (
+    SELECT part, (CASE WHEN a THEN 'A' ELSE '' END) || (CASE WHEN b THEN 'B' ELSE '' END) || (CASE WHEN c THEN 'C' ELSE '' END)
+                 || (CASE WHEN d THEN 'D' ELSE '' END) || (CASE WHEN e THEN 'E' ELSE '' END) AS failed,
+           count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+    FROM failing GROUP BY part, failed
+), letters(l) AS (
+    VALUES ('A'), ('B'), ('C'), ('D'), ('E')
+), orders AS (
+    SELECT a.l || b.l || c.l || d.l || e.l AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5
+), gone_at AS (
+    SELECT part, filter_order, failed, n, good, toxic,
+           list_min(list_transform(string_split(failed, ''), lambda x: instr(filter_order, x))) AS gone
+    FROM counts, orders
+), steps AS (
+    SELECT part, filter_order, step, substr(filter_order, step, 1) AS filter,
+           sum(n) FILTER (failed = '' OR gone > step) AS kept,
+           sum(n) FILTER (failed <> '' AND gone = step) AS removed,
+           sum(n) FILTER (contains(failed, filter) AND gone < step) AS redundant,
+           sum(n) FILTER (failed = filter) AS unique_fails,
+           sum(good) FILTER (failed <> '' AND gone = step) AS good_lost,
+           sum(toxic) FILTER (failed <> '' AND gone = step) AS toxic_lost
+    FROM gone_at, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+    GROUP BY part, filter_order, step
+)
+SELECT part, filter_order, step::INTEGER AS step,
+       coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+       coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       coalesce(sum(removed) OVER (PARTITION BY part, filter), 0)::BIGINT AS shapley
+FROM steps
+"""

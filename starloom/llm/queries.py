@@ -12,6 +12,7 @@ from starloom.llm import (
     byte_bpe,
     classifier,
     decontamination,
+    filter_audit,
     jaccard_join,
     licenses,
     quotation,
@@ -108,3 +109,20 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return byte_bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN, split_at_spaces=True)
+
+
+#: What a text fails by. The fifth filter, E, removes repeated texts.
+FILTERS = {
+    "A": lambda t: len(t.words) < 200,
+    "B": lambda t: 100 * len(set(t.words)) < 50 * len(t.words),
+    "C": lambda t: 100 * t.count(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ") > 3 * t.code_points(),
+    "D": lambda t: t.count(b"#$%&*|") > 0,
+}
+
+
+@_query
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in all 120 orders, per language."""
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    weights = {"good_lost": ("quality", 1), "toxic_lost": ("toxic", 1)}
+    return filter_audit.audit(docs, labels, FILTERS, "E", weights)
