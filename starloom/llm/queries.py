@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -15,6 +16,7 @@ from starloom.llm import (
     filter_audit,
     jaccard_join,
     licenses,
+    periodic_runs,
     quotation,
     suffix_dedup,
     token_counts,
@@ -126,3 +128,35 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
     weights = {"good_lost": ("quality", 1), "toxic_lost": ("toxic", 1)}
     return filter_audit.audit(docs, labels, FILTERS, "E", weights)
+
+
+def _with_periodic_tails(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """In a tenth of the documents, what follows some word repeats the passage that begins there."""
+    n = len(words)
+    seed = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if not n or seed % 10:
+        return words
+    seed //= 10
+    begin = seed % n
+    period = 1 + (n - begin) // (3 + seed % 8)
+    passage = words[begin : begin + period]
+    return words[:begin] + (passage * (-(-(n - begin) // period)))[: n - begin]
+
+
+@_query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of six words or more and of four periods or more, and the texts without repetitions."""
+    found = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), 6, 4, _with_periodic_tails)
+    longest = F.array_min(F.transform("runs", lambda r: F.struct(-r.length, r.start, r.period)))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    length = -F.col("longest.col1")
+    return found.withColumn("longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("longest.start").alias("start"),
+        length.alias("length"),
+        F.col("longest.period").alias("period"),
+        F.expr("(-1000 * longest.col1) div longest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
