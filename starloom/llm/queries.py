@@ -6,7 +6,7 @@ import zlib
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm import (
@@ -17,6 +17,8 @@ from starloom.llm import (
     jaccard_join,
     licenses,
     periodic_runs,
+    personal_data,
+    personal_data_examples,
     quotation,
     suffix_dedup,
     token_counts,
@@ -160,3 +162,20 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@_query
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digest are the patterns'; ``spans`` has those that the field adds, too."""
+    labelled = spark.createDataFrame([(line,) for line in personal_data_examples.LINES], "text string")
+    found = personal_data.personal_data(table(spark, sf_dir, "documents"), personal_data.fit(labelled))
+    base = F.filter("spans", lambda s: s.base)
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in personal_data.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
