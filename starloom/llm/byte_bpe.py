@@ -22,10 +22,16 @@ from pyspark.sql import DataFrame
 from starloom.llm.tables import text_batches
 
 WORD = 256
-#: Parts of texts that a task remembers; it starts again when there are more. Speed only.
-CACHED = 1_000_000
+#: Bytes of parts, with their ids, that a task remembers; speed only.
+REMEMBERED = 48 << 20
+#: What an entry takes beside its text and ids.
+ENTRY = 180
 #: Characters of texts that are encoded together, and bytes of pre-tokens in one queue.
-TOGETHER, QUEUED = 1 << 20, 1 << 17
+TOGETHER, QUEUED = 1 << 20, 1 << 20
+#: Bytes of pre-tokens that go side by side.
+SHORT = 64
+#: Ids that are decoded at a time.
+DECODED = 1 << 16
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -38,59 +44,154 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Merger:
     """Ids of pre-tokens, by a rank queue.
 
-    The bitmap has two levels: a bit per rank, in words, and a bit per word that isn't empty.
+    Entries lie in buckets by rank, and a bitmap of two levels, a bit per rank in words and a bit per
+    word that isn't empty, finds the smallest rank in use. A long pre-token takes one entry after the
+    other. Short ones go side by side: of the smallest word that isn't empty, each pre-token takes its
+    own smallest entry, for none of them can have one in a smaller word.
     """
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
-        self._rank = ranks.get
         size = max(ranks.values(), default=0) + 1
-        self._buckets: list[list[int]] = [[] for _ in range(size)]
+        self._buckets: list[list] = [[] for _ in range(size)]
         self._words = [0] * (size // WORD + 1)
         self._bit = [1 << i for i in range(max(WORD, len(self._words)))]
         self._packed = {token: rank.to_bytes(4, "little") for token, rank in ranks.items()}
-        self._two = np.full(1 << 16, -1)
+        #: Id of the joined part, by the left part's id and then the right one's, and the other way.
+        nothing: dict[int, int] = {}
+        self._onward = [nothing] * (size + 1)
+        self._back = [nothing] * (size + 1)
+        joins = []
         for token, rank in ranks.items():
-            if len(token) == 2:
-                self._two[int.from_bytes(token, "big")] = rank
+            for cut in range(1, len(token)):
+                left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+                if left is not None and right is not None:
+                    joins.append((left, right, rank))
+                    for table, at, other in ((self._onward, left, right), (self._back, right, left)):
+                        if table[at] is nothing:
+                            table[at] = {}
+                        table[at][other] = rank
+        self._pairs = Pairs(*np.array(joins, np.int64).reshape(-1, 3).T)
+        #: Ids of single bytes, then that of the mark between pre-tokens, which joins nothing.
+        self._mark = size
+        self._single = np.array([ranks.get(bytes([c]), size) for c in range(256)] + [size], np.int32)
+        #: Ranks of pairs of bytes; the last row and column are the mark's.
+        self._two = np.full((257, 257), -1, np.int32)
+        for token, rank in ranks.items():
+            if len(token) == 2 and ranks.get(token[:1]) is not None and ranks.get(token[1:]) is not None:
+                self._two[token[0], token[1]] = rank
 
     def merge(self, pieces: list[bytes]) -> list[bytes]:
         """Packed ids of each pre-token."""
         out = [self._packed.get(piece) for piece in pieces]
-        begin, held = [], 0
+        queues: dict[bool, list[int]] = {False: [], True: []}
+        held = dict.fromkeys(queues, 0)
         for n, ids in enumerate(out):
             if ids is None:
-                begin.append(n)
-                held += len(pieces[n])
-                if held >= QUEUED:
-                    self._merge(pieces, begin, out)
-                    begin, held = [], 0
-        self._merge(pieces, begin, out)
+                short = len(pieces[n]) <= SHORT
+                queues[short].append(n)
+                held[short] += len(pieces[n])
+                if held[short] >= QUEUED:
+                    self._run(pieces, queues[short], out, short)
+                    queues[short], held[short] = [], 0
+        for short, which in queues.items():
+            self._run(pieces, which, out, short)
         return out
 
-    def _merge(self, pieces: list[bytes], which: list[int], out: list) -> None:
-        data = b"".join([pieces[n] for n in which])
-        size = len(data)
-        if not size:
+    def _run(self, pieces: list[bytes], which: list[int], out: list, short: bool) -> None:
+        """One queue, from the bytes of some pre-tokens to their ids."""
+        if not which:
             return
-        rank_of, buckets, words, bit = self._rank, self._buckets, self._words, self._bit
         lengths = np.array([len(pieces[n]) for n in which])
-        stops = np.cumsum(lengths)
-        stop = np.repeat(stops, lengths).tolist()
-        after = list(range(1, size + 1))  # start of the next part
-        before = np.arange(-1, size - 1)
-        before[stops - lengths] = -1
-        before = before.tolist()
-        codes = np.frombuffer(data, np.uint8).astype(np.int64)
-        first = np.full(size, -1)
-        first[:-1] = self._two[codes[:-1] << 8 | codes[1:]]
-        first[stops - 1] = -1
-        pair = first.tolist()  # rank of a part and the next one, -1 for none
+        stops = np.cumsum(lengths + 1)
+        size = int(stops[-1]) + 1
+        inside = np.ones(size, bool)
+        inside[0] = inside[stops] = False
+        codes = np.full(size, 256)
+        codes[inside] = np.frombuffer(b"".join([pieces[n] for n in which]), np.uint8)
+        part = self._single[codes]  # id of the part that begins here, -1 where none does
+        pair = np.append(self._two[codes[:-1], codes[1:]], np.int32(-1))  # id of what it and the next one make
+        if short:
+            self._merge_beside(part, pair, np.repeat(np.arange(len(which) + 1, dtype=np.int32), np.append(lengths + 1, 1)))
+            ids = part
+        else:
+            ids = np.array(self._merge_long(part.tolist(), pair))
+        there = (ids >= 0) & (ids != self._mark)
+        ends = (4 * np.cumsum(there)[stops]).tolist()
+        packed = ids[there].astype("<u4").tobytes()
+        begin = 0
+        for n, end in zip(which, ends):
+            out[n] = packed[begin:end]
+            begin = end
+
+    def _merge_beside(self, part: np.ndarray, pair: np.ndarray, own: np.ndarray) -> None:
+        """A step of all pre-tokens that have an entry in the smallest word, at a time."""
+        size = len(part)
+        after = np.arange(1, size + 1, dtype=np.int32)
+        before = np.arange(-1, size - 1, dtype=np.int32)
+        buckets: list[list[np.ndarray]] = [[] for _ in self._words]
+        used = 0
+
+        def put(places: np.ndarray) -> int:
+            """Entries for the pairs at ``places``; the bits of the words that they are in."""
+            ranks = pair[places]
+            order = np.argsort(ranks, kind="stable")
+            order = order[np.searchsorted(ranks[order], 0) :]
+            if not len(order):
+                return 0
+            places, ranks = places[order], ranks[order]
+            entries = ranks.astype(np.int64) << 32 | places
+            words = ranks // WORD
+            cuts = np.flatnonzero(words[1:] != words[:-1]) + 1
+            bits, begin = 0, 0
+            for word, end in zip(words[np.append(0, cuts)].tolist(), [*cuts.tolist(), len(entries)]):
+                buckets[word].append(entries[begin:end])
+                bits |= self._bit[word]
+                begin = end
+            return bits
+
+        used = put(np.arange(size, dtype=np.int32))
+        while used:
+            word = (used & -used).bit_length() - 1
+            entries = buckets[word]
+            entries = entries[0] if len(entries) == 1 else np.concatenate(entries)
+            places = (entries & 0xFFFFFFFF).astype(np.int32)
+            fresh = pair[places] == entries >> 32  # others are stale
+            entries, places = entries[fresh], places[fresh]
+            buckets[word] = []
+            used &= ~self._bit[word]
+            if not len(entries):
+                continue
+            # By pre-token, then rank, then place: the first of each pre-token is due.
+            order = np.argsort((own[places].astype(np.int64) << 40) | ((entries >> 32) % WORD << 32) | places)
+            entries, places = entries[order], places[order]
+            mine = own[places]
+            due = np.append(True, mine[1:] != mine[:-1])
+            if not due.all():
+                buckets[word].append(entries[~due])
+                used |= self._bit[word]
+            at, ranks = places[due], (entries[due] >> 32).astype(np.int32)
+            gone = after[at]
+            end = after[gone]
+            left = before[at]
+            after[at], before[end] = end, at
+            part[at], part[gone], pair[gone] = ranks, -1, -1
+            pair[at] = self._pairs.look_up(ranks, part[end])
+            pair[left] = self._pairs.look_up(part[left], ranks)
+            used |= put(np.concatenate([at, left]))
+
+    def _merge_long(self, part: list[int], first: np.ndarray) -> list[int]:
+        buckets, words, bit, onward, back = self._buckets, self._words, self._bit, self._onward, self._back
+        size = len(part)
+        pair = first.tolist()
+        after = list(range(1, size + 1))
+        before = list(range(-1, size - 1))
         used = 0
         order = np.argsort(first, kind="stable")
         order = order[np.searchsorted(first[order], 0) :]
         ranks, heads = np.unique(first[order], return_index=True)
-        for rank, places in zip(ranks.tolist(), np.split(order, heads[1:])):
-            buckets[rank] = places.tolist()
+        places, heads = order.tolist(), heads.tolist()
+        for rank, begin, end in zip(ranks.tolist(), heads, [*heads[1:], len(places)]):
+            buckets[rank] = places[begin:end]
             words[rank // WORD] |= bit[rank % WORD]
             used |= bit[rank // WORD]
 
@@ -104,47 +205,105 @@ class Merger:
             bucket = buckets[rank]
             buckets[rank] = []
             bucket.sort()  # of equal ranks the smallest position comes first
+            joins_right, joins_left = onward[rank].get, back[rank].get
             for n, i in enumerate(bucket):
                 if pair[i] != rank:
                     continue  # stale
                 gone = after[i]
                 after[i] = end = after[gone]
-                pair[gone] = -1
-                lower = False
-                if end < stop[i]:
-                    before[end] = i
-                    pair[i] = new = rank_of(data[i : after[end]], -1)
-                    if new >= 0:
-                        if not (bucket_new := buckets[new]):
-                            words[new // WORD] |= bit[new % WORD]
-                            used |= bit[new // WORD]
-                        bucket_new.append(i)
-                        lower = new < rank
-                else:
-                    pair[i] = -1
+                before[end] = i
+                part[i], part[gone], pair[gone] = rank, -1, -1
                 left = before[i]
-                if left >= 0:
-                    pair[left] = new = rank_of(data[left:end], -1)
-                    if new >= 0:
-                        if not (bucket_new := buckets[new]):
-                            words[new // WORD] |= bit[new % WORD]
-                            used |= bit[new // WORD]
-                        bucket_new.append(left)
-                        lower = lower or new < rank
+                lower = False
+                pair[i] = new = joins_right(part[end], -1)
+                if new >= 0:
+                    if not (bucket_new := buckets[new]):
+                        words[new // WORD] |= bit[new % WORD]
+                        used |= bit[new // WORD]
+                    bucket_new.append(i)
+                    lower = new < rank
+                pair[left] = new = joins_left(part[left], -1)
+                if new >= 0:
+                    if not (bucket_new := buckets[new]):
+                        words[new // WORD] |= bit[new % WORD]
+                        used |= bit[new // WORD]
+                    bucket_new.append(left)
+                    lower = lower or new < rank
                 if lower and n + 1 < len(bucket):  # that pair is due before the rest of the bucket
-                    buckets[rank] = bucket[n + 1 :]
+                    buckets[rank] = bucket[n + 1 :] + buckets[rank]
                     words[at] |= bit[rank % WORD]
                     used |= bit[at]
                     break
 
-        packed = self._packed
-        i = 0
-        for n, end in zip(which, stops.tolist()):
-            ids = []
-            while i < end:
-                ids.append(packed[data[i : after[i]]])
-                i = after[i]
-            out[n] = b"".join(ids)
+        return part
+
+
+class Pairs:
+    """What two parts make, for arrays of ids: a table with open addresses."""
+
+    def __init__(self, left: np.ndarray, right: np.ndarray, made: np.ndarray) -> None:
+        self._mask = (1 << max(4, int(4 * len(made)).bit_length())) - 1
+        self._keys = np.full(self._mask + 1, -1)
+        self._made = np.full(self._mask + 1, -1, np.int32)
+        keys, made = left.astype(np.int64) << 32 | right, made.astype(np.int32)
+        at = self._first(keys)
+        while len(keys):
+            free = np.flatnonzero(self._keys[at] < 0)
+            spots, chosen = np.unique(at[free], return_index=True)
+            put = free[chosen]
+            self._keys[spots], self._made[spots] = keys[put], made[put]
+            left_over = np.ones(len(keys), bool)
+            left_over[put] = False
+            keys, made, at = keys[left_over], made[left_over], (at[left_over] + 1) & self._mask
+
+    def _first(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * 0x9E3779B97F4A7C1 & 0x7FFFFFFFFFFFFFFF) >> 24) & self._mask
+
+    def look_up(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ids of the joined parts, -1 where two parts make nothing."""
+        keys = left.astype(np.int64) << 32 | right
+        at = self._first(keys)
+        found = self._keys[at]
+        out = np.where(found == keys, self._made[at], np.int32(-1))
+        open_ = np.flatnonzero((found != keys) & (found >= 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & self._mask
+            found = self._keys[at[open_]]
+            hit = found == keys[open_]
+            out[open_[hit]] = self._made[at[open_[hit]]]
+            open_ = open_[~hit & (found >= 0)]
+        return out
+
+
+class Memory:
+    """Ids of texts seen before, within a bound: two generations, of which the older one goes.
+
+    What is found again moves to the younger generation, so that frequent texts stay.
+    """
+
+    def __init__(self, most: int) -> None:
+        self._most = most // 2
+        self._young: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
+        self._held = 0
+
+    def look_up(self, texts: list[str]) -> list[bytes | None]:
+        found = list(map(self._young.get, texts))
+        if self._old and None in found:
+            for n, ids in enumerate(found):
+                if ids is None and (ids := self._old.get(texts[n])) is not None:
+                    found[n] = ids
+                    self.add(texts[n], ids)
+        return found
+
+    def add(self, text: str, ids: bytes) -> None:
+        size = ENTRY + len(text) + len(ids)
+        if size > 1000:
+            return
+        self._held += size
+        if self._held > self._most:
+            self._old, self._young, self._held = self._young, {}, size
+        self._young[text] = ids
 
 
 class Encoder:
@@ -156,13 +315,20 @@ class Encoder:
     """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, split_at_spaces: bool = False) -> None:
-        self.tokens = [b""] * (max(ranks.values(), default=0) + 1)
+        tokens = [b""] * (max(ranks.values(), default=0) + 1)
         for token, rank in ranks.items():
-            self.tokens[rank] = token
+            tokens[rank] = token
+        self._bytes = np.frombuffer(b"".join(tokens), np.uint8)
+        self._lengths = np.array([len(token) for token in tokens])
+        self._begins = np.cumsum(self._lengths) - self._lengths
         self._merge = Merger(ranks).merge
         self._split = regex.compile(pattern).findall
         self._at_spaces = split_at_spaces
-        self._known: dict[str, bytes] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """Let go of what was remembered."""
+        self._known = Memory(REMEMBERED)
 
     def _parts(self, text: str) -> list[str]:
         """Parts of a text that can be encoded on their own."""
@@ -179,19 +345,39 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         parts = [self._parts(text) for text in texts]
-        known = self._known
-        if len(known) > CACHED:
-            known.clear()
-        new = list({part for own in parts for part in own if part not in known})
-        pieces = [self._split(part) for part in new]
-        distinct = list({piece for own in pieces for piece in own})
+        every = [part for own in parts for part in own]
+        found = self._known.look_up(every)
+        if None in found:
+            places = [n for n, ids in enumerate(found) if ids is None]
+            new = list({every[n]: None for n in places})
+            ids = dict(zip(new, self._encode_parts(new)))
+            for n in places:
+                found[n] = ids[every[n]]
+            for part, own in ids.items():
+                self._known.add(part, own)
+        out, at = [], 0
+        for own in parts:
+            out.append(b"".join(found[at : at + len(own)]))
+            at += len(own)
+        return out
+
+    def _encode_parts(self, parts: list[str]) -> list[bytes]:
+        pieces = list(map(self._split, parts))
+        distinct = list({piece: None for own in pieces for piece in own})
         ids = dict(zip(distinct, self._merge([piece.encode() for piece in distinct])))
-        for part, own in zip(new, pieces):
-            known[part] = b"".join([ids[piece] for piece in own])
-        return [b"".join([known[part] for part in own]) for own in parts]
+        return [ids[own[0]] if len(own) == 1 else b"".join([ids[piece] for piece in own]) for own in pieces]
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        """Each id's bytes, copied from one row of all tokens' bytes."""
+        out = []
+        every = np.frombuffer(ids, "<u4")
+        for begin in range(0, len(every), DECODED):
+            tokens = every[begin : begin + DECODED]
+            lengths = self._lengths[tokens]
+            stops = np.cumsum(lengths)
+            places = np.repeat(self._begins[tokens] - stops + lengths, lengths)
+            out.append(self._bytes[places + np.arange(len(places))].tobytes())
+        return b"".join(out)
 
 
 def _groups(texts: list[str]) -> Iterator[list[str]]:
@@ -208,6 +394,7 @@ def _groups(texts: list[str]) -> Iterator[list[str]]:
         yield group
 
 
+#: A worker's encoders, by vocabulary: tables of fixed size, as what a task remembers goes with it.
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
@@ -221,12 +408,16 @@ def _map_texts(docs: DataFrame, vocabulary: str, pattern: str, split_at_spaces:
         encoder = _ENCODERS.get(key)
         if encoder is None:
             encoder = _ENCODERS[key] = Encoder(ranks.value, pattern, split_at_spaces)
-        for batch in batches:
-            texts = [text or "" for text in batch.column("text").to_pylist()]
-            rows = [row(encoder, ids) for group in _groups(texts) for ids in encoder.encode(group)]
-            columns = [pa.array(c) for c in zip(*rows)]
-            if rows:
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", *names])
+        try:
+            for batch in batches:
+                texts = [text or "" for text in batch.column("text").to_pylist()]
+                rows = [row(encoder, ids) for group in _groups(texts) for ids in encoder.encode(group)]
+                columns = [pa.array(c) for c in zip(*rows)]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", *names])
+        finally:
+            encoder.forget()
+            pa.default_memory_pool().release_unused()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(run, f"doc_id {kind}, {schema}")

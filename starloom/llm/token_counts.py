@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame
 from starloom.llm.tables import text_batches
 
 START, INNER = 0, 1
-#: Words whose length a task remembers; it starts again when there are more. Speed only.
-CACHED = 300_000
-CACHED_CHARS = 48
+#: Words whose length a task remembers, about 20 MB; it starts again when there are more. Speed only.
+CACHED = 150_000
+CACHED_CHARS = 32
 
 
 def read_pieces(path: str, mark: str = "▁") -> tuple[list[str], list[str]]:
@@ -108,6 +108,7 @@ class _Lengths(dict):
         return found
 
 
+#: A worker's automata, by vocabulary; the words go with the task.
 _LENGTHS: dict[str, _Lengths] = {}
 
 
@@ -126,17 +127,20 @@ def token_counts(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: st
         lengths = _LENGTHS.get(vocabulary)
         if lengths is None:
             lengths = _LENGTHS[vocabulary] = _Lengths(Automaton(*pieces.value))
-        for batch in batches:
-            words, unknown, tokens = [], [], []
-            for value in batch.column("text"):
-                found = [lengths[word] for word in (value.as_py() or "").split()]
-                lost = found.count(0)
-                words.append(len(found))
-                unknown.append(lost)
-                tokens.append(sum(found) + lost)
-            counts = [pa.array(c, pa.int64()) for c in (words, unknown, tokens)]
-            names = ["doc_id", "n_words", "n_unknown", "n_tokens"]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *counts], names)
+        try:
+            for batch in batches:
+                words, unknown, tokens = [], [], []
+                for value in batch.column("text"):
+                    found = [lengths[word] for word in (value.as_py() or "").split()]
+                    lost = found.count(0)
+                    words.append(len(found))
+                    unknown.append(lost)
+                    tokens.append(sum(found) + lost)
+                counts = [pa.array(c, pa.int64()) for c in (words, unknown, tokens)]
+                names = ["doc_id", "n_words", "n_unknown", "n_tokens"]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *counts], names)
+        finally:
+            lengths.clear()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_words bigint, n_unknown bigint, n_tokens bigint"

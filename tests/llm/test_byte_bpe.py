@@ -59,8 +59,11 @@ def test_very_long_pre_tokens(both):
         assert _ids(ours, text) == theirs.encode_ordinary(text)
 
 
-def test_merges_by_rank_then_position():
+@pytest.mark.parametrize("short", [0, 12, 64])
+def test_merges_by_rank_then_position(monkeypatch, short):
     """Against picking the smallest rank, leftmost first, over random small vocabularies."""
+    monkeypatch.setattr(byte_bpe, "SHORT", short)
+    monkeypatch.setattr(byte_bpe, "WORD", 16)
     rng = random.Random(2)
     for _ in range(200):
         tokens = {bytes([c]) for c in b"abc"}
@@ -78,6 +81,42 @@ def test_merges_by_rank_then_position():
             assert ids == np.array([ranks[p] for p in parts], "<u4").tobytes()
 
 
+def test_pairs():
+    rng = np.random.default_rng(3)
+    keys = np.unique(rng.integers(0, 60, (900, 2)), axis=0)
+    pairs = byte_bpe.Pairs(keys[:, 0], keys[:, 1], np.arange(len(keys)))
+    known = {tuple(k): n for n, k in enumerate(keys.tolist())}
+    asked = rng.integers(0, 70, (5000, 2))
+    assert pairs.look_up(asked[:, 0], asked[:, 1]).tolist() == [known.get(tuple(a), -1) for a in asked.tolist()]
+    none = np.zeros(0, np.int64)
+    assert byte_bpe.Pairs(none, none, none).look_up(keys[:, 0], keys[:, 1]).max() == -1
+
+
+def test_memory_is_bounded_and_keeps_what_is_asked_for():
+    memory = byte_bpe.Memory(100_000)
+    memory.add("often", b"1234")
+    for n in range(10_000):
+        memory.add(f"word {n}", b"1234")
+        assert memory.look_up(["often"]) == [b"1234"]
+        assert len(memory._young) + len(memory._old) <= 100_000 // byte_bpe.ENTRY
+    assert memory.look_up(["word 3", "word 9999"]) == [None, b"1234"]
+    memory.add("x" * 2000, b"")
+    assert memory.look_up(["x" * 2000]) == [None]
+
+
+def test_few_things_remembered(both, monkeypatch):
+    """Ids are the same whatever is remembered and however texts are grouped."""
+    theirs = both[1]
+    monkeypatch.setattr(byte_bpe, "REMEMBERED", 3000)
+    monkeypatch.setattr(byte_bpe, "QUEUED", 50)
+    ranks = byte_bpe.read_ranks(queries.RANKS)
+    encoder = byte_bpe.Encoder(ranks, public_tokenizers.PATTERN, split_at_spaces=True)
+    rng = random.Random(7)
+    texts = [" ".join("".join(rng.choices("abdeèt", k=rng.randint(1, 90))) for _ in range(30)) for _ in range(60)]
+    for text in texts + texts:
+        assert _ids(encoder, text) == theirs.encode_ordinary(text)
+
+
 def _expected(theirs, text):
     ids = theirs.encode_ordinary(text or "")
     back = theirs.decode_bytes(ids)
