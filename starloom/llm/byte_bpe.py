@@ -12,7 +12,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Callable, Iterator
+import re
+from collections.abc import Callable, Collection, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +25,11 @@ from starloom.llm.tables import text_batches
 
 WORD = 256
 #: Bytes of parts, with their ids, that a task remembers; speed only.
-REMEMBERED = 48 << 20
+REMEMBERED = 64 << 20
 #: What an entry takes beside its text and ids.
 ENTRY = 180
 #: Characters of texts that are encoded together, and bytes of pre-tokens in one queue.
-TOGETHER, QUEUED = 1 << 20, 1 << 20
+TOGETHER, QUEUED = 1 << 21, 1 << 20
 #: Bytes of pre-tokens that go side by side.
 SHORT = 64
 #: Ids that are decoded at a time.
@@ -287,23 +289,30 @@ class Memory:
         self._old: dict[str, bytes] = {}
         self._held = 0
 
-    def look_up(self, texts: list[str]) -> list[bytes | None]:
-        found = list(map(self._young.get, texts))
-        if self._old and None in found:
-            for n, ids in enumerate(found):
-                if ids is None and (ids := self._old.get(texts[n])) is not None:
-                    found[n] = ids
-                    self.add(texts[n], ids)
+    def known(self, texts: Collection[str]) -> dict[str, bytes]:
+        """Those of some different texts that are remembered, with their ids."""
+        young, old = self._young, self._old
+        found = {text: young[text] for text in texts if text in young}
+        if old:
+            again = {text: old[text] for text in texts if text in old and text not in found}
+            self.add(again)
+            found |= again
         return found
 
-    def add(self, text: str, ids: bytes) -> None:
-        size = ENTRY + len(text) + len(ids)
-        if size > 1000:
-            return
-        self._held += size
-        if self._held > self._most:
-            self._old, self._young, self._held = self._young, {}, size
-        self._young[text] = ids
+    def add(self, ids: dict[str, bytes]) -> None:
+        for text, own in ids.items():
+            size = ENTRY + len(text) + len(own)
+            if size > 1000:
+                continue
+            self._held += size
+            if self._held > self._most:
+                self._old, self._young, self._held = self._young, {}, size
+            self._young[text] = own
+
+
+#: Texts in which some space is not a single one between two characters that are no white space.
+_DOUBTFUL = re.compile(r"^ | \s|\s | \Z")
+_AT_SPACES = re.compile(" ?[^ ]+").findall
 
 
 class Encoder:
@@ -332,40 +341,22 @@ class Encoder:
 
     def _parts(self, text: str) -> list[str]:
         """Parts of a text that can be encoded on their own."""
-        if not self._at_spaces:
-            return self._split(text)
-        first, *rest = text.split(" ")
-        for part in rest:
-            if not part or part[0].isspace() or part[-1].isspace():
-                return self._split(text)
-        if rest and (not first or first[-1].isspace()):
-            return self._split(text)
-        return [first, *[" " + part for part in rest]] if first else []
+        return self._split(text) if not self._at_spaces or _DOUBTFUL.search(text) else _AT_SPACES(text)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         parts = [self._parts(text) for text in texts]
-        every = [part for own in parts for part in own]
-        found = self._known.look_up(every)
-        if None in found:
-            places = [n for n, ids in enumerate(found) if ids is None]
-            new = list({every[n]: None for n in places})
-            ids = dict(zip(new, self._encode_parts(new)))
-            for n in places:
-                found[n] = ids[every[n]]
-            for part, own in ids.items():
-                self._known.add(part, own)
-        out, at = [], 0
-        for own in parts:
-            out.append(b"".join(found[at : at + len(own)]))
-            at += len(own)
-        return out
-
-    def _encode_parts(self, parts: list[str]) -> list[bytes]:
-        pieces = list(map(self._split, parts))
-        distinct = list({piece: None for own in pieces for piece in own})
-        ids = dict(zip(distinct, self._merge([piece.encode() for piece in distinct])))
-        return [ids[own[0]] if len(own) == 1 else b"".join([ids[piece] for piece in own]) for own in pieces]
+        distinct = dict.fromkeys(chain.from_iterable(parts))
+        ids = self._known.known(distinct)
+        new = [part for part in distinct if part not in ids]
+        if new:
+            pieces = list(map(self._split, new))
+            whole = list(dict.fromkeys(chain.from_iterable(pieces)))
+            merged = dict(zip(whole, self._merge([piece.encode() for piece in whole]))).__getitem__
+            fresh = {part: merged(own[0]) if len(own) == 1 else b"".join(map(merged, own)) for part, own in zip(new, pieces)}
+            self._known.add(fresh)
+            ids |= fresh
+        return [b"".join(map(ids.__getitem__, own)) for own in parts]
 
     def decode(self, ids: bytes) -> bytes:
         """Each id's bytes, copied from one row of all tokens' bytes."""

@@ -94,14 +94,14 @@ def test_pairs():
 
 def test_memory_is_bounded_and_keeps_what_is_asked_for():
     memory = byte_bpe.Memory(100_000)
-    memory.add("often", b"1234")
+    memory.add({"often": b"1234"})
     for n in range(10_000):
-        memory.add(f"word {n}", b"1234")
-        assert memory.look_up(["often"]) == [b"1234"]
+        memory.add({f"word {n}": b"1234"})
+        assert memory.known({"often"}) == {"often": b"1234"}
         assert len(memory._young) + len(memory._old) <= 100_000 // byte_bpe.ENTRY
-    assert memory.look_up(["word 3", "word 9999"]) == [None, b"1234"]
-    memory.add("x" * 2000, b"")
-    assert memory.look_up(["x" * 2000]) == [None]
+    assert memory.known({"word 3", "word 9999"}) == {"word 9999": b"1234"}
+    memory.add({"x" * 2000: b""})
+    assert memory.known({"x" * 2000}) == {}
 
 
 def test_few_things_remembered(both, monkeypatch):
