@@ -89,7 +89,7 @@ def _sign(n: int, percent: int, carry: list[str], with_text: bool):
     def run(row: dict, replies: dict[int, bytes]) -> Iterator[pa.RecordBatch]:
         shard = S.Shard.read(row)
         sets, keys, own = _shard_sets(shard, n)
-        counts = S.counts_of(replies) if replies else np.zeros(0, np.uint8)
+        counts = S.counts_of(replies) if replies else np.zeros(0, np.int64)
         shared = (counts >= 2) | (own >= 2)
         # A rarer n-gram comes first; the order is the same for all documents of all shards.
         level = np.floor(np.log2(np.maximum(counts, 1))).astype(np.uint64) if len(counts) else counts

@@ -28,8 +28,8 @@ from starloom.llm.tables import stored
 SHARD_BYTES, SHARD_DOCS = 2 << 20, 1 << 16
 #: Text per bucket of keys.
 BUCKET_BYTES = 8 << 20
-#: Counts end here: this many shards, or more.
-MOST = 255
+#: Counts up to here are exact; larger ones go in steps of an eighth of a power of two.
+EXACT = 128
 #: Stands for a null key, after all others.
 NULL_ID = np.iinfo(np.int64).max
 
@@ -239,18 +239,32 @@ def _send_keys(keys_of: Callable[[Shard], np.ndarray], buckets: int) -> Callable
     return make
 
 
+def coded(counts: np.ndarray) -> np.ndarray:
+    """Counts as one byte each, never too high."""
+    more = EXACT + np.floor(8 * np.log2(np.maximum(counts, EXACT) / EXACT))
+    return np.where(counts < EXACT, counts, np.minimum(more, 255)).astype(np.uint8)
+
+
+def _decoded() -> np.ndarray:
+    codes = np.arange(256)
+    return np.where(codes < EXACT, codes, np.ceil(EXACT * 2.0 ** ((codes - EXACT) / 8))).astype(np.int64)
+
+
+_COUNTS = _decoded()
+
+
 def _count_keys(sent: list[bytes]) -> list[bytes]:
     raw = np.frombuffer(b"".join(sent), np.uint8).reshape(-1, 5)
     keys = np.zeros((len(raw), 8), np.uint8)
     keys[:, :5] = raw
     _, place, counts = np.unique(keys.view("<u8").ravel(), return_inverse=True, return_counts=True)
-    counts = np.minimum(counts, MOST).astype(np.uint8)[place]
+    counts = coded(counts)[place]
     ends = np.cumsum([len(data) // 5 for data in sent])
     return [squeeze(part.tobytes()) for part in np.split(counts, ends[:-1])]
 
 
 def common(shards: DataFrame, keys_of: Callable[[Shard], np.ndarray], buckets: int) -> DataFrame:
-    """Replies with the number of shards that have each key of a shard, ``MOST`` at most.
+    """Replies with the number of shards that have each key of a shard, as ``coded``.
 
     ``keys_of`` gives a shard's distinct keys, well-spread 64-bit hashes in ascending order. Keys
     are compared by their bucket and their lower 40 bits, so a count may, rarely, be too high; it
@@ -260,5 +274,5 @@ def common(shards: DataFrame, keys_of: Callable[[Shard], np.ndarray], buckets: i
 
 
 def counts_of(replies: dict[int, bytes]) -> np.ndarray:
-    """One shard's counts, in the order of its keys."""
-    return np.frombuffer(b"".join(expand(replies[b]) for b in sorted(replies)), np.uint8)
+    """One shard's counts, in the order of its keys; large ones are the lower end of their step."""
+    return _COUNTS[np.frombuffer(b"".join(expand(replies[b]) for b in sorted(replies)), np.uint8)]

@@ -17,8 +17,11 @@ anchors agree. That tells which parts of the texts can be repeated at all and wh
    are merged by binary search.
 4. The bucket answers with one bit per string, and each shard cuts its own texts.
 
-An anchor that very many shards have would make a large group of fragments. Its strings go out
-one by one instead, to a bucket by their own hash, so they spread like any others.
+An anchor that many shards have would make a large group of fragments. Its runs are cut in two: a
+string holds its anchor and, on one side at least, 17 bytes more, which are the same in equal
+strings; the 33 bytes take the anchor's place. An anchor that very many shards have may make
+large groups even so. Its strings go out one by one, to a bucket by their own hash, so they spread
+like any others.
 """
 
 from __future__ import annotations
@@ -45,8 +48,10 @@ PLACE = np.uint64((1 << 24) - 1)
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)]
 #: Bytes of fragments in one suffix array, few enough for the processor's caches.
 ARRAY_BYTES = 1 << 16
-#: From so many shards on, an anchor's strings go out one by one.
-SPREAD = S.MOST
+#: From so many shards on, an anchor's strings go out by their contexts, and one by one.
+WIDENED, SPREAD = 256, 1 << 14
+#: Bytes beside the anchor in a context: one side of every string has as many.
+BESIDE = (SPAN - 1) // 2
 
 
 def _words(data: np.ndarray, count: int) -> np.ndarray:
@@ -56,14 +61,18 @@ def _words(data: np.ndarray, count: int) -> np.ndarray:
 
 @dataclass
 class Runs:
-    """Strings that follow each other and share an anchor: where they start, how many, its hash."""
+    """Strings that follow each other and share an anchor: where they start, how many, its hash.
+
+    ``anchor`` is where it is.
+    """
 
     start: np.ndarray
     count: np.ndarray
     key: np.ndarray
+    anchor: np.ndarray
 
     def take(self, at: np.ndarray) -> Runs:
-        return Runs(self.start[at], self.count[at], self.key[at])
+        return Runs(self.start[at], self.count[at], self.key[at], self.anchor[at])
 
 
 def _sliding_least(x: np.ndarray) -> np.ndarray:
@@ -103,9 +112,10 @@ def anchor_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Runs:
         count = np.diff(first, append=n)
         at = valid[first]
         # Anchors are small hashes; mixed once more, they are dealt evenly to buckets.
-        found.append((first[at] + begin, count[at], S.mix(grams[anchor[first[at]]])))
+        where = anchor[first[at]]
+        found.append((first[at] + begin, count[at], S.mix(grams[where]), where + begin))
     if not found:
-        return Runs(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
+        return Runs(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
     return Runs(*(np.concatenate(part) for part in zip(*found)))
 
 
@@ -155,8 +165,14 @@ class _Fragments:
         runs = anchor_runs(data, shard.starts, shard.ends)
         keys, place, own = np.unique(runs.key, return_inverse=True, return_counts=True)
         shared = ((counts >= 2) | (own >= 2))[place]
-        spread = (counts >= SPREAD)[place] & shared
-        self.runs = _joined(runs.take(np.flatnonzero(shared & ~spread)), _singles(data, runs.take(np.flatnonzero(spread))))
+        shards = counts[place]
+        narrow, spread = shared & (shards < WIDENED), shared & (shards >= SPREAD)
+        wide = shared & ~narrow & ~spread
+        self.runs = _joined(
+            runs.take(np.flatnonzero(narrow)),
+            _contexts(data, runs.take(np.flatnonzero(wide))),
+            _singles(data, runs.take(np.flatnonzero(spread))),
+        )
         length = self.runs.count + WINDOW - 1
         rows = _fragments(data, self.runs.start, length)
         content = _content(rows, length)
@@ -224,8 +240,27 @@ def _least(sent: list[bytes]) -> list[bytes]:
     return [S.squeeze(part.tobytes()) for part in np.split(first, np.cumsum([len(p[0]) for p in parts])[:-1])]
 
 
-def _joined(a: Runs, b: Runs) -> Runs:
-    return Runs(*(np.concatenate([x, y]) for x, y in zip((a.start, a.count, a.key), (b.start, b.count, b.key))))
+def _joined(*parts: Runs) -> Runs:
+    return Runs(*(np.concatenate(x) for x in zip(*((r.start, r.count, r.key, r.anchor) for r in parts))))
+
+
+def _contexts(data: np.ndarray, runs: Runs) -> Runs:
+    """Runs cut in two, where strings no longer hold ``BESIDE`` bytes in front of their anchor.
+
+    The key of each part is a hash of the anchor with the bytes beside it that all its strings hold.
+    """
+    cut = np.clip(runs.anchor - BESIDE, runs.start, runs.start + runs.count)
+    start, anchor = np.concatenate([runs.start, cut]), np.concatenate([runs.anchor, runs.anchor])
+    count = np.concatenate([cut - runs.start, runs.start + runs.count - cut])
+    before = np.arange(len(start)) < len(runs.start)
+    at = np.flatnonzero(count)
+    start, anchor, count, before = start[at], anchor[at], count[at], before[at]
+    context, keys = anchor - BESIDE * before, [np.zeros(0, np.uint64)]
+    for begin in range(0, len(start), 1 << 16):
+        part = context[begin : begin + (1 << 16)]
+        length = np.full(len(part), BESIDE + GRAM)
+        keys.append(_content(_fragments(data, part, length), length, _MIX[2]))
+    return Runs(start, count, S.mix(np.concatenate(keys) + before.astype(np.uint64)), anchor)
 
 
 def _singles(data: np.ndarray, runs: Runs) -> Runs:
@@ -238,7 +273,7 @@ def _singles(data: np.ndarray, runs: Runs) -> Runs:
         part = start[begin : begin + (1 << 16)]
         length = np.full(len(part), WINDOW)
         keys.append(_content(_fragments(data, part, length), length, _MIX[2]))
-    return Runs(start, count, np.concatenate(keys))
+    return Runs(start, count, np.concatenate(keys), np.repeat(runs.anchor, runs.count))
 
 
 # Suffix arrays -------------------------------------------------------------------------------

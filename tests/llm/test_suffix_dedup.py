@@ -59,18 +59,45 @@ def test_against_every_string(spark, monkeypatch, seed):
 
 
 def test_split_arrays_and_spread_anchors(spark):
-    """Small limits, in the tasks too, so that arrays are merged and anchors are spread."""
+    """Small limits, so that arrays are merged and anchors are widened or spread."""
     rows = passages(3)
     lists = []
     for i, t in rows:
         data = t.encode()
         lists.append((i, data))
-    for spread, size in ((3, 1 << 20), (255, 400), (2, 300)):
-        suffix_dedup.SPREAD, suffix_dedup.ARRAY_BYTES = spread, size
+    before = suffix_dedup.WIDENED, suffix_dedup.SPREAD, suffix_dedup.ARRAY_BYTES
+    for *limits, size in ((1, 3, 1 << 20), (255, 255, 400), (2, 2, 300), (1, 255, 1 << 20), (2, 4, 300), (2, 255, 250)):
+        suffix_dedup.WIDENED, suffix_dedup.SPREAD, suffix_dedup.ARRAY_BYTES = *limits, size
         try:
             assert _in_memory(lists, 8) == brute(rows)
         finally:
-            suffix_dedup.SPREAD, suffix_dedup.ARRAY_BYTES = shards.MOST, 1 << 16
+            suffix_dedup.WIDENED, suffix_dedup.SPREAD, suffix_dedup.ARRAY_BYTES = before
+
+
+def test_widened_anchors_send_each_string_once_and_meet_by_context():
+    """Fragments of one anchor in many contexts: as many groups as there are contexts."""
+    rng = random.Random(8)
+    for _ in range(60):  # until the phrase is an anchor
+        phrase = rng.randbytes(20)
+        data = b"".join(rng.randbytes(60) + phrase + rng.randbytes(60) for _ in range(200))
+        padded = suffix_dedup._padded(data)
+        runs = suffix_dedup.anchor_runs(padded, np.array([0]), np.array([len(data)]))
+        if np.unique(runs.key, return_counts=True)[1].max() >= 150:
+            break
+    cut = suffix_dedup._contexts(padded, runs)
+    covered = np.sort(np.concatenate([np.arange(s, s + n) for s, n in zip(cut.start, cut.count)]))
+    assert np.array_equal(covered, np.arange(len(data) - suffix_dedup.WINDOW + 1))
+    assert np.unique(runs.key, return_counts=True)[1].max() >= 150
+    assert np.unique(cut.key, return_counts=True)[1].max() <= 2
+
+
+def test_counts_as_bytes():
+    counts = np.arange(1, 100_000)
+    codes = shards.coded(counts)
+    back = shards._COUNTS[codes]
+    assert (np.diff(codes.astype(int)) >= 0).all() and (back <= counts).all() and (back > counts * 0.9).all()
+    assert np.array_equal(back[:128], counts[:128])
+    assert shards.coded(np.array([10**9])) == 255
 
 
 def _in_memory(lists, per_shard):
@@ -86,7 +113,7 @@ def _in_memory(lists, per_shard):
     keys = [suffix_dedup._keys(s) for s in made]
     unique, times = np.unique(np.concatenate(keys), return_counts=True)
     fragments = [
-        suffix_dedup._Fragments(s, np.minimum(times[np.searchsorted(unique, k)], 255)) for s, k in zip(made, keys)
+        suffix_dedup._Fragments(s, times[np.searchsorted(unique, k)]) for s, k in zip(made, keys)
     ]
 
     def exchange(sent, answer):
@@ -117,6 +144,7 @@ def _in_memory(lists, per_shard):
 
 def _spread_strings(monkeypatch, strings):
     """Strings as two documents each, every anchor spread; the fragments of one shard of them all."""
+    monkeypatch.setattr(suffix_dedup, "WIDENED", 2)
     monkeypatch.setattr(suffix_dedup, "SPREAD", 2)
     data = b"".join(s for s in strings for _ in (0, 1))
     ends = np.arange(1, 2 * len(strings) + 1) * WIDTH
@@ -138,11 +166,12 @@ def test_spread_strings_with_equal_low_bits_stay_apart(monkeypatch):
     count = 300_000
     data = rng.randbytes(WIDTH * count)
     starts, one = np.arange(count) * WIDTH, np.ones(count, np.int64)
-    runs = suffix_dedup.Runs(starts, one, np.zeros(count, np.uint64))
+    runs = suffix_dedup.Runs(starts, one, np.zeros(count, np.uint64), starts)
     low = suffix_dedup._singles(suffix_dedup._padded(data), runs).key.astype(np.uint32)
     order = np.argsort(low, kind="stable")
     same = np.flatnonzero(low[order][1:] == low[order][:-1])
     assert len(same)
+    monkeypatch.setattr(suffix_dedup, "WIDENED", 2)
     monkeypatch.setattr(suffix_dedup, "SPREAD", 2)
     for n in same.tolist():
         a, b = (data[starts[i] : starts[i] + WIDTH] for i in order[n : n + 2].tolist())
