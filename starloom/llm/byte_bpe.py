@@ -21,7 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from starloom.llm.tables import text_batches
+from starloom.llm.tables import give_back, text_batches
 
 WORD = 256
 #: Bytes of parts, with their ids, that a task remembers; speed only.
@@ -408,7 +408,7 @@ def _map_texts(docs: DataFrame, vocabulary: str, pattern: str, split_at_spaces:
                     yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", *names])
         finally:
             encoder.forget()
-            pa.default_memory_pool().release_unused()
+            give_back()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(run, f"doc_id {kind}, {schema}")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.tables import text_batches
+from starloom.llm.tables import give_back, text_batches
 
 #: Columns for hashed words; the columns of the measures come behind them.
 WORDS = 1 << 15
@@ -46,7 +46,7 @@ class _Buckets(dict):
     def __missing__(self, word: str) -> int:
         bucket = zlib.crc32(word.encode()) % WORDS
         if len(word) <= 32:
-            if len(self) >= 300_000:
+            if len(self) >= 150_000:
                 self.clear()
             self[word] = bucket
         return bucket
@@ -192,6 +192,8 @@ def _scores(docs: DataFrame, model: Model, schema: str, give: Callable) -> DataF
         for batch in batches:
             scores = [shared.value.score(t.as_py() or "", buckets) for t in batch.column("text")]
             yield give(batch, np.array(scores))
+        del buckets
+        give_back()
 
     return docs.mapInArrow(run, schema)
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm import shards as S
 from starloom.llm.components import components
-from starloom.llm.tables import stored
+from starloom.llm.tables import give_back, stored
 from starloom.operators.join import lookup
 
 #: Sets of a block that one tile may hold, and of a part of a larger block. A large set counts as
@@ -243,6 +243,7 @@ def _linked(tiles: DataFrame, n: int, percent: int) -> DataFrame:
         pairs = links(sets, table.column("side").to_numpy(), percent)
         nodes = table.column("node")
         columns = [pa.array([nodes[p[k]].as_py() for p in pairs], pa.binary()) for k in (0, 1)]
+        give_back()
         return pa.table(columns, names=["a", "b"])
 
     return tiles.groupBy("tile").applyInArrow(run, "a binary, b binary")

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.tables import stored
+from starloom.llm.tables import give_back, stored
 
 #: Text of a shard; a longer document is a shard of its own. Documents of a shard, at most.
 SHARD_BYTES, SHARD_DOCS = 2 << 20, 1 << 16
@@ -138,6 +138,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", carry: list[s
                 others.append(rest.slice(begin))
         if texts:
             yield row()
+        give_back()
 
     return stored(docs.mapInArrow(run, SCHEMA), "shards")
 
@@ -175,6 +176,7 @@ def messages(shards: DataFrame, make: Callable[[dict], Iterator[tuple[int, bytes
             for row in batch.to_pylist():
                 found = list(make(row))
                 yield _message(row["shard"], [b for b, _ in found], [d for _, d in found])
+        give_back()
 
     return shards.mapInArrow(run, MESSAGE)
 
@@ -185,6 +187,7 @@ def answers(sent: DataFrame, answer: Callable[[list[bytes]], list[bytes]]) -> Da
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("shard")
         replies = answer([d.as_py() for d in table.column("data")])
+        give_back()
         return pa.table([table.column("shard"), table.column("bucket"), pa.array(replies, pa.binary())], ["shard", "bucket", "data"])
 
     return sent.groupBy("bucket").applyInArrow(run, MESSAGE)
@@ -196,6 +199,7 @@ def with_answers(shards: DataFrame, replies: DataFrame, work: Callable[[dict, di
     def run(rows: pa.Table, found: pa.Table) -> pa.Table:
         by_bucket = dict(zip(found.column("bucket").to_pylist(), found.column("data").to_pylist()))
         parts = [part for row in rows.to_pylist() for part in work(row, by_bucket)]
+        give_back()
         return pa.Table.from_batches(parts) if parts else empty
 
     empty = _empty(shards, schema)

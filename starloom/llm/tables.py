@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import shutil
 import tempfile
 import uuid
 from functools import cache
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -50,6 +52,14 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Return a worker's free memory to the system: workers outlive their tasks, and would keep it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def text_batches(df: DataFrame, key: str, text: str) -> DataFrame:
     """Only the key and the text, under fixed names, whatever else ``df`` holds."""
     return df.select(df[key].alias("doc_id"), df[text].cast("string").alias("text"))

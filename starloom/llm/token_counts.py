@@ -13,7 +13,7 @@ from collections.abc import Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from starloom.llm.tables import text_batches
+from starloom.llm.tables import give_back, text_batches
 
 START, INNER = 0, 1
 #: Words whose length a task remembers, about 20 MB; it starts again when there are more. Speed only.
@@ -141,6 +141,7 @@ def token_counts(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: st
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *counts], names)
         finally:
             lengths.clear()
+            give_back()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_words bigint, n_unknown bigint, n_tokens bigint"
