@@ -429,7 +429,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id",
 
 
 def decode(encoded: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
-    """``doc_id, text``: the bytes that packed ids stand for."""
+    """``doc_id, text``: the bytes that packed ids stand for; null and empty ids make no bytes."""
     ranks = encoded.sparkSession.sparkContext.broadcast(read_ranks(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -211,7 +211,10 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
 
 
 def keep(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose ``text`` scores 0.5 or more."""
+    """The rows of ``docs``, with all their columns, whose ``text`` scores 0.5 or more.
+
+    Null texts are scored as empty ones are.
+    """
 
     def give(batch: pa.RecordBatch, scores: np.ndarray) -> pa.RecordBatch:
         return batch.filter(pa.array(scores >= 0.5))

@@ -9,6 +9,7 @@ bit-parallel algorithm finds the edit distance of the whole item to the best pla
 from __future__ import annotations
 
 import re
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -22,7 +23,7 @@ from starloom.llm.tables import text_batches
 #: Edits that an item may have, per hundred characters of it.
 PERCENT = 8
 #: Characters of items that one pass over the documents searches for. More items make more passes.
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 2_000_000
 
 _SPACE = re.compile(r"\s+")
 
@@ -124,6 +125,8 @@ class Finder:
 def _finders(benchmark: DataFrame, percent: int, key: str, text: str) -> list:
     """Broadcast finders' items, in blocks of a bounded size; one pass for each."""
     spark = benchmark.sparkSession
+    if benchmark.schema[key].dataType.simpleString() not in ("bigint", "int", "smallint", "tinyint"):
+        raise TypeError("ids of items are whole numbers")
     items = benchmark.select(F.col(key).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
     items = items.where("text is not null and text <> ''").distinct()
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -132,10 +135,22 @@ def _finders(benchmark: DataFrame, percent: int, key: str, text: str) -> list:
     out = []
     for block in range(blocks):
         rows = dealt.where(F.col("block") == block).orderBy("id", "text").collect()
-        out.append(spark.sparkContext.broadcast([(r.id, r.text) for r in rows]))
+        out.append((uuid.uuid4().hex, spark.sparkContext.broadcast([(r.id, r.text) for r in rows])))
     return out
 
 
+#: A worker's finder for the block that it searched last.
+_FINDER: dict[str, Finder] = {}
+
+
+def _finder(block: tuple, percent: int) -> Finder:
+    name, items = block
+    if name not in _FINDER:
+        _FINDER.clear()
+        _FINDER[name] = Finder(items.value, percent)
+    return _FINDER[name]
+
+
 def leaks(
     docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str = "text",
     item_key: str = "item_id", item_text: str = "text",
@@ -148,8 +163,9 @@ def leaks(
     no part; an item shorter than 100 / ``percent`` must occur as it is. A null or empty document
     holds nothing. A row comes out per row, repeated or not, and other columns change nothing.
 
-    The benchmark goes out in blocks of at most about ``BLOCK_CHARS`` characters, each with a pass
-    of its own over the documents. Documents are not shuffled.
+    The benchmark, which is taken to be small beside the documents, goes out in blocks of at most
+    about ``BLOCK_CHARS`` characters, each with a pass of its own over the documents. Documents are
+    not shuffled. A worker keeps the automaton of one block.
     """
     docs = text_batches(docs, key, text)
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -157,7 +173,7 @@ def leaks(
     for items in _finders(benchmark, percent, item_key, item_text):
 
         def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
-            finder = Finder(items.value, percent)
+            finder = _finder(items, percent)
             for batch in batches:
                 rows, hits = [], []
                 for n, value in enumerate(batch.column("text")):
@@ -174,11 +190,14 @@ def leaks(
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose ``text`` holds no item of ``benchmark``."""
+    """The rows of ``docs``, with all their columns, whose ``text`` holds no item of ``benchmark``.
+
+    Null and empty texts hold none.
+    """
     for items in _finders(benchmark, percent, "item_id", "text"):
 
         def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
-            finder = Finder(items.value, percent)
+            finder = _finder(items, percent)
             for batch in batches:
                 yield batch.filter(pa.array([not finder.find(t.as_py() or "") for t in batch.column("text")], pa.bool_()))
 

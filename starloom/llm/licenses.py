@@ -159,8 +159,20 @@ def words_of(text: Column) -> Column:
 
 
 def html_lines(html: Column) -> Column:
-    """Tags end lines."""
-    return F.regexp_replace(html, "<[^>]*>", "\n")
+    """Tags end lines: what stands between a ``<`` and the next ``>`` becomes a line break.
+
+    Text is cut at each ``>``, in time linear in its length, however many ``<`` are never closed.
+    """
+    rest = F.substring_index(html, ">", -1)
+    closed = F.substr(html, F.lit(1), F.length(html) - F.length(rest))
+
+    def shown(part: Column) -> Column:
+        tag = F.concat(F.substring_index(part, "<", 1), F.lit("\n"))
+        return F.when(F.contains(part, F.lit("<")), tag).otherwise(F.concat(part, F.lit(">")))
+
+    # What follows the last > is an empty part, which has been given a > of its own.
+    text = F.array_join(F.transform(F.split(closed, ">"), shown), "")
+    return F.concat(F.regexp_replace(text, ">\\z", ""), rest)
 
 
 def url_path(url: Column) -> Column:
@@ -178,7 +190,7 @@ def _header(text: Column) -> Column:
     lines = F.split(F.regexp_replace(text, "^\\s*\\n", ""), "\\n")
     marked = F.transform(lines, lambda line: line.rlike(COMMENT) | line.rlike("^[ \\t\\r]*$"))
     count = F.coalesce(F.nullif(F.array_position(marked, False), F.lit(0)) - 1, F.size(lines)).cast("int")
-    leading = F.regexp_replace(F.array_join(F.slice(lines, F.lit(1), count), "\n"), "\\s+$", "")
+    leading = F.rtrim(F.array_join(F.slice(lines, F.lit(1), count), "\n"), F.lit(" \t\n\x0b\f\r"))
     header = F.when(block != "", block).otherwise(leading)
     paragraphs = F.split(header, "\\n[^A-Za-z0-9\\n]*(?=\\n)")
     return F.when(F.regexp_replace(text, "^\\s*\\n", "").rlike(COMMENT), F.concat(F.array(header), paragraphs))

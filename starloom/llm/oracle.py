@@ -34,18 +34,18 @@ SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') A
 
 _SQL["op2_exact_topk"] = """
 WITH fine AS (
-    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
     FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
       AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+    SELECT q.row, q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
     FROM fine q JOIN fine c ON q.vec_id <> c.vec_id
     WHERE q.vec_id % 50 = 0
 )
 SELECT query_id, (row_number() OVER best)::INTEGER AS rank, vec_id, score
 FROM scored
-WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+WINDOW best AS (PARTITION BY row ORDER BY score DESC, vec_id)
 QUALIFY row_number() OVER best <= 5
 """
 

@@ -126,7 +126,7 @@ def reply_ordered(conversations: DataFrame) -> DataFrame:
     lines = _lines(quoting)
     passages = lines.where("level > 0").groupBy("message", "passage", "level").agg(_in_order().alias("passage_text"))
     own = lines.groupBy("message").agg(_in_order(F.col("level") == 0).alias("own"))
-    quoting = quoting.join(own, "message").withColumn("text", F.regexp_replace("own", "^\\n+|\\n+$", "")).drop("own")
+    quoting = quoting.join(own, "message").withColumn("text", F.trim("own", F.lit("\n"))).drop("own")
 
     known = F.col("conv_id").isNotNull() & F.col("turn").isNotNull()
     asked = quoting.where(known).select("conv_id").distinct()

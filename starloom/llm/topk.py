@@ -17,13 +17,24 @@ from pyspark.sql import functions as F
 
 #: Candidates of a block, queries of a group, and queries scored at once.
 BLOCK, GROUP, BATCH = 8192, 2048, 64
+#: Components may be so large; with up to 32,768 of them scores fit into 64 bits.
+MOST = 1 << 23
 
 
 def quantised(vector: str, scale: int = 256) -> Column:
-    """floor(scale * x) of every component; null unless all components are finite."""
+    """floor(scale * x) of every component; null unless all components are finite.
+
+    One beyond ``MOST`` fails the query, as scores would not fit into 64 bits.
+    """
     column = F.col(vector)
     fine = F.forall(column, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x) < float("inf")))
-    whole = F.transform(column, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
+    message = F.lit(f"a component beyond {MOST / scale:g}")
+
+    def floored(x: Column) -> Column:
+        scaled = F.lit(float(scale)) * x.cast("double")
+        return F.when(F.abs(scaled) > MOST, F.raise_error(message).cast("bigint")).otherwise(F.floor(scaled))
+
+    whole = F.transform(column, floored)
     return F.when(fine, whole)
 
 
@@ -78,8 +89,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, key: str = "vec_id", vec
     Scores are inner products of the quantised vectors in 64-bit integers; equal scores go by the
     smaller id. Rows with the query's own id are no candidates for it. Rows with a null id, and
     vectors that are null or hold a null or a non-finite component, take no part; missing
-    components of shorter vectors count as zero. A repeated row (same id, same vector) counts
-    once; rows that share an id but not the vector are queries and candidates of their own.
+    components of shorter vectors count as zero. Repeated rows are queries and candidates each:
+    copies of a candidate take a rank each, copies of a query have the same result each.
 
     Blocks of candidates meet groups of queries in a grid, both dealt out by hash and sized by a
     count, so neither side has to fit into one task: a row goes out once per group of the other
@@ -90,7 +101,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, key: str = "vec_id", vec
         raise TypeError("ids are whole numbers")
     rows = vectors.select(F.col(key).cast("bigint").alias("id"), quantised(vector, scale).alias("v"), is_query.alias("asked"))
     rows = rows.where("id is not null and v is not null")
-    rows = rows.groupBy("id", "v").agg(F.max(F.coalesce("asked", F.lit(False))).alias("asked"))
+    # Copies are one row with their number, so that a frequent row is scored once.
+    asked = F.count_if(F.coalesce("asked", F.lit(False)))
+    rows = rows.groupBy("id", "v").agg(F.count("*").alias("copies"), asked.alias("times")).withColumn("asked", F.col("times") > 0)
     rows = rows.withColumn("place", F.xxhash64("id", "v"))
     count = rows.agg(F.count("*"), F.count_if("asked"), F.max(F.size("v"))).first()
     blocks, groups, width = -(-count[0] // BLOCK) or 1, -(-count[1] // GROUP) or 1, max(count[2] or 0, 1)
@@ -100,23 +113,27 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, key: str = "vec_id", vec
     def every(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    candidates = rows.select("id", "v", block.alias("block"), every(groups).alias("group"))
-    queries = rows.where("asked").select("id", "v", F.col("place"), group.alias("group"), every(blocks).alias("block"))
+    candidates = rows.select("id", "v", "copies", block.alias("block"), every(groups).alias("group"))
+    queries = rows.where("asked").select("id", "v", "place", "times", group.alias("group"), every(blocks).alias("block"))
 
     def cell(asked: pa.Table, table: pa.Table) -> pa.Table:
-        found: dict[str, list] = {name: [] for name in ("query_id", "place", "vec_id", "score")}
+        found: dict[str, list] = {name: [] for name in ("query_id", "place", "times", "vec_id", "copies", "score")}
         if asked.num_rows and table.num_rows:
             query_ids, ids = (t.column("id").to_numpy() for t in (asked, table))
-            places = asked.column("place").to_numpy()
+            places, times, copies = (t.column(c).to_numpy() for t, c in ((asked, "place"), (asked, "times"), (table, "copies")))
             for q, at, scores in best(_matrix(asked.column("v"), width), query_ids, _matrix(table.column("v"), width), ids, k):
                 found["query_id"].append(np.full(len(at), query_ids[q]))
                 found["place"].append(np.full(len(at), places[q]))
+                found["times"].append(np.full(len(at), times[q]))
                 found["vec_id"].append(ids[at])
+                found["copies"].append(np.minimum(copies[at], k))
                 found["score"].append(scores)
         return pa.table({n: pa.array(np.concatenate(c) if c else [], pa.int64()) for n, c in found.items()})
 
     cells = queries.groupBy("block", "group").cogroup(candidates.groupBy("block", "group"))
-    found = cells.applyInArrow(cell, "query_id bigint, place bigint, vec_id bigint, score bigint")
+    found = cells.applyInArrow(cell, "query_id bigint, place bigint, times bigint, vec_id bigint, copies bigint, score bigint")
+    found = found.withColumn("copy", F.explode(F.expr("sequence(1L, copies)")))
     order = Window.partitionBy("query_id", "place").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    ranked = ranked.withColumn("time", F.explode(F.expr("sequence(1L, times)")))
     return ranked.select("query_id", "rank", "vec_id", "score")

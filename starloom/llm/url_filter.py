@@ -68,6 +68,8 @@ def _rules(rules: DataFrame) -> DataFrame:
 def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow") -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule`` and ``verdict`` (columns of these names go).
 
+    All other columns stay, whatever their names.
+
     ``rules`` has ``verdict, host, path``. A rule fits its host and all subdomains where the path
     starts with the rule's. Of several that fit, the one with the longest host counts, then the
     one with the longest path. Without one, ``rule`` is null and the verdict ``default``. A null
@@ -79,9 +81,11 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
     suffix are dealt to as many sweeps as it needs, each with that suffix's rules. The verdicts
     return by a join that Spark can split where one URL is frequent.
     """
-    pages = pages.drop("host", "path", "rule", "verdict")
-    pages = pages.withColumns({"host": host(pages[url]), "path": path(pages[url])})
-    pages = pages.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in ("host", "path")})
+    parts = {"host": host(pages[url]), "path": path(pages[url])}
+    names = {f"_column_{n}": c for n, c in enumerate(pages.columns) if c.lower() not in (*parts, "rule", "verdict")}
+    pages = pages.select(
+        *(pages[f"`{c}`"].alias(n) for n, c in names.items()), *(F.coalesce(c, F.lit("")).alias(n) for n, c in parts.items())
+    )
     rules = _rules(rules)
 
     pairs = pages.select("host", "path").where("host <> ''").distinct()
@@ -133,4 +137,4 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
     judged = lookup(pages.withColumn("place", F.struct("host", "path")), best, "place", right_grouped=True)
     return judged.withColumns(
         {"rule": F.col("top.rule"), "verdict": F.coalesce("top.verdict", F.lit(default))}
-    ).drop("place", "top")
+    ).drop("place", "top").withColumnsRenamed(names)

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from helpers import by_id, docs
 
 from starloom.llm import decontamination as D
@@ -95,3 +96,19 @@ def test_query(spark):
     near = [r for r in near if len(r[1]) < 700]
     ids = {i for i, _ in near}
     assert [r[:3] for r in brute(near, items, D.PERCENT)] == [r for r in got if r[0] in ids]
+
+
+def test_items_need_whole_numbers_as_ids(spark):
+    bench = spark.createDataFrame([("a1", "some item")], "item_id string, text string")
+    with pytest.raises(TypeError, match="whole numbers"):
+        D.clean(docs(spark, [(1, "x")]), bench)
+
+
+def test_several_blocks_give_what_one_gives(spark, monkeypatch):
+    items = [(i, f"item number {i} of a long and winding list of items", "x") for i in range(40)]
+    bench = spark.createDataFrame(items, ITEMS)
+    frame = docs(spark, [(i, f"here is {items[i][1]} again") for i in range(40)] + [(99, "nothing")])
+    one = by_id(D.leaks(frame, bench), "doc_id", "item_id", "distance", "end")
+    monkeypatch.setattr(D, "BLOCK_CHARS", 1000)
+    assert by_id(D.leaks(frame, bench), "doc_id", "item_id", "distance", "end") == one
+    assert by_id(D.clean(frame, bench), "doc_id") == [(99,)]

@@ -1,10 +1,13 @@
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import duckdb
 
+from pyspark.sql import functions as F
+
 from starloom.llm import licenses, oracle, queries
 
 TEMPLATES = [(name, sorted(set(re.findall("[a-z0-9]+", text.lower())))) for name, text in licenses.TEMPLATES]
@@ -177,3 +180,22 @@ def test_query(spark):
     files = [(re.search("://([^?#]*)", r.url)[1], re.sub("<[^>]*>", "\n", r.html)) for r in rows]
     got = queries.op8_license_scan(spark, sf).select("path", "licence", "basis", "score", "directory").collect()
     same(sorted(tuple(r) for r in got), brute(files))
+
+
+def test_html_lines_is_what_the_expression_says(spark):
+    rng = random.Random(3)
+    pages = ["".join(rng.choices("<>ab\n", k=rng.randint(0, 14))) for _ in range(2000)] + ["", "<", ">", "a>b<c"]
+    frame = spark.createDataFrame([(p,) for p in pages], "html string")
+    got = frame.select("html", licenses.html_lines(F.col("html"))).collect()
+    assert [r[1] for r in got] == [re.sub("<[^>]*>", "\n", r[0]) for r in got]
+    assert spark.sql("select cast(null as string) html").select(licenses.html_lines(F.col("html"))).first()[0] is None
+
+
+def test_long_runs_take_time_close_to_their_length(spark):
+    n = 200_000
+    begun = time.monotonic()
+    texts = ["# a" + " " * n + "b\ncode", "# a" + "\n" * n + "code", "# " + "*" * n, "/*" * (n // 2), "<!--" + "-" * n, "x" * n]
+    assert len(found(spark, [(f"f{i}", t) for i, t in enumerate(texts)])) == len(texts)
+    pages = spark.createDataFrame([("<" * n,), ("<a" * n + ">",), (">" * n,)], "html string")
+    assert [len(r[0]) for r in pages.select(licenses.html_lines(F.col("html"))).collect()] == [n, 1, n]
+    assert time.monotonic() - begun < 60

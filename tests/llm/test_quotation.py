@@ -156,3 +156,10 @@ def test_query(spark):
     got = queries.op6_quotation(spark, sf).collect()
     assert _sorted(tuple(r[c] for c in COLUMNS) for r in got) == brute(rows)
     assert all(r.formatted == f"<|{r.role}|>\n{r.text}\n" for r in got)
+
+
+def test_long_runs_of_line_breaks(spark):
+    n = 300_000
+    text = "> " + "\n" * n + "a" + "\n" * n + "b" + "\n" * n
+    rows = [(1, 0, "user", "a"), (1, 1, "user", text)]
+    assert sorted(len(r[-1]) for r in found(spark, rows)) == [1, n + 2]

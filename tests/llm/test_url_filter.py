@@ -63,3 +63,16 @@ def test_query_has_every_page(spark):
     rows = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url").collect()
     found = sorted(tuple(r) for r in queries.op1_url_filter(spark, sf).collect())
     assert found == sorted((r.page_id, *judge(r.url, RULES)) for r in rows)
+
+
+def test_other_columns_of_any_name(spark):
+    names = ["top", "_lookup_key", "place", "named", "Host", "suffix", "_column_0", "labels", "url"]
+    rows = [(*map(str, range(8)), url) for url in ("http://example.org/es/", "http://com/x", None)]
+    pages = spark.createDataFrame(rows, ", ".join(f"`{n}` string" for n in names))
+    rules = spark.createDataFrame(RULES, url_filter.RULES)
+    judged = url_filter.judge(pages, rules)
+    assert judged.columns == [*(n for n in names if n != "Host"), "host", "path", "rule", "verdict"]
+    kept = judged.select("top", "_lookup_key", "place", "suffix", "_column_0", "url", "verdict").collect()
+    assert sorted(kept, key=str) == sorted(
+        [("0", "1", "2", "5", "6", r[-1], judge(r[-1], RULES)[3]) for r in rows], key=str
+    )
