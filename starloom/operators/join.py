@@ -20,10 +20,12 @@ def lookup(
     follows from the first and so changes no result, then keeps that grouping from lending its
     partitioning to the join.
     """
-    right = right.withColumnRenamed(key, "_lookup_key")
-    same = F.col(key) == F.col("_lookup_key")
+    other = "_lookup_key"
+    while other in {c.lower() for c in (*left.columns, *right.columns)}:
+        other = f"_{other}"
+    right = right.withColumnRenamed(key, other)
+    same = F.col(key) == F.col(other)
     if right_grouped:
-        same = same & (F.xxhash64(F.col(key)) == F.xxhash64(F.col("_lookup_key")))
-    joined = left.join(right, same, how)
-    return joined.drop("_lookup_key")
+        same = same & (F.xxhash64(F.col(key)) == F.xxhash64(F.col(other)))
+    return left.join(right, same, how).drop(other)
 

@@ -53,3 +53,9 @@ def test_a_unique_key_reuses_the_grouping(shuffled):
     right = shuffled.range(1000).selectExpr("id % 10 as k").groupBy("k").count()
     plan = lookup(left, right, "k")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_columns_of_any_name(spark):
+    left = spark.sql("select 1 as k, 2 as _lookup_key")
+    right = spark.sql("select 1 as k, 3 as __lookup_key, 4 as x")
+    assert lookup(left, right, "k").collect() == [(1, 2, 3, 4)]
