@@ -422,7 +422,42 @@ _DIMENSION_KEYS = {
 }
 
 
+def _build_counts(sql: dict[str, str]) -> str:
+    """Rows of every table of the star and of every merged source, and the values that are missing."""
+    twice = {"Customers": "customer", "Products": "part", "Employees": "supplier"}
+    once = {"Shippers": "o_orderpriority) FROM orders", "Categories": "p_brand) FROM part"}
+    return " UNION ALL ".join([
+        f"SELECT table_name AS metric, row_count FROM ({sql['dq_row_counts']})",
+        f"SELECT * FROM ({sql['dq_merged_counts']})",
+        f"SELECT * FROM ({sql['dq_null_counts']})",
+        *(f"SELECT '{name}', 2 * count(*) FROM {table}" for name, table in twice.items()),
+        *(f"SELECT '{name}', count(DISTINCT {rest}" for name, rest in once.items()),
+    ])
+
+
+def _answers(sql: dict[str, str]) -> str:
+    """The single reports' rows, side by side."""
+    parts = []
+    for column, name, value in (
+        ("month", "cast(Mois AS varchar)", "revenue_by_month"), ("country", "CustomerCountry", "top_countries"),
+        ("customer", "CustomerName", "top_customers"), ("employee", "EmployeeFullName", "top_employees"),
+    ):
+        parts.append(f"SELECT '{column}' AS tile, {name} AS name, CA AS value FROM ({sql[value]})")
+    parts.append(f"SELECT 'shipper', ShipperName, Freight FROM ({sql['freight_by_shipper']})")
+    kpis = "orders", "customers", "revenue", "average_basket"
+    parts += [f"SELECT 'total', '{k}', cast({k} AS double) FROM ({sql['kpi_unfiltered']})" for k in kpis]
+    return " UNION ALL ".join(parts)
+
+
 def all_sql() -> dict[str, str]:
+    sql = _single_sql()
+    sql["dq_build_counts"] = _build_counts(sql)
+    sql["published_fact"], sql["published_calendar"] = sql["fact_sales"], sql["dim_time"]
+    sql["answer_set"] = _answers(sql)
+    return sql
+
+
+def _single_sql() -> dict[str, str]:
     return {
         "src_file_extract": """
             SELECT CASE c_mktsegment WHEN 'MACHINERY' THEN 'M-' || c_custkey
@@ -687,6 +722,15 @@ def all_sql() -> dict[str, str]:
                       FROM star WHERE ShipperName IS NOT NULL AND date IS NOT NULL
                       GROUP BY ShipperName)""",
         ),
+        "dq_order_differences": _with(
+            "merged_orders fact",
+            """SELECT coalesce(e.OrderID, f.OrderKey) AS OrderID, coalesce(expected, 0) AS expected,
+                      coalesce(present, 0) AS present
+               FROM (SELECT OrderID, count(DISTINCT OrderID) AS expected FROM merged_orders
+                     WHERE OrderID IS NOT NULL GROUP BY OrderID) e
+               FULL JOIN (SELECT OrderKey, count(*) AS present FROM fact GROUP BY OrderKey) f ON e.OrderID = f.OrderKey
+               WHERE coalesce(expected, 0) <> coalesce(present, 0)""",
+        ),
         "x_category_revenue": _with(
             "merged_details dim_product",
             f"""SELECT CategoryName, round({_money("LineTotal")}, 4) AS CA FROM (

@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from starloom import schemas as S
 from starloom.functions import clean
 from starloom.operators import merge
-from starloom.plans import quality, reports, star_schema
+from starloom.plans import etl, quality, reports, star_schema
 from starloom.plans.reports import Selection
 from starloom.plans.star_schema import Star
-from starloom.plans.stored import StoredStars, new_folder
+from starloom.plans.snapshots import Snapshot, Snapshots
+from starloom.plans.stored import StoredStars, new_folder, shared_place, source_state
 from starloom.sources import driver_tables as D
 from starloom.sources import files
 
@@ -81,6 +82,19 @@ def _stored(spark: SparkSession, sf_dir: str) -> Star:
     return _STARS.get(spark, D.paths(sf_dir), lambda: build_star(spark, sf_dir))
 
 
+def _published(spark: SparkSession, sf_dir: str) -> tuple[Snapshots, Snapshot]:
+    """The versions of the star of these tables, the latest built from their present state."""
+    paths = D.paths(sf_dir)
+    snapshots = Snapshots(spark, shared_place(spark, "versions", sorted(paths.items())))
+    state = source_state(spark, paths)
+    latest = snapshots.latest()
+    if latest is None or latest.state != state:
+        sources = D.extract(spark, sf_dir), D.database(spark, sf_dir)
+        latest = etl.publish(snapshots, *sources, id_offset=D.ID_OFFSET, state=state)
+        snapshots.expire(keep=2)
+    return snapshots, latest
+
+
 # Sources and merging --------------------------------------------------------------------------
 
 
@@ -469,6 +483,14 @@ def freight_by_shipper(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(reports.freight_by_shipper(_view(spark, sf_dir)), "Freight")
 
 
+@_query
+def answer_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All key figures and breakdowns at once, from one pass over the fact."""
+    view, path = _view(spark, sf_dir), new_folder(spark, "answers")
+    reports.partial_answers(view).write.parquet(path)
+    return _rounded(reports.answers_from(view, spark.read.parquet(path)), "value")
+
+
 @_query
 def detail_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = reports.detail_table(_view(spark, sf_dir))
@@ -527,6 +549,13 @@ def dq_order_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.order_gap(orders, _stored(spark, sf_dir).fact_sales)
 
 
+@_query
+def dq_order_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders behind the gap, each with how many facts it should have and has."""
+    orders = _merged(spark, sf_dir, S.ORDERS, dedupe=False)
+    return quality.order_differences(orders, _stored(spark, sf_dir).fact_sales)
+
+
 @_query
 def dq_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.preview(_stored_tables(spark, sf_dir))
@@ -567,6 +596,26 @@ def source_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def dq_build_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What was counted while the latest version was written: no table is scanned for it."""
+    return quality.listed(spark, _published(spark, sf_dir)[1].counts)
+
+
+@_query
+def published_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact of the latest published version."""
+    snapshots, latest = _published(spark, sf_dir)
+    return _fact_output(snapshots.tables(latest)["fact_sales"])
+
+
+@_query
+def published_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calendar of the latest published version, taken from its fact."""
+    snapshots, latest = _published(spark, sf_dir)
+    return snapshots.star(latest).dim_time
+
+
 # Beyond the reference's own queries: integrity and shares ---------------------------------------
 
 

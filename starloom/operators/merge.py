@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -66,15 +66,21 @@ def merge_sources(
     sql: DataFrame | None,
     keys: Sequence[str],
     dedupe: bool = True,
+    watch: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame | None:
-    """Merge two sources of a table; with ``dedupe`` the extract's row wins for a shared key."""
+    """Merge two sources of a table; with ``dedupe`` the extract's row wins for a shared key.
+
+    ``watch`` gets the rows of both, before any is dropped, and returns them.
+    """
+    watch = watch or (lambda df: df)
     if not dedupe:
-        return union_sources(extract, sql)
+        merged = union_sources(extract, sql)
+        return None if merged is None else watch(merged)
     merged = union_sources(
         None if extract is None else extract.withColumn(_PRIORITY, F.lit(0)),
         None if sql is None else sql.withColumn(_PRIORITY, F.lit(1)),
     )
     if merged is None:
         return None
-    merged = drop_null_keys(merged, keys)
+    merged = drop_null_keys(watch(merged), keys)
     return keep_first(merged, keys, [_PRIORITY]).drop(_PRIORITY)

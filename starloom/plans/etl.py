@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from starloom import schemas as S
 from starloom.plans import quality
 from starloom.plans.star_schema import Sources, build_star, build_star_database_first
+from starloom.plans.snapshots import Counts, Snapshot, Snapshots
 from starloom.plans.stored import new_folder
 from starloom.sources import database, files
 
@@ -60,13 +61,46 @@ def run(
     out: str,
     database_first: bool = False,
     id_offset: int = S.DEFAULT_ID_OFFSET,
-    fmt: str = "parquet",
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Build and store a star below ``out``; returns the contract report on the stored tables.
+    """Build a star and publish it below ``out``; returns the contract report on the stored tables.
 
-    ``keep`` names order columns beyond the contract that the fact carries along.
+    Readers of ``Snapshots(spark, out)`` have the version before until this one is whole, and go
+    on with it if the build fails. ``keep`` names order columns beyond the contract that the fact
+    carries along.
     """
+    snapshots = Snapshots(spark, out)
+    published = publish(snapshots, extract, sql, database_first, id_offset, keep)
+    return quality.contract(spark, snapshots.tables(published))
+
+
+#: Values that the data check counts as missing: the table, the column, the count's name.
+MISSING = {
+    S.ORDERS.name: {"missing_order_dates": "OrderDate"},
+    S.PRODUCTS.name: {"invalid_products": "ProductID"},
+    S.EMPLOYEES.name: {"rejected_employee_keys": "EmployeeID"},
+}
+
+
+def publish(
+    snapshots: Snapshots,
+    extract: Sources,
+    sql: Sources,
+    database_first: bool = False,
+    id_offset: int = S.DEFAULT_ID_OFFSET,
+    keep: Sequence[str] = (),
+    state: str = "",
+) -> Snapshot:
+    """Build a star and publish it, with the counts of source rows that the data check asks for.
+
+    They are taken while the tables are written: rows of the merged sources by table name, rows of
+    the star's tables, and values that are missing or can't be read.
+    """
+    counts = Counts()
+
+    def watch(table: S.SourceTable, df: DataFrame) -> DataFrame:
+        return counts.watch(table.name, df, MISSING.get(table.name))
+
     build = build_star_database_first if database_first else build_star
-    files.write_star(build(extract, sql, id_offset, keep), out, fmt)
-    return quality.contract(spark, files.stored_tables(spark, out, fmt))
+    star = build(extract, sql, id_offset, keep, watch)
+    return snapshots.publish(star, counts, state, tuple(keep))

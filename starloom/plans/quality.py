@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import schemas as S
+from starloom.operators.join import lookup
 from starloom.plans.star_schema import Star
 
 Tables = Mapping[str, DataFrame | None]
@@ -59,6 +60,11 @@ def row_counts(tables: Tables) -> DataFrame:
     )
 
 
+def listed(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
+    """Counts that are there already, as a table."""
+    return spark.createDataFrame(sorted(counts.items()), "metric string, row_count bigint")
+
+
 def preview(tables: Tables, rows: int = 3, columns: int = 5) -> DataFrame:
     """First rows of each table, by its first columns, as text: a top-k, not a sample."""
     parts = []
@@ -105,6 +111,41 @@ def order_gap(orders: DataFrame, fact: DataFrame) -> DataFrame:
     )
 
 
+def differences(expected: DataFrame, present: DataFrame, key: str, ranges: int = 4096) -> DataFrame:
+    """``key, expected, present``: keys that two tables have a different number of times.
+
+    Both are summed up per range of the keys' hash first: how many keys, and the sum of a hash of
+    each key with its count. Only ranges whose sums differ are looked into, key by key, so that
+    tables which nearly agree send little more than their partial sums. Rows without a key take no
+    part.
+    """
+
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(name))
+        return counts.withColumn("range", F.pmod(F.xxhash64(key), F.lit(ranges)))
+
+    def summed(counts: DataFrame, name: str) -> DataFrame:
+        # Hashes are shortened so that their sum over many keys stays in range.
+        mark = F.sum(F.shiftright(F.xxhash64(key, name), 24)).alias(f"{name}_sum")
+        return counts.groupBy("range").agg(F.count(F.lit(1)).alias(f"{name}_keys"), mark)
+
+    left, right = counted(expected, "expected"), counted(present, "present")
+    sums = summed(left, "expected").join(summed(right, "present"), "range", "full")
+    same = F.col("expected_keys").eqNullSafe(F.col("present_keys")) & F.col("expected_sum").eqNullSafe(F.col("present_sum"))
+    differing = sums.where(~same).select("range")
+    left, right = (lookup(df, differing, "range", "left_semi").drop("range") for df in (left, right))
+    joined = left.join(right, key, "full")
+    zero = F.lit(0).cast("bigint")
+    joined = joined.withColumns({c: F.coalesce(c, zero) for c in ("expected", "present")})
+    return joined.where(F.col("expected") != F.col("present")).select(key, "expected", "present")
+
+
+def order_differences(orders: DataFrame, fact: DataFrame) -> DataFrame:
+    """Which orders the gap between orders and facts consists of: each should have one fact."""
+    expected = orders.select("OrderID").distinct()
+    return differences(expected, fact.select(F.col("OrderKey").alias("OrderID")), "OrderID")
+
+
 _KEYS = {
     "dim_time": "TimeKey",
     "dim_customer": "CustomerKey",

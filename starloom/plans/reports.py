@@ -337,6 +337,11 @@ def kpis(view: View) -> DataFrame:
         F.count_distinct("OrderKey").alias("selected_orders"),
         F.count_distinct("CustomerKey").alias("selected_customers"),
     )
+    return _key_figures(view, figures)
+
+
+def _key_figures(view: View, figures: DataFrame) -> DataFrame:
+    """Key figures from ``revenue, selected_orders, selected_customers`` of a view."""
     orders, customers = F.col("selected_orders"), F.col("selected_customers")
     if not view.active:
         star = view.star
@@ -412,6 +417,83 @@ def revenue_by_category(lines: DataFrame, products: DataFrame) -> DataFrame:
     return named.groupBy(category).agg(F.sum("CA").cast("double").alias("CA"))
 
 
+# All at once ----------------------------------------------------------------------------------
+
+_KEYS = ("TimeKey", "CustomerKey", "EmployeeKey", "ShipperKey")
+# Tiles of the answer set: the attribute that names their rows, the measure, and how many are shown.
+TILES = {
+    "country": ("CustomerCountry", "revenue", 10),
+    "customer": ("CustomerName", "revenue", 10),
+    "employee": ("EmployeeFullName", "revenue", 10),
+    "shipper": ("ShipperName", "freight", None),
+}
+
+
+def partial_answers(view: View) -> DataFrame:
+    """``part``, the keys, ``revenue, freight, orders``: what all tiles are made of, in one pass.
+
+    Grouping sets over the view's facts give exact sums per day, customer, employee and shipper.
+    ``part`` names the key that a row is for. Orders are bitmaps: order numbers that differ in the
+    last six bits only share a row (``Word``), with a bit for each in ``orders``, so that counting
+    bits counts distinct orders exactly, from a sixty-fourth of the rows where numbers are dense.
+    Buffers are of fixed width, so a hash aggregation takes them all. Two such tables, say of two
+    years, become one by adding sums up and joining bits by ``bit_or``.
+    """
+    bit = F.expr("shiftleft(1L, cast(OrderKey & 63 AS int))")
+    facts = view.fact.select(*_KEYS, F.shiftright("OrderKey", 6).alias("Word"), bit.alias("bit"), "TotalLineTotal", "Freight")
+    keys = [F.col(k) for k in (*_KEYS, "Word")]
+    grouped = facts.groupingSets([[k] for k in keys], *keys).agg(
+        F.grouping_id().alias("grouping"),
+        exact_sum("TotalLineTotal").alias("revenue"),
+        exact_sum("Freight").alias("freight"),
+        F.bit_or("bit").alias("bits"),
+    )
+    # The id of a grouping set has a bit for every key that is not in it, the last key's lowest.
+    names = {(1 << len(keys)) - 1 - (1 << n): name for n, name in enumerate((*_KEYS, "Word")[::-1])}
+    part = F.element_at(F.create_map(*(F.lit(x) for pair in names.items() for x in pair)), F.col("grouping").cast("int"))
+    orders = F.when(part == "Word", F.col("bits")).alias("orders")
+    return grouped.select(part.alias("part"), *keys, "revenue", "freight", orders)
+
+
+def merged_answers(*parts: DataFrame) -> DataFrame:
+    """Partial answers of facts that are taken together."""
+    every = reduce(DataFrame.unionByName, parts)
+    return every.groupBy("part", *_KEYS, "Word").agg(
+        F.sum("revenue").cast("decimal(30,6)").alias("revenue"),
+        F.sum("freight").cast("decimal(30,6)").alias("freight"),
+        F.bit_or("orders").alias("orders"),
+    )
+
+
+def answers_from(view: View, partial: DataFrame) -> DataFrame:
+    """``tile, name, value`` of all tiles, from partial answers that were stored."""
+
+    def part(key: str) -> DataFrame:
+        return partial.where(F.col("part") == key)
+
+    def tile(name: str, rows: DataFrame, label: Column, value: Column) -> DataFrame:
+        return rows.select(F.lit(name).alias("tile"), label.cast("string").alias("name"), value.cast("double").alias("value"))
+
+    by_day = part("TimeKey").where("TimeKey is not null")
+    months = _join_days(view.star, by_day, "inner", "year", "month").groupBy("year", "month").agg(F.sum("revenue").alias("CA"))
+    tiles = [tile("month", months, clean.first_of_month(F.col("year"), F.col("month")), F.col("CA"))]
+    for name, (attribute, measure, shown) in TILES.items():
+        dimension, key = ATTRIBUTES[attribute]
+        rows = lookup(part(key), getattr(view.star, dimension).select(key, attribute), key, "inner")
+        rows = rows.where(F.col(attribute).isNotNull()).groupBy(attribute).agg(F.sum(measure).cast("double").alias("value"))
+        tiles.append(tile(name, top(rows, "value", attribute, shown) if shown else rows, F.col(attribute), F.col("value")))
+
+    # Every fact is in one row of each part, so any part has the whole revenue.
+    total = F.coalesce(F.sum(F.when(F.col("part") == "TimeKey", F.col("revenue"))).cast("double"), F.lit(0.0).cast("double"))
+    orders = F.coalesce(F.sum(F.bit_count("orders")), F.lit(0).cast("bigint"))
+    customers = F.count(F.when(F.col("part") == "CustomerKey", F.col("CustomerKey")))
+    figures = partial.agg(total.alias("revenue"), orders.alias("selected_orders"), customers.alias("selected_customers"))
+    totals = _key_figures(view, figures)
+    pairs = F.array(*(F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in totals.columns))
+    totals = totals.select(F.explode(pairs).alias("x"))
+    return reduce(DataFrame.unionByName, [*tiles, tile("total", totals, F.col("x.name"), F.col("x.value"))])
+
+
 # Detail ---------------------------------------------------------------------------------------
 
 

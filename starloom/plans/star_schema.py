@@ -26,6 +26,7 @@ from starloom.operators.merge import (
 )
 
 Sources = Mapping[str, DataFrame | None]
+Watch = Callable[[S.SourceTable, DataFrame], DataFrame]
 
 # Order numbers of the two sources overlap, so the extract's are shifted.
 _NAMESPACED = ("Orders", "Order Details")
@@ -36,7 +37,9 @@ class Star:
     """The output tables, lazily defined or read back from storage.
 
     ``dim_day`` is the calendar at day grain, ``known`` what selections are checked against (see
-    ``reports.known_values``); reports derive both where they are not stored.
+    ``reports.known_values``); reports derive both where they are not stored. ``calendar_from_fact``
+    says that the fact holds every date of ``dim_time``, and no other, so that a writer may take the
+    calendar from the stored fact instead of reading the orders twice.
     """
 
     dim_time: DataFrame
@@ -48,6 +51,7 @@ class Star:
     dim_categories: DataFrame | None = None
     dim_day: DataFrame | None = None
     known: DataFrame | None = None
+    calendar_from_fact: bool = False
 
     def tables(self) -> dict[str, DataFrame]:
         found = {name: getattr(self, name) for name in S.STAR_TABLES}
@@ -62,10 +66,12 @@ def merge_table(
     id_offset: int = S.DEFAULT_ID_OFFSET,
     strict_dates: bool = False,
     keep: Sequence[str] = (),
+    watch: Watch | None = None,
 ) -> DataFrame:
     """Conform both sources of ``table`` and merge them; a table absent from both is an error.
 
     ``keep`` names columns beyond the contract to carry along; at least one source has each.
+    ``watch`` gets the table and the rows of both sources, before any is dropped, and returns them.
     """
     left, right = extract.get(table.name), sql.get(table.name)
     if left is None and right is None:
@@ -78,7 +84,7 @@ def merge_table(
             if right is not None:
                 right = require_below(right, "OrderID", id_offset)
         left = clean.conform(left, table, strict_dates, keep)
-    return merge_sources(left, right, table.key, dedupe)
+    return merge_sources(left, right, table.key, dedupe, watch and partial(watch, table))
 
 
 # Dimensions -----------------------------------------------------------------------------------
@@ -113,6 +119,14 @@ def dim_time_sorted(orders: DataFrame) -> DataFrame:
     )
 
 
+def calendar_of_fact(fact: DataFrame, labelled: bool = False) -> DataFrame:
+    """The calendar of a star's orders, from its fact; ``labelled`` is the database-first one."""
+    dates = fact.select(F.col("OrderDate").alias("date")).distinct()
+    if not labelled:
+        return _calendar(dates)
+    return _calendar(dates).withColumn("year_month", clean.month_label(F.col("date"))).orderBy("date")
+
+
 def day_calendar(calendar: DataFrame) -> DataFrame:
     """One row per day of a calendar that may hold several timestamps per day."""
     days = _calendar(calendar.select(clean.midnight(F.col("date")).alias("date")).distinct())
@@ -255,8 +269,8 @@ def fact_sales(
 # Whole builds ---------------------------------------------------------------------------------
 
 
-def _merged(extract: Sources, sql: Sources, id_offset: int) -> Callable[..., DataFrame]:
-    return partial(merge_table, extract=extract, sql=sql, id_offset=id_offset)
+def _merged(extract: Sources, sql: Sources, id_offset: int, watch: Watch | None) -> Callable[..., DataFrame]:
+    return partial(merge_table, extract=extract, sql=sql, id_offset=id_offset, watch=watch)
 
 
 def build_star(
@@ -264,12 +278,13 @@ def build_star(
     sql: Sources,
     id_offset: int = S.DEFAULT_ID_OFFSET,
     keep: Sequence[str] = (),
+    watch: Watch | None = None,
 ) -> Star:
     """Extract-first variant: every order and line of both sources is kept.
 
     ``keep`` names order columns beyond the contract that the fact carries along, as text.
     """
-    merged = _merged(extract, sql, id_offset)
+    merged = _merged(extract, sql, id_offset, watch)
     orders = merged(S.ORDERS, dedupe=False, keep=keep)
     details = merged(S.ORDER_DETAILS, dedupe=False)
     categories = merged(S.CATEGORIES)
@@ -281,6 +296,7 @@ def build_star(
         dim_shipper=dim_shipper(merged(S.SHIPPERS), unique=True),
         dim_categories=dim_categories(categories, unique=True),
         fact_sales=fact_sales(orders, details, keep=keep),
+        calendar_from_fact=True,
     )
 
 
@@ -289,9 +305,10 @@ def build_star_database_first(
     sql: Sources,
     id_offset: int = S.DEFAULT_ID_OFFSET,
     keep: Sequence[str] = (),
+    watch: Watch | None = None,
 ) -> Star:
     """Database-first variant: repeated orders and lines removed, dates mandatory."""
-    merged = _merged(extract, sql, id_offset)
+    merged = _merged(extract, sql, id_offset, watch)
     orders = merged(S.ORDERS, strict_dates=True, keep=keep)
     details = merged(S.ORDER_DETAILS)
     categories = merged(S.CATEGORIES)
@@ -302,4 +319,5 @@ def build_star_database_first(
         dim_employee=dim_employee(merged(S.EMPLOYEES), unique=True),
         dim_shipper=dim_shipper(merged(S.SHIPPERS), unique=True),
         fact_sales=fact_sales(orders, details, default_dates=False, keep=keep),
+        calendar_from_fact=True,
     )

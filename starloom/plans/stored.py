@@ -22,6 +22,16 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def shared_place(spark: SparkSession, purpose: str, what: object) -> str:
+    """The folder for ``what`` (by its ``repr``), the same in every session."""
+    return f"{shared_folder(spark)}/{purpose}-{hashlib.md5(repr(what).encode()).hexdigest()}"
+
+
+def source_state(spark: SparkSession, source_paths: dict[str, str]) -> str:
+    """Changes when a file of any source does."""
+    return hashlib.md5(repr(files.state(spark, source_paths)).encode()).hexdigest()
+
+
 class StoredStars:
     """Stars kept as tables, built again when the files they come from change.
 

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from starloom import schemas as S
 from starloom.functions import clean
-from starloom.plans.star_schema import Star, day_calendar
+from starloom.plans.star_schema import Star, calendar_of_fact, day_calendar
 from starloom.sources.layout import FACT_PARTITION
 
 
@@ -22,7 +22,7 @@ def normalise_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.replace(" ", "") for c in df.columns])
 
 
-def _if_present(load: Callable[[], DataFrame]) -> DataFrame | None:
+def if_present(load: Callable[[], DataFrame]) -> DataFrame | None:
     try:
         return load()
     except AnalysisException as e:
@@ -43,7 +43,7 @@ def read_extract(
     the table they are merged into decides on types.
     """
     reader = _csv_reader(spark, multi_line) if fmt == "csv" else spark.read.format(fmt)
-    df = _if_present(lambda: reader.load(path))
+    df = if_present(lambda: reader.load(path))
     if df is None:
         return None
     df = normalise_headers(df)
@@ -126,13 +126,18 @@ def _write_table(name: str, df: DataFrame, path: str, fmt: str) -> None:
 def write_star(star: Star, path: str, fmt: str = "parquet") -> None:
     """Write every star table below ``path``; the Parquet fact is partitioned by order year.
 
-    The tables are written side by side: the small ones use what the fact leaves idle.
+    The tables are written side by side: the small ones use what the fact leaves idle. The
+    calendar comes from the stored fact where it holds the same dates.
     """
     tables = star.tables()
+    late = {"dim_time"} if star.calendar_from_fact and fmt == "parquet" else set()
     with ThreadPoolExecutor(len(tables)) as pool:
-        writes = [pool.submit(_write_table, name, df, path, fmt) for name, df in tables.items()]
+        writes = [pool.submit(_write_table, name, df, path, fmt) for name, df in tables.items() if name not in late]
     for write in writes:
         write.result()
+    if late:
+        fact = star.fact_sales.sparkSession.read.schema(S.FACT_SALES).parquet(f"{path}/fact_sales")
+        _write_table("dim_time", calendar_of_fact(fact, "year_month" in star.dim_time.columns), path, fmt)
     if fmt == "parquet":
         # Imported here, as reports read what this module stores.
         from starloom.plans.reports import known_values
@@ -140,7 +145,7 @@ def write_star(star: Star, path: str, fmt: str = "parquet") -> None:
         spark = star.fact_sales.sparkSession
         first = "year_month" in star.dim_time.columns
         known = known_values(read_star(spark, path, fmt, first))
-        known.coalesce(1).write.mode("overwrite").parquet(f"{path}/known")
+        known.write.mode("overwrite").parquet(f"{path}/known")
 
 
 #: What reports.known_values gives.
@@ -175,7 +180,7 @@ def read_star(
     schemas = S.STAR_TABLES_DATABASE_FIRST if database_first else S.STAR_TABLES
     if fmt == "parquet":
         schemas = schemas | {"dim_day": schemas["dim_time"]}
-        if _if_present(lambda: spark.read.schema(KNOWN).parquet(f"{path}/known")) is not None:
+        if if_present(lambda: spark.read.schema(KNOWN).parquet(f"{path}/known")) is not None:
             schemas = schemas | {"known": KNOWN}
     return Star(
         **{n: _read_table(spark, path, n, fmt, schema, keep) for n, schema in schemas.items()}
@@ -189,7 +194,7 @@ def stored_tables(
     reader = _csv_reader(spark) if fmt == "csv" else spark.read.format(fmt)
     tables = {}
     for name in S.STAR_TABLES:
-        df = _if_present(lambda: reader.load(f"{path}/{name}"))
+        df = if_present(lambda: reader.load(f"{path}/{name}"))
         tables[name] = None if df is None else df.drop(FACT_PARTITION)
     return tables
 
@@ -197,7 +202,7 @@ def stored_tables(
 def has_star(spark: SparkSession, path: str) -> bool:
     """Whether a folder still holds a Parquet star."""
     names = [n for n in S.STAR_TABLES if n != "dim_categories"] + ["known"]
-    found = (_if_present(lambda: spark.read.schema(KNOWN).parquet(f"{path}/{n}")) for n in names)
+    found = (if_present(lambda: spark.read.schema(KNOWN).parquet(f"{path}/{n}")) for n in names)
     return all(df is not None for df in found)
 
 
@@ -207,7 +212,7 @@ def write_note(spark: SparkSession, path: str, text: str) -> None:
 
 def read_note(spark: SparkSession, path: str) -> str | None:
     """A text of one line, or None where there is none."""
-    found = _if_present(lambda: spark.read.text(path))
+    found = if_present(lambda: spark.read.text(path))
     row = None if found is None else found.first()
     return None if row is None else row.value
 
@@ -218,7 +223,7 @@ def _listing(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 def state(spark: SparkSession, paths: dict[str, str]) -> tuple:
     """One value that changes when a file of any table does; cheaper than the fingerprint."""
-    files = _if_present(lambda: _listing(spark, list(paths.values())))
+    files = if_present(lambda: _listing(spark, list(paths.values())))
     if files is None:
         return tuple(fingerprint(spark, paths).orderBy("table_name").collect())
     # The hashes are shortened so that their sum over many files stays in range.
@@ -236,7 +241,7 @@ def fingerprint(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """
     parts = []
     for name, path in paths.items():
-        found = _if_present(lambda: _listing(spark, path))
+        found = if_present(lambda: _listing(spark, path))
         if found is None:
             parts.append(
                 spark.range(1).select(

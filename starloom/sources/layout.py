@@ -1,3 +1,5 @@
 """Names shared by the writers and the readers of a stored star."""
 
 FACT_PARTITION = "order_year"
+#: Folder of one build's files, below its table or year.
+BUILD = "build"

@@ -236,3 +236,34 @@ def test_copies_of_one_order_do_not_end_up_in_one_task(spark, star, tmp_path):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert sum(r["count"] for r in parts) == 30000
     assert max(r["count"] for r in parts) < 30000 / 3
+
+
+def test_answers_from_one_pass_equal_the_single_reports(star, tmp_path):
+    for n, selection in enumerate((Selection(), Selection(countries=["France"]), Selection(date_range=("1996-08-01", "1997-01-15")))):
+        view = select_view(star, selection)
+        path = f"{tmp_path}/{n}"
+        reports.partial_answers(view).write.parquet(path)
+        partial = star.fact_sales.sparkSession.read.parquet(path)
+        got = {(r.tile, r.name): r.value for r in reports.answers_from(view, partial).collect()}
+        expected = {("month", str(r.Mois)): r.CA for r in reports.revenue_by_month(view).collect()}
+        expected |= {("country", r[0]): r.CA for r in reports.top_countries(view).collect()}
+        expected |= {("customer", r[0]): r.CA for r in reports.top_customers(view).collect()}
+        expected |= {("employee", r[0]): r.CA for r in reports.top_employees(view).collect()}
+        expected |= {("shipper", r[0]): r.Freight for r in reports.freight_by_shipper(view).collect()}
+        figures = reports.kpis(view).first().asDict()
+        expected |= {("total", name): float(value) for name, value in figures.items()}
+        assert got == expected
+        plan = reports.partial_answers(view)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("TotalLineTotal#") and plan.count("Expand") == 1
+
+
+def test_partial_answers_of_two_parts_become_one(star):
+    whole = select_view(star)
+    halves = [replace(whole, dated=whole.dated.where(f"OrderKey % 2 = {n}")) for n in (0, 1)]
+    merged = reports.merged_answers(*map(reports.partial_answers, halves), reports.partial_answers(whole).limit(0))
+    key = lambda r: tuple(map(str, r))
+    columns = reports.partial_answers(whole).columns
+    assert sorted(merged.select(columns).collect(), key=key) == sorted(reports.partial_answers(whole).collect(), key=key)
+    both = reports.merged_answers(reports.partial_answers(whole), reports.partial_answers(whole))
+    bits = lambda df: df.agg(F.sum(F.bit_count("orders"))).first()[0]
+    assert bits(both) == bits(reports.partial_answers(whole))  # distinct orders stay distinct

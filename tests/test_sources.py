@@ -2,6 +2,7 @@ import shutil
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 from small_star import small_star
 
 from starloom import schemas as S
@@ -223,3 +224,16 @@ def test_whole_job(spark, tmp_path):
     for first in (False, True):
         report = etl.run(spark, extract, sql, f"{tmp_path}/{first}", database_first=first)
         assert all(r.ok for r in report.collect())
+
+
+def test_differences_name_the_keys(spark):
+    expected = spark.sql("select explode(array(1, 2, 2, 3, 5, null)) as k")
+    present = spark.sql("select explode(array(1, 2, 3, 3, 4, null, null)) as k")
+    found = {tuple(r) for r in quality.differences(expected, present, "k").collect()}
+    assert found == {(2, 2, 1), (3, 1, 2), (4, 0, 1), (5, 1, 0)}
+    assert {tuple(r) for r in quality.differences(expected, present, "k", ranges=1).collect()} == found
+    assert quality.differences(expected, expected, "k").isEmpty()
+    assert quality.differences(expected.limit(0), expected.limit(0), "k").isEmpty()
+    many = spark.range(100_000).select((F.col("id") % 50_000).alias("k"))
+    lost = many.where("k not in (17, 4711)")
+    assert sorted(map(tuple, quality.differences(many, lost, "k").collect())) == [(17, 2, 0), (4711, 2, 0)]
