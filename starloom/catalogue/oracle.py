@@ -722,6 +722,20 @@ def _single_sql() -> dict[str, str]:
                       FROM star WHERE ShipperName IS NOT NULL AND date IS NOT NULL
                       GROUP BY ShipperName)""",
         ),
+        "dq_rejects": """
+            SELECT 'extract' AS source, table_name, column_name, reason, count(*) AS row_count, min(text) AS example FROM (
+                SELECT 'Orders' AS table_name, 'OrderID' AS column_name, 'not a number' AS reason, 'draft' AS text
+                FROM orders WHERE NOT (o_orderstatus = 'P' AND o_totalprice >= 10000)
+                UNION ALL SELECT 'Orders', 'OrderDate', 'not a timestamp', 'unknown' FROM orders WHERE o_orderpriority = '1-URGENT'
+                UNION ALL SELECT 'Order Details', 'Discount', 'not a number', 'none' FROM lineitem
+                WHERE l_returnflag = 'R' AND l_linestatus = 'O'
+                UNION ALL SELECT 'Products', 'ProductID', 'not a number', 'TBD' FROM part
+                WHERE NOT (p_type = 'STANDARD' AND p_size <= 48)
+                UNION ALL SELECT 'Employees', 'EmployeeID', 'not a whole number',
+                    CASE s_suppkey % 4 WHEN 1 THEN s_suppkey || '.5' ELSE 'No. ' || s_suppkey END
+                FROM supplier WHERE s_suppkey % 4 IN (1, 2))
+            GROUP BY table_name, column_name, reason""",
+        "detail_page": _detail("date IS NOT NULL") + " ORDER BY date DESC, OrderKey LIMIT 100 OFFSET 200",
         "dq_order_differences": _with(
             "merged_orders fact",
             """SELECT coalesce(e.OrderID, f.OrderKey) AS OrderID, coalesce(expected, 0) AS expected,

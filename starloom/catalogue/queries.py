@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from starloom import schemas as S
 from starloom.functions import clean
 from starloom.operators import merge
-from starloom.plans import etl, quality, reports, star_schema
+from starloom.plans import etl, listing, quality, reports, star_schema
 from starloom.plans.reports import Selection
 from starloom.plans.star_schema import Star
 from starloom.plans.snapshots import Snapshot, Snapshots
@@ -497,6 +497,14 @@ def detail_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fact_output(rows)
 
 
+@_query
+def detail_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The third page of the stored listing, of a hundred rows."""
+    path = new_folder(spark, "listing")
+    listing.store(_view(spark, sf_dir), path)
+    return _fact_output(listing.page(spark, path, 2, 100))
+
+
 @_query
 def detail_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The detail listing of a filtered view through its CSV export."""
@@ -543,6 +551,20 @@ def dq_null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.null_counts(merged)
 
 
+@_query
+def dq_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of either source that can't be read, from rows stored together with their quarantine."""
+    folder, stored = new_folder(spark, "conformed"), {}
+    sources = {"extract": D.extract(spark, sf_dir), "database": D.database(spark, sf_dir)}
+    for source, tables in sources.items():
+        for table in S.SOURCE_TABLES:
+            if table.name in tables:
+                path = f"{folder}/{source}/{table.name.replace(' ', '_')}"
+                clean.conform_with_rejects(tables[table.name], table).write.parquet(path)
+                stored[source, table.name] = spark.read.parquet(path)
+    return quality.rejected(quality.quarantine(stored))
+
+
 @_query
 def dq_order_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _merged(spark, sf_dir, S.ORDERS, dedupe=False)

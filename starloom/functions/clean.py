@@ -122,6 +122,18 @@ def _clean(col: Column, kind: str, is_text: bool, dtype: T.DataType, strict_date
     return col.cast("string")
 
 
+def _conformed(df: DataFrame, table: S.SourceTable, strict_dates: bool, keep: Sequence[str]) -> list[Column]:
+    types = {field.name: field.dataType for field in df.schema}
+    out = []
+    for name, kind in table.columns.items():
+        if name not in types:
+            continue
+        dtype = types[name]
+        is_text = isinstance(dtype, T.StringType)
+        out.append(_clean(F.col(name), kind, is_text, dtype, strict_dates).alias(name))
+    return out + [F.col(name).cast("string").alias(name) for name in keep if name in types]
+
+
 def conform(
     df: DataFrame, table: S.SourceTable, strict_dates: bool = False, keep: Sequence[str] = ()
 ) -> DataFrame:
@@ -132,13 +144,49 @@ def conform(
     Both sources of a merge go through this first, so that a text key on one side and a numeric
     key on the other meet in one type.
     """
+    return df.select(*_conformed(df, table, strict_dates, keep))
+
+
+# Why a cell has no value although it holds something, by the kind of its column.
+REASONS = {
+    S.ID: "not a number",
+    S.INT_KEY: "not a whole number",
+    S.NUMBER: "not a number",
+    S.COUNT: "not a number",
+    S.TIMESTAMP: "not a timestamp",
+    S.FLAG: "not a flag",
+}
+REJECTS = "_rejects"
+
+
+def rejects(df: DataFrame, table: S.SourceTable) -> Column:
+    """``column_name, text, reason`` of each cell of a row that can't be read, as one array.
+
+    Nulls, blank cells and the usual tokens for missing values are missing, not rejected.
+    """
     types = {field.name: field.dataType for field in df.schema}
-    out = []
+    found = []
     for name, kind in table.columns.items():
-        if name not in types:
+        if name not in types or kind not in REASONS:
             continue
-        dtype = types[name]
-        is_text = isinstance(dtype, T.StringType)
-        out.append(_clean(F.col(name), kind, is_text, dtype, strict_dates).alias(name))
-    out += [F.col(name).cast("string").alias(name) for name in keep if name in types]
-    return df.select(*out)
+        col, is_text = F.col(name), isinstance(types[name], T.StringType)
+        if kind == S.FLAG:
+            value = F.coalesce(col.try_cast("boolean"), number(col) != 0) if is_text else col.try_cast("boolean")
+        else:
+            value = _clean(col, kind, is_text, types[name], strict_dates=False)
+        bad = col.isNotNull() & value.isNull()
+        if is_text:
+            bad = bad & ~F.trim(col).isin(*S.NULL_TOKENS)
+        cell = F.struct(F.lit(name).alias("column_name"), col.cast("string").alias("text"), F.lit(REASONS[kind]).alias("reason"))
+        found.append(F.when(bad, cell))
+    none = F.array().cast("array<struct<column_name: string, text: string, reason: string>>")
+    return F.filter(F.array(*found), lambda cell: cell.isNotNull()) if found else none
+
+
+def conform_with_rejects(df: DataFrame, table: S.SourceTable, keep: Sequence[str] = ()) -> DataFrame:
+    """``conform``, and the row's rejected cells in one more column, ``REJECTS``.
+
+    Stored once, such a table is both the clean rows and the quarantine: a reader of either reads
+    its own columns only.
+    """
+    return df.select(*_conformed(df, table, False, keep), rejects(df, table).alias(REJECTS))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import schemas as S
+from starloom.functions import clean
 from starloom.operators.join import lookup
 from starloom.plans.star_schema import Star
 
@@ -65,6 +66,24 @@ def listed(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
     return spark.createDataFrame(sorted(counts.items()), "metric string, row_count bigint")
 
 
+def quarantine(tables: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
+    """``source, table_name, column_name, text, reason`` of every rejected cell.
+
+    ``tables`` maps a source's and a table's name to rows with ``clean.REJECTS``.
+    """
+    parts = []
+    for (source, table), df in tables.items():
+        cells = df.where(F.size(clean.REJECTS) > 0).select(F.explode(clean.REJECTS).alias("cell"))
+        parts.append(cells.select(F.lit(source).alias("source"), F.lit(table).alias("table_name"), "cell.*"))
+    return _union(parts)
+
+
+def rejected(cells: DataFrame) -> DataFrame:
+    """Rejected cells per source, column and reason: how many, and the first text by name."""
+    keys = "source", "table_name", "column_name", "reason"
+    return cells.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"), F.min("text").alias("example"))
+
+
 def preview(tables: Tables, rows: int = 3, columns: int = 5) -> DataFrame:
     """First rows of each table, by its first columns, as text: a top-k, not a sample."""
     parts = []
