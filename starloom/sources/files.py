@@ -32,11 +32,15 @@ def if_present(load: Callable[[], DataFrame]) -> DataFrame | None:
 
 
 def read_extract(
-    spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = False
+    spark: SparkSession,
+    path: str,
+    fmt: str = "csv",
+    multi_line: bool = False,
+    only: Sequence[str] | None = None,
 ) -> DataFrame | None:
     """A file extract with normalised headers, or None where there is none.
 
-    CSV rows that are shorter or longer than the header fail the query. ``multi_line`` is for
+    ``only`` names some of its files, which are read with the columns of the whole. CSV rows that are shorter or longer than the header fail the query. ``multi_line`` is for
     fields that hold line breaks; each file is then read by one task.
 
     CSV columns stay text, with the usual tokens for missing values as nulls; the contract of
@@ -46,6 +50,8 @@ def read_extract(
     df = if_present(lambda: reader.load(path))
     if df is None:
         return None
+    if only is not None:
+        df = reader.schema(df.schema).load(list(only))
     df = normalise_headers(df)
     if fmt != "csv":
         return df
@@ -212,6 +218,18 @@ def read_note(spark: SparkSession, path: str) -> str | None:
     return None if row is None else row.value
 
 
+def list_files(spark: SparkSession, path: str) -> DataFrame | None:
+    """``path, url, length, modified`` per file, without opening any; None if there is nothing.
+
+    ``url`` is the path as ``input_file_name`` gives it to readers of the file.
+    """
+    found = if_present(lambda: _listing(spark, path))
+    if found is None:
+        return None
+    changed = F.col("modificationTime").alias("modified")
+    return found.select("path", F.input_file_name().alias("url"), "length", changed)
+
+
 def _listing(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
 
