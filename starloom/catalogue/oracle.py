@@ -453,6 +453,7 @@ def all_sql() -> dict[str, str]:
     sql = _single_sql()
     sql["dq_build_counts"] = _build_counts(sql)
     sql["published_fact"], sql["published_calendar"] = sql["fact_sales"], sql["dim_time"]
+    sql["refreshed_fact"] = sql["fact_sales"]
     sql["answer_set"] = _answers(sql)
     return sql
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from starloom import schemas as S
 from starloom.functions import clean
 from starloom.operators import merge
-from starloom.plans import etl, listing, quality, reports, star_schema
+from starloom.plans import etl, listing, quality, refresh, reports, star_schema
 from starloom.plans.reports import Selection
 from starloom.plans.star_schema import Star
 from starloom.plans.snapshots import Snapshot, Snapshots
@@ -638,6 +638,36 @@ def published_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.star(latest).dim_time
 
 
+def _delivered(spark: SparkSession, sf_dir: str, first: bool, root: str) -> refresh.SourceFiles:
+    """Both sources as files, the orders and lines of a first and of a later delivery apart.
+
+    The later one has the orders whose number divides by 50, and their lines.
+    """
+    places: dict[str, dict[str, str]] = {refresh.EXTRACT: {}, refresh.DATABASE: {}}
+    tables = {refresh.EXTRACT: D.extract(spark, sf_dir), refresh.DATABASE: D.database(spark, sf_dir)}
+    for side, found in tables.items():
+        for name, df in found.items():
+            places[side][name] = f"{root}/{side}/{name.replace(' ', '_')}"
+            if name in (S.ORDERS.name, S.ORDER_DETAILS.name):
+                number = F.expr("coalesce(try_cast(OrderID AS bigint), 1)")
+                df = df.where((number % 50 != 0) if first else (number % 50 == 0))
+            elif not first:
+                continue
+            df.write.mode("append").parquet(places[side][name])
+    return refresh.SourceFiles(places[refresh.EXTRACT], places[refresh.DATABASE], extract_format="parquet")
+
+
+@_query
+def refreshed_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact after a later delivery of orders and lines, taken up by a refresh."""
+    root = new_folder(spark, "deliveries")
+    snapshots = Snapshots(spark, f"{root}/star")
+    for first in (True, False):
+        sources = _delivered(spark, sf_dir, first, root)
+        done = refresh.refresh(snapshots, sources, id_offset=D.ID_OFFSET)
+    return _fact_output(snapshots.tables(done)["fact_sales"])
+
+
 # Beyond the reference's own queries: integrity and shares ---------------------------------------
 
 
