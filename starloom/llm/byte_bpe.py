@@ -18,6 +18,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -28,7 +29,7 @@ WORD = 256
 REMEMBERED = 64 << 20
 #: What an entry takes beside its text and ids.
 ENTRY = 180
-#: Characters of texts that are encoded together, and bytes of pre-tokens in one queue.
+#: Bytes of texts that are encoded together, and bytes of pre-tokens in one queue.
 TOGETHER, QUEUED = 1 << 21, 1 << 20
 #: Bytes of pre-tokens that go side by side.
 SHORT = 64
@@ -371,18 +372,17 @@ class Encoder:
         return b"".join(out)
 
 
-def _groups(texts: list[str]) -> Iterator[list[str]]:
-    """Texts that are encoded together; a long one is alone."""
-    group: list[str] = []
-    size = 0
-    for text in texts:
-        if group and size + len(text) > TOGETHER:
-            yield group
-            group, size = [], 0
-        group.append(text)
-        size += len(text)
-    if group:
-        yield group
+def _groups(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch that are encoded together; a long text is alone."""
+    begin = size = 0
+    for n, own in enumerate(pc.binary_length(batch.column("text")).to_pylist()):
+        own = own or 0
+        if n > begin and size + own > TOGETHER:
+            yield batch.slice(begin, n - begin)
+            begin, size = n, 0
+        size += own
+    if begin < batch.num_rows:
+        yield batch.slice(begin)
 
 
 #: A worker's encoders, by vocabulary: tables of fixed size, as what a task remembers goes with it.
@@ -401,11 +401,13 @@ def _map_texts(docs: DataFrame, vocabulary: str, pattern: str, split_at_spaces:
             encoder = _ENCODERS[key] = Encoder(ranks.value, pattern, split_at_spaces)
         try:
             for batch in batches:
-                texts = [text or "" for text in batch.column("text").to_pylist()]
-                rows = [row(encoder, ids) for group in _groups(texts) for ids in encoder.encode(group)]
-                columns = [pa.array(c) for c in zip(*rows)]
-                if rows:
-                    yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", *names])
+                # A batch may hold many times what is encoded together: a group's rows go out before the next one's texts.
+                for group in _groups(batch):
+                    ids = encoder.encode([text or "" for text in group.column("text").to_pylist()])
+                    columns = [pa.array(c) for c in zip(*(row(encoder, own) for own in ids))]
+                    yield pa.RecordBatch.from_arrays([group.column("doc_id"), *columns], ["doc_id", *names])
+                    ids = columns = None
+                batch = group = None  # else they stay while the next batch is read
         finally:
             encoder.forget()
             give_back()

@@ -1,8 +1,10 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -146,3 +148,24 @@ def test_odd_rows(spark, both):
     texts = sorted(bytes(r.text).decode() for r in back.collect())
     assert texts == sorted(t or "" for _, t in rows)
     assert byte_bpe.round_trip(docs(spark, rows).limit(0), *args).count() == 0
+
+
+def test_large_batch_is_never_whole_in_a_worker(spark, both, monkeypatch):
+    """A task holds the texts and ids of one group, not those of all that Spark sends at a time."""
+    tasks, frame = [], docs(spark, [(1, "a")])
+    monkeypatch.setattr(type(frame), "mapInArrow", lambda self, run, schema: tasks.append(run))
+    monkeypatch.setattr(byte_bpe, "TOGETHER", 200_000)
+    byte_bpe.round_trip(frame, queries.RANKS, public_tokenizers.PATTERN, split_at_spaces=True, with_ids=True)
+    texts = [None, "", *("long " * 10_000 + str(n) for n in range(300)), None]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts))), "text": pa.array(texts)})
+    list(tasks[0](iter([batch.slice(0, 2)])))  # makes the encoder
+    tracemalloc.start()
+    ids, found = [], []
+    for out in tasks[0](iter([batch, batch.slice(0, 0), batch.slice(0, 1)])):
+        ids += out.column("doc_id").to_pylist()
+        found += zip(*(out.column(c).to_pylist() for c in ("n_tokens", "ids_sha256", "decoded_sha256")))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert ids == [*range(len(texts)), 0]
+    assert [found[n] for n in (0, 1, 2, 301, 302, 303)] == [_expected(both[1], texts[n % 303]) for n in (0, 1, 2, 301, 302, 303)]
+    assert most < 12_000_000
