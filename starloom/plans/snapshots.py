@@ -213,9 +213,12 @@ class Snapshots:
         return self._commit(draft, base, kept | done)
 
     def _write_fact(self, fact: DataFrame, build: str, counts: Counts) -> list[int]:
-        """Write facts by year; returns the years."""
+        """Write facts by year; returns the years.
+
+        Each task writes what it has of a year: to gather years first would shuffle the whole fact.
+        """
         dated = fact.withColumns({FACT_PARTITION: F.year("OrderDate"), BUILD: F.lit(build)})
-        dated = counts.watch("fact_sales", dated.hint("rebalance", FACT_PARTITION))
+        dated = counts.watch("fact_sales", dated)
         folder = f"{self.root}/fact_sales"
         dated.write.mode("append").partitionBy(FACT_PARTITION, BUILD).parquet(folder)
         listed = files.if_present(lambda: self.spark.read.option("basePath", folder).parquet(f"{folder}/*/{BUILD}={build}"))

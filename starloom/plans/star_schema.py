@@ -216,7 +216,11 @@ def with_line_total(details: DataFrame) -> DataFrame:
 
 
 def order_detail_summary(details: DataFrame) -> DataFrame:
-    """Lines summed up per order; a hot order is mostly added up before the shuffle."""
+    """Lines summed up per order; a hot order is mostly added up before the shuffle.
+
+    The average is a sum by the count that there is anyway, as no discount is null: one column less
+    to shuffle.
+    """
     return (
         with_line_total(details)
         .where(F.col("OrderID").isNotNull())
@@ -224,7 +228,7 @@ def order_detail_summary(details: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("DetailCount"),
             F.sum("Quantity").alias("TotalQuantity"),
-            F.avg("Discount").alias("AverageDiscount"),
+            (F.sum("Discount") / F.count(F.lit(1))).alias("AverageDiscount"),
             F.sum("LineTotal").alias("TotalLineTotal"),
         )
     )

@@ -142,3 +142,13 @@ def test_a_star_without_facts(spark, star, tmp_path):
     snapshots.publish(replace(star, fact_sales=star.fact_sales.limit(0)))
     assert snapshots.latest().years == {}
     assert snapshots.read().fact_sales.count() == snapshots.read().dim_time.count() == 0
+
+
+def test_a_year_is_written_by_the_tasks_that_have_it(spark, star, tmp_path):
+    """The facts are not shuffled once more to gather their years."""
+    rows = star.fact_sales.crossJoin(spark.range(50)).drop("id")
+    spread = replace(star, fact_sales=rows.repartition(4))
+    snapshots = Snapshots(spark, str(tmp_path))
+    snapshots.publish(spread)
+    assert len(list((tmp_path / "fact_sales").rglob("*.parquet"))) == 4
+    assert content(snapshots.read())["fact_sales"] == content(spread)["fact_sales"]
