@@ -131,14 +131,25 @@ def _join_days(star: Star, df: DataFrame, how: str, *columns: str) -> DataFrame:
 def _join_dimensions(
     star: Star, fact: DataFrame, members: Mapping[str, Members] | None = None
 ) -> DataFrame:
-    """Facts with their dimensions; a dimension with ``members`` is joined once, to filter too."""
+    """Facts with their dimensions; a dimension with ``members`` is joined once, to filter too.
+
+    Days that don't filter come last: a dimension too large to broadcast shuffles the facts, which
+    are narrow until then.
+    """
     members = members or {}
-    joined = _join_days(star, fact, "inner" if _DAY in members else "left")
+    joined = own = fact.drop(FACT_PARTITION)
+    if _DAY in members:
+        joined = _join_days(star, joined, "inner")
     for name, key in _JOINED.items():
         rows = members[name].rows if name in members else getattr(star, name)
         rows = rows.withColumnsRenamed(_RENAMES.get(name, {}))
         joined = lookup(joined, rows, key, "inner" if name in members else "left")
-    return joined.drop(FACT_PARTITION)
+    if _DAY in members:
+        return joined
+    dims = joined.columns[len(own.columns) :]
+    joined = _join_days(star, joined, "left")
+    days = joined.columns[len(own.columns) + len(dims) :]
+    return joined.select(*own.columns, *days, *dims)
 
 
 def star_join(star: Star) -> DataFrame:

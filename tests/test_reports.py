@@ -46,6 +46,16 @@ def test_star_join_keeps_every_fact_once(star):
     assert (undated.date, undated.year) == (None, None)
 
 
+def test_star_join_shuffles_narrow_facts(spark, star):
+    """A customer table too large to broadcast meets the facts before their days are joined."""
+    joined = reports.star_join(star)
+    names = star.fact_sales.columns
+    assert joined.columns[: len(names) + 5] == [*names, "date", "year", "month", "day", "CustomerName"]
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    conditions = [line for line in plan.splitlines() if "Join Left" in line]
+    assert "TimeKey" in conditions[0] and "CustomerKey" in conditions[-1]
+
+
 def test_fanout_counts_equal_the_joined_rows(star):
     joined = defaultdict(list)
     for f in FACTS:

@@ -10,6 +10,7 @@ from starloom import schemas as S
 from starloom.plans import etl, quality
 from starloom.plans.snapshots import Counts, Snapshots
 from starloom.plans.star_schema import build_star, build_star_database_first
+from starloom.sources import files
 
 
 @pytest.fixture(scope="module")
@@ -152,3 +153,14 @@ def test_a_year_is_written_by_the_tasks_that_have_it(spark, star, tmp_path):
     snapshots.publish(spread)
     assert len(list((tmp_path / "fact_sales").rglob("*.parquet"))) == 4
     assert content(snapshots.read())["fact_sales"] == content(spread)["fact_sales"]
+
+
+def test_the_stored_calendar_comes_from_the_stored_fact(spark, star, tmp_path):
+    """Where the fact holds every date, the orders are not read again for the calendar."""
+    fail = F.raise_error(F.lit("read again")).cast("timestamp_ntz")
+    unread = star.dim_time.withColumn("date", F.coalesce(F.when(F.col("year") < 0, F.col("date")), fail))
+    files.write_star(replace(star, dim_time=unread, calendar_from_fact=True), str(tmp_path))
+    back = files.read_star(spark, str(tmp_path))
+    dates = sorted(r.OrderDate for r in star.fact_sales.select("OrderDate").distinct().collect())
+    assert sorted(r.date for r in back.dim_time.collect()) == dates
+    assert sorted(r.date for r in back.dim_day.collect()) == sorted({d.replace(hour=0, minute=0, second=0) for d in dates})
